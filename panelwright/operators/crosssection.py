@@ -33,7 +33,10 @@ def slot_of(v: Column) -> Column:
     At most 2 * 16 * (ln(1.8e308) + ln(1e6)) = about 23,000 slots exist, whatever the data.
     """
     x = v.cast("double")
-    return F.floor(F.signum(x) * F.log1p(F.abs(x) * SLOT_SCALE) * SLOTS_PER_E).cast("int")
+    slot = F.floor(F.signum(x) * F.log1p(F.abs(x) * SLOT_SCALE) * SLOTS_PER_E).cast("int")
+    # declared non-null, so joins on the slot add no filter that would keep Spark from reusing
+    # the exchange below
+    return F.coalesce(slot, F.lit(0))
 
 
 def value_counts(
@@ -45,8 +48,11 @@ def value_counts(
 ) -> DataFrame:
     """Distinct non-null values per group with ``n_at``, ``ref_at`` and any extra sums."""
     ref_at = F.count(F.lit(1)) if ref is None else F.count_if(ref)
+    present = F.col(value).isNotNull()
+    for k in keys:
+        present = present & F.col(k).isNotNull()
     return (
-        df.filter(F.col(value).isNotNull())
+        df.filter(present)
         .groupBy(*keys, value)
         .agg(
             F.count(F.lit(1)).alias("n_at"),

@@ -136,7 +136,7 @@ def _item_sql() -> str:
     for j, (name, base) in enumerate(ACCOUNT_ITEMS.items()):
         out.append(
             f"CASE WHEN (id + 3 * qidx + {j}) % {9 + j % 5} <> 0 THEN "
-            f'round({base} * (0.10::DOUBLE + {j % 17} / 50.0::DOUBLE), 4) END AS "{name}"'
+            f'round({base} * (0.10::DOUBLE + {j % 17} / 50.0::DOUBLE), 6) END AS "{name}"'
         )
     return ",\n    ".join(out)
 
@@ -180,3 +180,16 @@ qy AS (
 
 INDUSTRY = """ic AS (
   SELECT p_partkey AS id, (p_size * 97 + p_partkey * 31) % 10000 AS sic FROM part)"""
+
+
+def dense(freq: str = "annual", src: str = "acc") -> str:
+    """CTEs ending in ``accd``: accounts on a monthly spine with data_available and count."""
+    head = accounts(freq) + ",\n" if src == "acc" else ""
+    return head + f"""spine AS (
+  SELECT gvkey, curcd, last_day(CAST(unnest(generate_series(date_trunc('month', min(datadate)),
+    date_trunc('month', max(datadate)), INTERVAL 1 MONTH)) AS DATE)) AS datadate
+  FROM {src} GROUP BY 1, 2),
+accd AS (
+  SELECT *, CAST(hit IS NOT NULL AS INT) AS data_available,
+    row_number() OVER (PARTITION BY gvkey, curcd ORDER BY datadate) AS count
+  FROM spine LEFT JOIN (SELECT *, 1 AS hit FROM {src}) USING (gvkey, curcd, datadate))"""

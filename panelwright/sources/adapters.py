@@ -36,12 +36,19 @@ def _security_dims(t: Tables, entity: str, country: str) -> DataFrame:
     )
 
 
+def _known(df: DataFrame, *cols: str) -> DataFrame:
+    """Drop rows without a key; stated once here so that every consumer shares one scan plan."""
+    for c in cols:
+        df = df.filter(F.col(c).isNotNull())
+    return df
+
+
 def _trades(t: Tables, entity: str, grain: str) -> DataFrame:
     key = "l_suppkey" if entity == "supplier" else "l_partkey"
     day = F.to_date("l_shipdate")
     unit = div("l_extendedprice", "l_quantity")
     return (
-        t.lineitem.select(
+        _known(t.lineitem, key, "l_shipdate").select(
             F.col(key).alias("id"),
             (F.last_day(day) if grain == "eom" else day).alias(grain),
             "l_quantity",
@@ -147,7 +154,7 @@ def factor_series(t: Tables, grain: str = "eom", country: str = "region") -> Dat
     flag_share = lambda f: F.sum(F.when(F.col("l_returnflag") == f, ext).otherwise(0.0))
     dims = _security_dims(t, "supplier", country).select("id", "excntry")
     out = (
-        t.lineitem.withColumn("id", F.col("l_suppkey"))
+        _known(t.lineitem, "l_suppkey", "l_shipdate").withColumn("id", F.col("l_suppkey"))
         .withColumn(grain, F.last_day(day) if grain == "eom" else day)
         .join(dims, "id")
         .groupBy("excntry", grain)
@@ -231,7 +238,7 @@ def _quarter_amounts(t: Tables) -> DataFrame:
     qend = F.last_day(F.add_months(F.trunc(day, "quarter"), 2))
     w = Window.partitionBy("id").orderBy("datadate").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        t.lineitem.groupBy(F.col("l_suppkey").alias("id"), qend.alias("datadate"))
+        _known(t.lineitem, "l_suppkey", "l_shipdate").groupBy(F.col("l_suppkey").alias("id"), qend.alias("datadate"))
         .agg(
             F.round(F.sum(ext), 2).alias("g"),
             F.round(F.sum(ext * F.col("l_discount")), 4).alias("d"),
@@ -253,7 +260,7 @@ def _items(skip: tuple[str, ...] = ()) -> dict:
             continue
         share = F.lit(0.10) + F.lit(j % 17) / F.lit(50.0)
         gone = (F.col("id") + 3 * F.col("qidx") + j) % (9 + j % 5) == 0
-        out[name] = F.when(~gone, F.round(F.col(base) * share, 4))
+        out[name] = F.when(~gone, F.round(F.col(base) * share, 6))
     return out
 
 
