@@ -73,11 +73,10 @@ def close_open_interval(
 ) -> DataFrame:
     """End the last, still open interval of each key at max(as_of, latest start); code NULL -> missing."""
     w = Window.partitionBy(key).orderBy(start)
-    latest = df.agg(F.max(start).alias("latest__"))
+    latest = df.agg(F.max(start)).scalar()
     is_last = F.lead(start).over(w).isNull()
     return (
-        df.withColumn("is_last__", is_last)
-        .crossJoin(latest)  # one row
+        df.withColumns({"is_last__": is_last, "latest__": latest})
         .withColumn(
             end,
             F.when(F.col("is_last__") & F.col(end).isNull(), F.greatest(as_of, F.col("latest__"))).otherwise(F.col(end)),

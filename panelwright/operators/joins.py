@@ -47,11 +47,11 @@ def interval_join(
     Intervals are sliced into calendar months, which turns the range condition into an equi join
     on (key, month) with the exact bounds as residual. A hot key is thereby spread over months
     and each point only meets the intervals alive in its own month. Open bounds are cut to the
-    range of the points, a single aggregated row.
+    range of the points, taken from a scalar subquery.
     """
-    span = points.agg(F.min(date).alias("lo__"), F.max(date).alias("hi__"))
+    lo, hi = points.agg(F.min(date)).scalar(), points.agg(F.max(date)).scalar()
     sliced = (
-        intervals.crossJoin(span)  # one row
+        intervals.withColumns({"lo__": lo, "hi__": hi})
         .withColumn("a__", F.greatest(F.coalesce(start, "lo__"), F.col("lo__")))
         .withColumn("b__", F.least(F.coalesce(end, "hi__"), F.col("hi__")))
         .withColumn("m__", F.explode(months_or_empty(F.col("a__"), F.col("b__"))))
