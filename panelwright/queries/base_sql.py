@@ -166,7 +166,8 @@ def accounts(freq: str = "annual") -> str:
 acc AS (
   SELECT {_FIRM}, datadate,
     {_item_sql()},
-    round(r * 0.2, 4) AS ni_qtr, round(g * 0.9, 4) AS sale_qtr, round(a * 0.3, 4) AS ocf_qtr
+    round(r * 0.2, 4) AS ni_qtr, round(g * 0.9, 4) AS sale_qtr, round(a * 0.3, 4) AS ocf_qtr,
+    CASE WHEN id % 9 <> 4 THEN round(cum * 0.8, 4) END AS me_fiscal
   FROM qa {cond})"""
 
 

@@ -278,6 +278,7 @@ def firm_accounting(t: Tables, freq: str = "annual") -> DataFrame:
         "ni_qtr": F.round(F.col("r") * 0.2, 4),
         "sale_qtr": F.round(F.col("g") * 0.9, 4),
         "ocf_qtr": F.round(F.col("a") * 0.3, 4),
+        "me_fiscal": F.when(F.col("id") % 9 != 4, F.round(F.col("cum") * 0.8, 4)),
     }
     df = df.withColumns(extra)
     if freq == "annual":
