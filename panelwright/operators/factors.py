@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_index
 from ..functions.nulls import count_nulls, div, mean_across
+from ..sources.scratch import stage
 from .crosssection import melt, quantile_disc, rank_pct, winsorize, z_ranks
 from .market import contiguous_lag, quality_filter
 
@@ -122,9 +123,13 @@ def quality_minus_junk(panel: DataFrame, min_stocks: int) -> DataFrame:
     use = quality_filter(panel, "ret_exc", "me").withColumn("evol__", F.coalesce(2 * F.col("roeq_be_std"), "roe_be_std"))
     inputs = reduce(lambda a, b: a | b, QUALITY.values())
     z = z_ranks(use, ["id"], GEO, inputs, min_stocks)
-    raw = z.select("id", *GEO, *[mean_across([f"z_{c}" for c in cols]).alias(name) for name, cols in QUALITY.items()])
+    # composites are cut at 12 decimals, so that equal scores tie whatever the order of summation
+    tidy = lambda c: F.round(c, 12)
+    raw = z.select("id", *GEO, *[tidy(mean_across([f"z_{c}" for c in cols])).alias(name) for name, cols in QUALITY.items()])
+    # each step is read several times by the next one, so it is written once
+    raw = stage(raw, "qmj")
     parts = z_ranks(raw, ["id"], GEO, {name: False for name in QUALITY}, min_stocks, prefix="qmj_")
     total = (F.col("qmj_prof") + F.col("qmj_growth") + F.col("qmj_safety")) / 3
-    parts = parts.withColumn("all__", total)
+    parts = stage(parts.withColumn("all__", tidy(total)), "qmj")
     final = z_ranks(parts, ["id"], GEO, {"all__": False}, min_stocks).withColumnRenamed("z_all__", "qmj")
     return parts.drop("all__").join(final, ["id", *GEO], "left").select("excntry", "id", "eom", "qmj_prof", "qmj_growth", "qmj_safety", "qmj")

@@ -8,6 +8,7 @@ from ..operators import factors as fa
 from ..operators import market
 from ..operators import portfolios as po
 from ..sources import adapters
+from ..sources.scratch import stage
 from .base_sql import sd, sm, with_
 from .markets import CUT_WHERE, LAGGED, MKT_DBL, OK, SIZE_CUTS, SIZE_GRP, cutoffs_sql, market_sql, qdisc
 from .registry import query
@@ -51,14 +52,14 @@ FROM mk LEFT JOIN ff_be_me b USING (excntry, {date}) LEFT JOIN ff_at_gr1 a USING
 
 
 def _chars(t):
-    df = adapters.security_month(t)
+    df = stage(adapters.security_month(t), "panel")
     df = market.size_groups(df, market.size_cutoffs(df))
     return df.withColumns(
         {
             "be_me": F.col("dolvol") / F.col("me"), "at_gr1": F.col("prc_low") / F.col("prc_high"),
             "niq_be": F.when((F.col("id") + F.col("midx")) % 7 != 0, F.col("tvol")),
         }
-    )
+    ).transform(lambda x: stage(x, "sorted"))
 
 
 @query(
@@ -153,7 +154,7 @@ PCT = {n: f"r_{n} / k_{n}" for n in MIS}
     "mispricing_perf mispricing_mgmt",
 )
 def _mis(t):
-    return fa.mispricing(_fake(adapters.security_month(t, "part"), MIS), 30)
+    return fa.mispricing(stage(_fake(adapters.security_month(t, "part"), MIS), "panel"), 30)
 
 
 Z_ALL = {k: v for g in fa.QUALITY.values() for k, v in g.items()}
@@ -177,7 +178,7 @@ ONE = {"prof": False, "growth": False, "safety": False}
     "qmj_prof:5 qmj_growth:5 qmj_safety:5 qmj:4",
 )
 def _qmj(t):
-    return fa.quality_minus_junk(_fake(adapters.security_month(t, "part"), Q_IN), 30)
+    return fa.quality_minus_junk(stage(_fake(adapters.security_month(t, "part"), Q_IN), "panel"), 30)
 
 
 # ---- characteristic portfolios ---------------------------------------------------------------------
@@ -193,7 +194,7 @@ def pc_ctes(country="region"):
 
 
 def _pc(t, country="region"):
-    df = adapters.security_month(t, "part", country)
+    df = stage(adapters.security_month(t, "part", country), "panel")
     cuts = market.size_cutoffs(df)
     i, m = F.col("id"), F.col("midx")
     df = market.size_groups(df, cuts).withColumns(
@@ -203,7 +204,7 @@ def _pc(t, country="region"):
             "ret_exc_lead1m": 0.02 * (i % 7) - 0.05 + 0.001 * (m % 5),
         }
     )
-    return po.screen(po.cap_equity(df, cuts))
+    return stage(po.screen(po.cap_equity(df, cuts)), "stocks")
 
 
 def place_ctes(min_n=10, k=3, bps="size_grp IN ('mega', 'large', 'small')"):
@@ -283,7 +284,7 @@ def _dpf(t):
     "portfolio_signals",
     with_(*pc_ctes(), *place_ctes(), WTS)
     + f"SELECT wt.excntry, characteristic, pf, last_day(CAST(wt.eom + INTERVAL 1 MONTH AS DATE)) AS eom, " + ", ".join(f"sum(w_vw_cap * coalesce(CAST(p1.{c} AS DOUBLE), 0)) AS {c}" for c in CHARS) + " FROM wt JOIN p1 USING (id, eom) GROUP BY wt.excntry, characteristic, pf, wt.eom",
-    "c_price:6 c_volume:6 c_range:6 c_size:4",
+    "c_price:6 c_volume:6 c_range:6 c_size:5",
 )
 def _sig(t):
     return po.portfolio_signals(_pc(t), CHARS)
@@ -297,11 +298,13 @@ def _sig(t):
         "r1 AS (SELECT *, p - avg(p) OVER (PARTITION BY excntry, characteristic, size_grp, eom) AS dev FROM r0)",
         "r2 AS (SELECT *, dev / nullif(sum(abs(dev)) OVER (PARTITION BY excntry, characteristic, size_grp, eom) / 2, 0) AS w FROM r1)",
     )
-    + f"SELECT excntry, characteristic, size_grp, {NEXT}, count(*) AS n_stocks, sum(ret_exc_lead1m * w) AS ret_weighted, sum(var * w) AS signal_weighted FROM r2 GROUP BY excntry, characteristic, size_grp, r2.eom HAVING stddev_samp(var) <> 0",
-    "ret_weighted signal_weighted:5",
+    + f"SELECT excntry, characteristic, size_grp, {NEXT}, count(*) AS n_stocks, sum(ret_exc_lead1m / 7 * w) AS ret_weighted, sum(var / 7 * w) AS signal_weighted FROM r2 GROUP BY excntry, characteristic, size_grp, r2.eom HAVING stddev_samp(var) <> 0",
+    "ret_weighted:9 signal_weighted:6",
 )
 def _cmp(t):
-    return po.managed_portfolios(_pc(t), CHARS)
+    # sevenths keep the results clear of exact decimal halves, which engines round differently
+    df = _pc(t)
+    return po.managed_portfolios(df.withColumns({c: F.col(c) / 7 for c in (*CHARS, "ret_exc_lead1m")}), CHARS)
 
 
 def hml_sql(src, date, k=3, signal=True):
