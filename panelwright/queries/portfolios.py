@@ -298,13 +298,13 @@ def _sig(t):
         "r1 AS (SELECT *, p - avg(p) OVER (PARTITION BY excntry, characteristic, size_grp, eom) AS dev FROM r0)",
         "r2 AS (SELECT *, dev / nullif(sum(abs(dev)) OVER (PARTITION BY excntry, characteristic, size_grp, eom) / 2, 0) AS w FROM r1)",
     )
-    + f"SELECT excntry, characteristic, size_grp, {NEXT}, count(*) AS n_stocks, sum(ret_exc_lead1m / 7 * w) AS ret_weighted, sum(var / 7 * w) AS signal_weighted FROM r2 GROUP BY excntry, characteristic, size_grp, r2.eom HAVING stddev_samp(var) <> 0",
+    + f"SELECT excntry, characteristic, size_grp, {NEXT}, count(*) AS n_stocks, sum(ret_exc_lead1m / 7.3::DOUBLE * w) AS ret_weighted, sum(var / 7.3::DOUBLE * w) AS signal_weighted FROM r2 GROUP BY excntry, characteristic, size_grp, r2.eom HAVING stddev_samp(var) <> 0",
     "ret_weighted:9 signal_weighted:6",
 )
 def _cmp(t):
-    # sevenths keep the results clear of exact decimal halves, which engines round differently
+    # an odd divisor keeps the results clear of exact decimal halves, which engines round differently
     df = _pc(t)
-    return po.managed_portfolios(df.withColumns({c: F.col(c) / 7 for c in (*CHARS, "ret_exc_lead1m")}), CHARS)
+    return po.managed_portfolios(df.withColumns({c: F.col(c) / 7.3 for c in (*CHARS, "ret_exc_lead1m")}), CHARS)
 
 
 def hml_sql(src, date, k=3, signal=True):
