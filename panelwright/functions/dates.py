@@ -44,3 +44,11 @@ def months_or_empty(first: Column, last: Column) -> Column:
         F.array().cast("array<date>")
     )
     return F.transform(seq, lambda x: F.last_day(x))
+
+
+def month_steps_or_empty(first: Column, last: Column) -> Column:
+    """Month ends of first, first + 1 month, ... for as long as the stepped date is <= last."""
+    n = month_index(last) - month_index(first)
+    steps = F.when(n >= 0, F.sequence(F.lit(0), n)).otherwise(F.array().cast("array<int>"))
+    kept = F.filter(steps, lambda k: F.add_months(first, k) <= last)
+    return F.transform(kept, lambda k: F.last_day(F.add_months(first, k)))

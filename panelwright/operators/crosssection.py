@@ -33,7 +33,8 @@ def slot_of(v: Column) -> Column:
     At most 2 * 16 * (ln(1.8e308) + ln(1e6)) = about 23,000 slots exist, whatever the data.
     """
     x = v.cast("double")
-    slot = F.floor(F.signum(x) * F.log1p(F.abs(x) * SLOT_SCALE) * SLOTS_PER_E).cast("int")
+    size = F.least(F.abs(x), F.lit(1e300))  # beyond that the product below would overflow
+    slot = F.floor(F.signum(x) * F.log1p(size * SLOT_SCALE) * SLOTS_PER_E).cast("int")
     # declared non-null, so joins on the slot add no filter that would keep Spark from reusing
     # the exchange below
     return F.coalesce(slot, F.lit(0))

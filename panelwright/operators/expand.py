@@ -8,18 +8,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import days_or_empty, months_or_empty
+from ..functions.dates import days_or_empty, month_steps_or_empty, months_or_empty
 
 
 def expand_interval(
     df: DataFrame, ids: list[str], start: str, end: str, freq: str = "day", name: str = "date"
 ) -> DataFrame:
-    """One row per day or month end in [start, end], one row per (ids, date).
+    """One row per day or month step in [start, end], one row per (ids, date).
 
+    Month steps count from the start date and are snapped to the month end.
     Backward intervals yield nothing. Overlaps of one key are settled in favour of the interval
     that starts last, with the remaining columns as tie-break.
     """
-    seq = days_or_empty if freq == "day" else months_or_empty
+    seq = days_or_empty if freq == "day" else month_steps_or_empty
     rest = [c for c in df.columns if c not in (*ids, start, end)]
     out = df.withColumn(name, F.explode(seq(F.col(start), F.col(end))))
     if not rest:

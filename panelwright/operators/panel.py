@@ -30,10 +30,17 @@ class History:
         self.window = Window.partitionBy(*keys).orderBy(order)
         self._need: dict[str, Column] = {}
 
-    def lag(self, col: str, k: int) -> Column:
+        self._over = f"(PARTITION BY {', '.join(keys)} ORDER BY {order})"
+
+    def lag_name(self, col: str, k: int) -> str:
+        """Request a lag and return the name its column will have."""
         name = f"lag{k}__{col}"
-        self._need[name] = F.lag(col, k).over(self.window)
-        return F.col(name)
+        if name not in self._need:
+            self._need[name] = F.expr(f"lag(`{col}`, {k}) OVER {self._over}")
+        return name
+
+    def lag(self, col: str, k: int) -> Column:
+        return F.col(self.lag_name(col, k))
 
     def diff(self, col: str, k: int) -> Column:
         return F.col(col) - self.lag(col, k)

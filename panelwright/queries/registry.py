@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.tables import Tables
@@ -33,15 +32,17 @@ def query(name: str, sql: str | None = None, dbl: str = ""):
     def wrap(fn: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = fn(Tables(spark, sf_dir))
+            whole = (T.IntegerType, T.ShortType, T.ByteType)
             cols = []
             for f in df.schema.fields:
-                c = F.col(f"`{f.name}`")
+                c = f"`{f.name}`"
                 if f.name in digits:
-                    c = F.round(c.cast("double"), digits[f.name]) + F.lit(0.0)
-                elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-                    c = c.cast("long")
-                cols.append(c.alias(f.name))
-            return df.select(*cols)
+                    cols.append(f"round(CAST({c} AS DOUBLE), {digits[f.name]}) + 0.0D AS {c}")
+                elif isinstance(f.dataType, whole):
+                    cols.append(f"CAST({c} AS BIGINT) AS {c}")
+                else:
+                    cols.append(c)
+            return df.selectExpr(*cols)
 
         run.__name__ = name
         run.__doc__ = fn.__doc__

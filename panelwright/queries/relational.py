@@ -402,7 +402,8 @@ def _expand(t):
 
 @query(
     "expand_interval_month",
-    with_(INTERVALS, "e AS (SELECT custkey, from_date, code, last_day(CAST(unnest(generate_series(date_trunc('month', from_date), date_trunc('month', thru_date), INTERVAL 1 MONTH)) AS DATE)) AS eom FROM iv WHERE thru_date IS NOT NULL)")
+    with_(INTERVALS, "e0 AS (SELECT *, unnest(range(0, (year(thru_date) - year(from_date)) * 12 + month(thru_date) - month(from_date) + 1)) AS k FROM iv WHERE thru_date IS NOT NULL)",
+          "e AS (SELECT custkey, from_date, code, last_day(CAST(from_date + to_months(CAST(k AS INTEGER)) AS DATE)) AS eom FROM e0 WHERE CAST(from_date + to_months(CAST(k AS INTEGER)) AS DATE) <= thru_date)")
     + "SELECT DISTINCT ON (custkey, eom) custkey, code, eom FROM e ORDER BY custkey, eom, from_date DESC, code DESC",
 )
 def _expand_m(t):

@@ -298,7 +298,7 @@ def _resmom_sql(incl, skip):
     )
 
 
-@query("residual_momentum_12_1", _resmom_sql(12, 1), "resff3_12_1:5")
+@query("residual_momentum", _resmom_sql(12, 1), "resff3_12_1:5")
 def _resmom12(t):
     return rolling.residual_momentum(_rows(t), 36, 24, 12, 1)
 

@@ -253,15 +253,14 @@ def _quarter_amounts(t: Tables) -> DataFrame:
     )
 
 
-def _items(skip: tuple[str, ...] = ()) -> dict:
-    out = {}
-    for j, (name, base) in enumerate(ACCOUNT_ITEMS.items()):
-        if name in skip:
-            continue
-        share = F.lit(0.10) + F.lit(j % 17) / F.lit(50.0)
-        gone = (F.col("id") + 3 * F.col("qidx") + j) % (9 + j % 5) == 0
-        out[name] = F.when(~gone, F.round(F.col(base) * share, 6))
-    return out
+def _items() -> dict:
+    return {
+        name: F.expr(
+            f"CASE WHEN (id + 3 * qidx + {j}) % {9 + j % 5} <> 0 "
+            f"THEN round({base} * (0.10D + {j % 17} / 50.0D), 6) END"
+        )
+        for j, (name, base) in enumerate(ACCOUNT_ITEMS.items())
+    }
 
 
 def _firm_keys() -> dict:
