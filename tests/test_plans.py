@@ -47,3 +47,20 @@ def test_daily_grid_runs_in_one_pass(spark):
     assert keys == 0
     row = out.agg(*[F.count(c).alias(c) for c in ("rvol_21d", "beta_dimson_126d", "zero_trades_126d", "betabab_1260d", "bidaskhl_21d")]).first()
     assert all(row), row
+
+
+def test_characteristics_build(spark):
+    t = Tables(spark, SF)
+    month = adapters.security_month(t).withColumns({"gvkey": F.lpad(F.col("id").cast("string"), 6, "0"), "me_company": F.col("me")})
+    fx = expand.fx_daily(joins.cross_rate(adapters.fx_quotes(t)))
+    rules = ch.Rules(
+        min_breakpoint_stocks=1, min_portfolio_stocks=1, min_rank_stocks=2, beta_months=24, beta_min=12, resmom=((24, 12, 6, 1),), spread_min_days=1,
+        dimson_month_min=1, home="AMERICA",
+        daily_grid=(("rvol", "_21d", 3), ("rmax", "_21d", 3), ("rvol", "_252d", 20), ("mktvol", "_252d", 20), ("mktcorr", "_1260d", 50)),
+    )
+    out = ch.characteristics(month, adapters.security_day(t), adapters.firm_accounting(t), adapters.firm_accounting(t, "quarterly"), fx, rules)
+    names = set(out.columns)
+    assert {"ret_12_1", "be_me", "f_score", "beta_24m", "resff3_6_1", "betabab_1260d", "mispricing_mgmt", "qmj", "bidaskhl_21d"} <= names
+    assert len(names) == len(out.columns)
+    seen = out.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id", "eom").alias("k"), F.count("at_me").alias("a"), F.count("ret_12_1").alias("m")).first()
+    assert seen.n == seen.k == month.count() and seen.a and seen.m
