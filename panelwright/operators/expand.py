@@ -126,7 +126,11 @@ def densify_months(df: DataFrame, ids: list[str], date: str) -> DataFrame:
 
 def publication_expand(df: DataFrame, key: str, date: str, lag: int, max_lag: int, name: str = "public_date") -> DataFrame:
     """Month ends at which a report is the latest public one: from ``lag`` months after its date
-    to the month before the next report becomes public, at most ``max_lag`` months after."""
+    to the month before the next report becomes public, at most ``max_lag`` months after.
+
+    The input is unique on (key, date), so the intervals of a key never overlap and wide rows are
+    exploded as they are, without a second shuffle.
+    """
     w = Window.partitionBy(key).orderBy(date)
     staged = df.withColumn("from__", F.last_day(F.add_months(date, lag))).withColumn(
         "next__", F.lead("from__").over(w)
@@ -134,8 +138,7 @@ def publication_expand(df: DataFrame, key: str, date: str, lag: int, max_lag: in
     until = F.least(
         F.last_day(F.add_months("next__", -1)), F.last_day(F.add_months(date, max_lag))
     )
-    staged = staged.withColumn("until__", until).drop("next__")
-    return expand_interval(staged, [key], "from__", "until__", "month", name)
+    return staged.withColumn(name, F.explode(months_or_empty(F.col("from__"), until))).drop("from__", "next__")
 
 
 def forward_fill(df: DataFrame, key: str, order: str, cols: list[str]) -> DataFrame:
