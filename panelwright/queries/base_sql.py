@@ -127,7 +127,7 @@ FXQ = """fxq AS (
     CASE WHEN c_nationkey = 24 THEN 'USD' WHEN c_nationkey = 23 THEN 'GBP'
       ELSE 'C' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') END AS tocurd,
     CAST(date_trunc('month', o_orderdate) AS DATE) AS datadate,
-    round(avg(o_totalprice) / 100000, 6) AS exratd
+    round(avg(o_totalprice) / 100000, 11) AS exratd
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"""
 
 

@@ -208,7 +208,7 @@ def fx_quotes(t: Tables) -> DataFrame:
     return (
         t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy(code.alias("tocurd"), F.trunc(F.to_date("o_orderdate"), "MM").alias("datadate"))
-        .agg(F.round(F.avg("o_totalprice") / 100000, 6).alias("exratd"))
+        .agg(F.round(F.avg("o_totalprice") / 100000, 11).alias("exratd"))
         .select(F.lit("GBP").alias("fromcurd"), "tocurd", "datadate", "exratd")
     )
 
