@@ -14,22 +14,24 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import block_count, bucket_rows, in_blocks, sorted_rows
+from .shared import block_count, bucket_rows, in_blocks, pack_strings, sorted_rows, squeeze, unpack_strings, unsqueeze, worker_cache
 
-WORDS = "block int, bucket int, words array<binary>"
-CODES = "block int, words array<binary>, sizes binary, ids binary"
-WORDS_T = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("words", pa.list_(pa.binary()))])
-CODES_T = pa.schema([("block", pa.int32()), ("words", pa.list_(pa.binary())), ("sizes", pa.binary()), ("ids", pa.binary())])
+WORDS = "block int, bucket int, lengths binary, words binary"
+CODES = "block int, bucket int, sizes binary, ids binary"
+WORDS_T = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("lengths", pa.binary()), ("words", pa.binary())])
+CODES_T = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("sizes", pa.binary()), ("ids", pa.binary())])
 ENCODED_T = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
@@ -39,52 +41,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in lines}
 
 
-def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one pre-token: join the neighbours of lowest rank, leftmost first, until none can be joined."""
-    if word in ranks:
-        return [ranks[word]]
-    if len(word) > 200:
-        return merge_long(word, ranks)
-    parts = [word[i : i + 1] for i in range(len(word))]
-    far = len(ranks) + (1 << 30)
-    pairs = [ranks.get(parts[i] + parts[i + 1], far) for i in range(len(parts) - 1)]
-    while pairs and (low := min(pairs)) < far:
-        i = pairs.index(low)
-        parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        del pairs[i]
-        if i:
-            pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], far)
-        if i < len(pairs):
-            pairs[i] = ranks.get(parts[i] + parts[i + 1], far)
-    return [ranks[p] for p in parts]
-
-
-def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same with a heap and linked neighbours, for words of any length."""
-    import heapq
-
-    n = len(word)
-    stop, after, before = list(range(1, n + 1)), list(range(1, n + 1)), list(range(-1, n - 1))
-    alive = [True] * n
-
-    def rank(i: int):
-        j = after[i]
-        return ranks.get(word[i : stop[j]]) if j < n else None
-
-    heap = [(r, i, stop[i], stop[after[i]]) for i in range(n - 1) if (r := rank(i)) is not None]
-    heapq.heapify(heap)
-    while heap:
-        _, i, mid, end = heapq.heappop(heap)
-        if not alive[i] or stop[i] != mid or after[i] >= n or stop[after[i]] != end:
-            continue
-        j = after[i]
-        alive[j], stop[i], after[i] = False, end, after[j]
-        if after[i] < n:
-            before[after[i]] = i
-        for k in (before[i], i):
-            if k >= 0 and (r := rank(k)) is not None:
-                heapq.heappush(heap, (r, k, stop[k], stop[after[k]]))
-    return [ranks[word[i : stop[i]]] for i in range(n) if alive[i]]
+def encoding(ranks: dict[bytes, int], pattern: str) -> tiktoken.Encoding:
+    """The merges of one pre-token, made once in a worker."""
+    cache = worker_cache()
+    if cache.get("encoding_key") != (len(ranks), pattern, hash(frozenset(ranks.items()))):
+        cache["encoding_key"] = (len(ranks), pattern, hash(frozenset(ranks.items())))
+        cache["encoding"] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return cache["encoding"]
 
 
 def block_words(texts: list[str], pattern) -> tuple[list[str], list[np.ndarray]]:
@@ -100,37 +63,40 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, blocks: int |
     table = docs.sparkSession.sparkContext.broadcast(ranks)
     rows = in_blocks(docs, n)
 
-    def send(group: pa.Table) -> pa.Table:
-        words, _ = block_words([t or "" for t in group.column("text").to_pylist()], regex.compile(pattern))
-        words = [w.encode() for w in words]
+    def in_buckets(words: list[str]):
         keys = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+        return bucket_rows(keys, n)
+
+    def send(group: pa.Table) -> pa.Table:
+        words, _ = block_words([t or "" for t in sorted_rows(group).column("text").to_pylist()], regex.compile(pattern))
         block = group.column("block")[0].as_py()
-        out = [(block, bucket, [words[i] for i in part]) for bucket, part in bucket_rows(keys, n)]
-        return pa.table([list(c) for c in zip(*out)] or [[], [], []], schema=WORDS_T)
+        out = [(block, bucket, *pack_strings([words[i].encode() for i in part])) for bucket, part in in_buckets(words)]
+        return pa.table([list(c) for c in zip(*out)] or [[], [], [], []], schema=WORDS_T)
 
     def encode_once(group: pa.Table) -> pa.Table:
-        known: dict[bytes, np.ndarray] = {}
-        get = table.value
+        known: dict[bytes, list[int]] = {}
+        ids_of = encoding(table.value, pattern).encode_ordinary
         sizes, ids = [], []
-        lists = group.column("words").to_pylist()
-        for words in lists:
-            for w in words:
-                if w not in known:
-                    known[w] = np.array(merge(w, get), np.uint32)
-            got = [known[w] for w in words]
-            sizes.append(np.fromiter(map(len, got), np.uint32, len(got)).tobytes())
-            ids.append(np.concatenate(got).tobytes())
-        return pa.table([group.column("block").combine_chunks(), pa.array(lists, pa.list_(pa.binary())), sizes, ids], schema=CODES_T)
+        for lengths, words in zip(group.column("lengths").to_pylist(), group.column("words").to_pylist()):
+            got = []
+            for w in unpack_strings(lengths, words):
+                if (code := known.get(w)) is None:
+                    code = known[w] = ids_of(w.decode())
+                got.append(code)
+            sizes.append(squeeze(np.fromiter(map(len, got), np.uint32, len(got)).tobytes()))
+            ids.append(squeeze(np.fromiter(chain.from_iterable(got), np.uint32).tobytes()))
+        return pa.table([group.column("block"), group.column("bucket"), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())], schema=CODES_T)
 
     def put_back(key, left: pa.Table, right: pa.Table) -> pa.Table:
         left = sorted_rows(left)
-        ids_of: dict[bytes, np.ndarray] = {}
-        for words, sizes, ids in zip(*(right.column(c).to_pylist() for c in ("words", "sizes", "ids"))):
-            cuts = np.cumsum(np.frombuffer(sizes, np.uint32))[:-1]
-            ids_of.update(zip(words, np.split(np.frombuffer(ids, np.uint32), cuts)))
         texts = [t or "" for t in left.column("text").to_pylist()]
         words, at = block_words(texts, regex.compile(pattern))
-        got = [ids_of[w.encode()] for w in words]
+        codes_of = {b: (s, i) for b, s, i in zip(*(right.column(c).to_pylist() for c in ("bucket", "sizes", "ids")))}
+        got: list[np.ndarray] = [None] * len(words)
+        for bucket, part in in_buckets(words):
+            sizes, ids = (np.frombuffer(unsqueeze(x), np.uint32) for x in codes_of[bucket])
+            for i, code in zip(part.tolist(), np.split(ids, np.cumsum(sizes)[:-1])):
+                got[i] = code
         size = np.fromiter(map(len, got), np.int64, len(got))
         flat = np.concatenate(got) if got else np.zeros(0, np.uint32)
         start = np.concatenate(([0], np.cumsum(size)))[:-1] if got else np.zeros(0, np.int64)

@@ -9,7 +9,9 @@ each block sends a key once.
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 
 import numpy as np
@@ -148,3 +150,27 @@ def bucket_rows(keys: np.ndarray, n: int):
     for part in np.split(order, cut) if len(order) else ():
         yield int(bucket[part[0]]), part
 
+
+
+def squeeze(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True) if data else b""
+
+
+def unsqueeze(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True) if data else b""
+
+
+def pack_strings(strings: list[bytes]) -> tuple[bytes, bytes]:
+    """Lengths and contents, each compressed."""
+    return squeeze(np.fromiter(map(len, strings), np.uint32, len(strings)).tobytes()), squeeze(b"".join(strings))
+
+
+def unpack_strings(lengths: bytes, contents: bytes) -> list[bytes]:
+    data = unsqueeze(contents)
+    stop = np.cumsum(np.frombuffer(unsqueeze(lengths), np.uint32), dtype=np.int64).tolist()
+    return [data[a:b] for a, b in zip([0, *stop], stop)]
+
+
+def worker_cache() -> dict:
+    """What a Python worker keeps from task to task."""
+    return vars(sys.modules.setdefault("panelwright_worker_cache", types.ModuleType("panelwright_worker_cache")))
