@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe
+from pyspark.sql import functions as F
+
+from . import bpe, suffix_array, suffix_tree
 from .shared import documents
 
 QUERIES = {}
@@ -21,3 +23,17 @@ def op1_bpe_round_trip(spark, sf_dir):
     """Ids of every text by the rank file, and the bytes decoded from them."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return bpe.encode_digests(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
+@register
+def op8_suffix_array_dedup(spark, sf_dir):
+    """Bytes left when every byte of a repeated 100-byte string but the first is cut."""
+    kept = suffix_array.remove_repeats(documents(spark, sf_dir))
+    return kept.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register
+def op10_suffix_tree_dedup(spark, sf_dir):
+    """Words left when every word of a repeated sequence of 20 words but the first is cut."""
+    kept = suffix_tree.remove_repeats(documents(spark, sf_dir))
+    return kept.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
