@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import bpe, suffix_array, suffix_tree
+from . import bpe, decontaminate, suffix_array, suffix_tree, token_counts, url_filter
 from .shared import documents
 
 QUERIES = {}
@@ -18,6 +20,10 @@ def register(fn):
     return fn
 
 
+def oracle(name: str, sql: str) -> None:
+    ORACLES[name] = sql
+
+
 @register
 def op1_bpe_round_trip(spark, sf_dir):
     """Ids of every text by the rank file, and the bytes decoded from them."""
@@ -25,6 +31,68 @@ def op1_bpe_round_trip(spark, sf_dir):
     return bpe.encode_digests(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+@register
+def op5_decontamination(spark, sf_dir):
+    """Words of each document that lie inside a 10-word window of a benchmark item."""
+    return decontaminate.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+WORDS_SQL = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+CONTAMINATION_SQL = f"""
+WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS_SQL} AS w FROM benchmark),
+phrases AS (
+    SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS phrase
+    FROM (SELECT item, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM items WHERE len(w) > 0)),
+spans AS (
+    SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS phrase
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM phrases) WHERE len(w) >= n)),
+found AS (SELECT doc_id, i, spans.n AS n, item FROM spans JOIN phrases USING (phrase)),
+hit AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS at FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+oracle("op5_decontamination", CONTAMINATION_SQL)
+
+#: Host, path prefix and verdict of each rule.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+@register
+def op6_url_filter(spark, sf_dir):
+    """The longest rule that fits each page's URL, and its verdict."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url"), rules)
+
+
+oracle(
+    "op6_url_filter",
+    r"""
+WITH rules(rule_host, rule_path, verdict) AS (VALUES """
+    + ", ".join(map(str, URL_RULES))
+    + r"""),
+rest AS (SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+judged AS (
+    SELECT page_id, host, path, (SELECT max_by({'rule': rule_host || rule_path, 'verdict': verdict}, length(rule_host || rule_path)) FROM rules
+        WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS best FROM parts)
+SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict FROM judged
+""",
+)
+
+
+@register
+def op7_token_counts(spark, sf_dir):
+    """Bytes and tokens of every text."""
+    counts = token_counts.token_counts(documents(spark, sf_dir), Path(public_tokenizers.path("word_bpe_49k.json")).read_text(encoding="utf-8"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
 @register
 def op8_suffix_array_dedup(spark, sf_dir):
     """Bytes left when every byte of a repeated 100-byte string but the first is cut."""
