@@ -8,7 +8,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, suffix_array, suffix_tree, token_counts, url_filter
+from . import bpe, decontaminate, lsh_forest, suffix_array, suffix_tree, token_counts, url_filter
 from .shared import documents
 
 QUERIES = {}
@@ -105,3 +105,9 @@ def op10_suffix_tree_dedup(spark, sf_dir):
     """Words left when every word of a repeated sequence of 20 words but the first is cut."""
     kept = suffix_tree.remove_repeats(documents(spark, sf_dir))
     return kept.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register
+def op4_lsh_forest(spark, sf_dir):
+    """Components of texts whose 5-word shingle sets have a similarity of 0.85 or more."""
+    return lsh_forest.near_duplicates(documents(spark, sf_dir)).drop("text_hash")
