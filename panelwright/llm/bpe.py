@@ -1,9 +1,12 @@
 """Byte-level BPE by a global distinct-word shuffle.
 
-A block explodes its texts into pre-tokens with positions and sends each distinct one, once, to the bucket of
-its hash. A bucket merges each distinct word once for the whole corpus and sends the ids back to the blocks
-that asked. The block then puts the ids together by position. Decoding joins the token-byte table, whose size
-is that of the vocabulary file.
+A block of documents explodes its texts into pre-tokens with positions: its distinct words, and the word's number
+at each position. Each distinct word goes once to the bucket of its hash. A bucket merges each distinct word
+once for the whole corpus and sends the ids back to the blocks that asked. The block then puts the ids together
+by position. Decoding joins the token-byte table, whose size is that of the vocabulary file.
+
+Blocks are named by their content and follow the order of the input files; an input without a fixed order (the
+result of a shuffle) should be written before it is encoded, as the stages of the pipeline are.
 
 Null text counts as empty: no ids, no bytes. Rows are neither merged nor dropped; repeated rows give repeated
 results. A document of any length is one row of a block of its own size. Bytes that no rank covers fail, as in
@@ -26,12 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import block_count, bucket_rows, in_blocks, pack_strings, sorted_rows, squeeze, unpack_strings, unsqueeze, worker_cache
+from .shared import block_count, bucket_rows, chunks, pack_strings, raw_texts, squeeze, unpack_strings, unsqueeze, worker_cache
 
-WORDS = "block int, bucket int, lengths binary, words binary"
-CODES = "block int, bucket int, sizes binary, ids binary"
-WORDS_T = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("lengths", pa.binary()), ("words", pa.binary())])
-CODES_T = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("sizes", pa.binary()), ("ids", pa.binary())])
+BLOCK_BYTES = 8 << 20
+BLOCKS = "block long, doc_id array<long>, n_bytes binary, counts binary, codes binary, lengths binary, words binary"
+WORDS = "block long, bucket int, lengths binary, words binary"
+CODES = "block long, bucket int, sizes binary, ids binary"
+BLOCKS_T = pa.schema([("block", pa.int64()), ("doc_id", pa.list_(pa.int64())), *((c, pa.binary()) for c in ("n_bytes", "counts", "codes", "lengths", "words"))])
+WORDS_T = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("lengths", pa.binary()), ("words", pa.binary())])
+CODES_T = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("sizes", pa.binary()), ("ids", pa.binary())])
 ENCODED_T = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
@@ -50,27 +56,43 @@ def encoding(ranks: dict[bytes, int], pattern: str) -> tiktoken.Encoding:
     return cache["encoding"]
 
 
-def block_words(texts: list[str], pattern) -> tuple[list[str], list[np.ndarray]]:
-    """Distinct pre-tokens of a block, and for each text the number of the word at each position."""
-    number: dict[str, int] = {}
-    at = [np.fromiter((number.setdefault(w, len(number)) for w in pattern.findall(t)), np.int32) for t in texts]
-    return list(number), at
+def narrow(x: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes as the greatest needs, compressed; the first byte tells the width."""
+    width = 1 if (most := int(x.max(initial=0))) < 256 else 2 if most < 65536 else 4
+    return bytes([width]) + squeeze(x.astype(f"<u{width}").tobytes())
+
+
+def widen(data: bytes) -> np.ndarray:
+    return np.frombuffer(unsqueeze(data[1:]), f"<u{data[0]}")
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, blocks: int | None = None) -> DataFrame:
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, blocks: int | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, n_bytes, ids) for each row of ``docs`` (doc_id, text)."""
-    n = blocks or block_count(docs)
+    n = blocks or block_count(docs, block_bytes)
     table = docs.sparkSession.sparkContext.broadcast(ranks)
-    rows = in_blocks(docs, n)
 
-    def in_buckets(words: list[str]):
-        keys = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
-        return bucket_rows(keys, n)
+    def explode(batches):
+        find = regex.compile(pattern).findall
+        for b in batches:
+            texts = raw_texts(b)
+            for lo, hi in chunks(texts, block_bytes):
+                number: dict[str, int] = {}
+                at = [np.fromiter((number.setdefault(w, len(number)) for w in find(t.decode())), np.uint32) for t in texts[lo:hi]]
+                ids = b.column("doc_id")[lo:hi].cast(pa.int64())
+                name = xxhash.xxh3_64(repr(ids.to_pylist()).encode())
+                for t in texts[lo:hi]:
+                    name.update(t)
+                lengths, words = pack_strings([w.encode() for w in number])
+                cells = (name.intdigest() - (1 << 63), ids.to_pylist(), squeeze(np.array([len(t) for t in texts[lo:hi]], np.int64).tobytes()), narrow(np.array([len(x) for x in at])), narrow(np.concatenate(at)), lengths, words)
+                yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cells, BLOCKS_T.types)], schema=BLOCKS_T)
+
+    def in_buckets(words: list[bytes]):
+        return bucket_rows(np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words)), n)
 
     def send(group: pa.Table) -> pa.Table:
-        words, _ = block_words([t or "" for t in sorted_rows(group).column("text").to_pylist()], regex.compile(pattern))
+        words = unpack_strings(group.column("lengths")[0].as_py(), group.column("words")[0].as_py())
         block = group.column("block")[0].as_py()
-        out = [(block, bucket, *pack_strings([words[i].encode() for i in part])) for bucket, part in in_buckets(words)]
+        out = [(block, bucket, *pack_strings([words[i] for i in part])) for bucket, part in in_buckets(words)]
         return pa.table([list(c) for c in zip(*out)] or [[], [], [], []], schema=WORDS_T)
 
     def encode_once(group: pa.Table) -> pa.Table:
@@ -83,34 +105,37 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, blocks: int |
                 if (code := known.get(w)) is None:
                     code = known[w] = ids_of(w.decode())
                 got.append(code)
-            sizes.append(squeeze(np.fromiter(map(len, got), np.uint32, len(got)).tobytes()))
-            ids.append(squeeze(np.fromiter(chain.from_iterable(got), np.uint32).tobytes()))
+            sizes.append(narrow(np.fromiter(map(len, got), np.uint32, len(got))))
+            ids.append(narrow(np.fromiter(chain.from_iterable(got), np.uint32)))
         return pa.table([group.column("block"), group.column("bucket"), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())], schema=CODES_T)
 
     def put_back(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        left = sorted_rows(left)
-        texts = [t or "" for t in left.column("text").to_pylist()]
-        words, at = block_words(texts, regex.compile(pattern))
-        codes_of = {b: (s, i) for b, s, i in zip(*(right.column(c).to_pylist() for c in ("bucket", "sizes", "ids")))}
-        got: list[np.ndarray] = [None] * len(words)
-        for bucket, part in in_buckets(words):
-            sizes, ids = (np.frombuffer(unsqueeze(x), np.uint32) for x in codes_of[bucket])
-            for i, code in zip(part.tolist(), np.split(ids, np.cumsum(sizes)[:-1])):
-                got[i] = code
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.concatenate(got) if got else np.zeros(0, np.uint32)
-        start = np.concatenate(([0], np.cumsum(size)))[:-1] if got else np.zeros(0, np.int64)
         out = []
-        for codes in at:
-            m = size[codes]
-            total = int(m.sum())
-            where = np.repeat(start[codes] - np.concatenate(([0], np.cumsum(m)))[:-1], m) + np.arange(total) if total else np.zeros(0, np.int64)
-            out.append(flat[where].astype(np.int32))
-        n_bytes = [len(t.encode()) for t in texts]
-        offsets = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in out]))), pa.int32())
-        ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(out)))
-        return pa.table([left.column("doc_id").combine_chunks(), pa.array(n_bytes, pa.int64()), ids], schema=ENCODED_T)
-
+        for row in left.to_pylist():
+            words = unpack_strings(row["lengths"], row["words"])
+            size, start = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+            codes_of = {b: (s, i) for b, s, i in zip(*(right.column(c).to_pylist() for c in ("bucket", "sizes", "ids")))}
+            flat, held = [np.zeros(0, np.int32)], 0
+            for bucket, part in in_buckets(words):
+                sizes, ids = (widen(x) for x in codes_of[bucket])
+                size[part] = sizes
+                start[part] = held + np.cumsum(sizes, dtype=np.int64) - sizes
+                flat.append(ids.astype(np.int32))
+                held += len(ids)
+            flat = np.concatenate(flat)
+            codes, counts = widen(row["codes"]), widen(row["counts"])
+            ends = np.cumsum(counts, dtype=np.int64)
+            lists = []
+            for lo, hi in zip((ends - counts).tolist(), ends.tolist()):
+                m = size[codes[lo:hi]]
+                stop = np.cumsum(m)
+                lists.append(flat[np.repeat(start[codes[lo:hi]] - stop + m, m) + np.arange(stop[-1])] if len(m) else flat[:0])
+            offsets = np.cumsum([0, *map(len, lists)])
+            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(lists)))
+            out.append(pa.table([pa.array(row["doc_id"], pa.int64()), pa.array(np.frombuffer(unsqueeze(row["n_bytes"]), np.int64)), ids], schema=ENCODED_T))
+        return pa.concat_tables(out) if out else ENCODED_T.empty_table()
+
+    rows = docs.select("doc_id", "text").mapInArrow(explode, BLOCKS).repartition(n, "block")
     words = rows.groupBy("block").applyInArrow(send, WORDS)
     codes = words.repartition(n, "bucket").groupBy("bucket").applyInArrow(encode_once, CODES)
     return rows.groupBy("block").cogroup(codes.groupBy("block")).applyInArrow(put_back, "doc_id long, n_bytes long, ids array<int>")
@@ -119,13 +144,17 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, blocks: int |
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Adds the bytes that a column of ids stands for; null ids give null. The token-byte table has one row per
     id, so that each batch holds its hash side whole."""
-    table = encoded.sparkSession.sparkContext.broadcast({i: t for t, i in ranks.items()})
+    table = encoded.sparkSession.sparkContext.broadcast(ranks)
     schema = T.StructType([*encoded.schema.fields, T.StructField(out, T.BinaryType())])
 
     def join(batches):
-        token = table.value.__getitem__
+        token = np.full(max(table.value.values(), default=0) + 1, None, object)
+        for t, i in table.value.items():
+            token[i] = t
         for b in batches:
-            texts = [None if x is None else b"".join(map(token, x)) for x in b.column(ids).to_pylist()]
+            lists = b.column(ids)
+            flat, at = lists.values.to_numpy(), lists.offsets.to_numpy()
+            texts = [b"".join(token[flat[i:j]].tolist()) if ok else None for i, j, ok in zip(at[:-1], at[1:], lists.is_valid().to_pylist())]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.binary())], [*b.schema.names, out])
 
     return encoded.mapInArrow(join, schema)
