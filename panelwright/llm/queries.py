@@ -8,7 +8,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, lsh_forest, suffix_array, suffix_tree, token_counts, url_filter
+from . import bpe, decontaminate, line_dedup, lsh_forest, suffix_array, suffix_tree, token_counts, url_filter
 from .shared import documents
 
 QUERIES = {}
@@ -111,3 +111,10 @@ def op10_suffix_tree_dedup(spark, sf_dir):
 def op4_lsh_forest(spark, sf_dir):
     """Components of texts whose 5-word shingle sets have a similarity of 0.85 or more."""
     return lsh_forest.near_duplicates(documents(spark, sf_dir)).drop("text_hash")
+
+
+@register
+def op9_line_dedup(spark, sf_dir):
+    """Texts without lines that repeat an earlier one with at most two changes."""
+    kept = line_dedup.dedup_lines(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_removed", "n_near", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))

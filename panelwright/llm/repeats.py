@@ -143,7 +143,7 @@ def block_rows(table: pa.Table):
 
 
 def table_of(names: str, rows: list[tuple]) -> pa.Table:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
     schema = pa.schema([(n, kinds[k]) for n, k in (c.split() for c in names.split(", "))])
     return pa.table([list(c) for c in zip(*rows)] if rows else [[] for _ in schema], schema=schema)
 
