@@ -8,7 +8,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_dedup, lsh_forest, suffix_array, suffix_tree, token_counts, url_filter
+from . import bpe, decontaminate, line_dedup, lsh_forest, quality, suffix_array, suffix_tree, token_counts, url_filter
 from .shared import documents
 
 QUERIES = {}
@@ -118,3 +118,12 @@ def op9_line_dedup(spark, sf_dir):
     """Texts without lines that repeat an earlier one with at most two changes."""
     kept = line_dedup.dedup_lines(documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_removed", "n_near", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@register
+def op2_bradley_terry(spark, sf_dir):
+    """Quality score of every text, learned from pairs of labelled ones."""
+    docs = documents(spark, sf_dir)
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= model.cut).cast("int").alias("predicted"))
