@@ -8,7 +8,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_dedup, lsh_forest, quality, suffix_array, suffix_tree, token_counts, url_filter
+from . import bpe, decontaminate, line_dedup, lsh_forest, prefix_hash, quality, suffix_array, suffix_tree, token_counts, url_filter
 from .shared import documents
 
 QUERIES = {}
@@ -127,3 +127,9 @@ def op2_bradley_terry(spark, sf_dir):
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = quality.score(docs, model)
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= model.cut).cast("int").alias("predicted"))
+
+
+@register
+def op3_prefix_hashes(spark, sf_dir):
+    """Fingerprints of every text and of its edited form, and how like they are."""
+    return prefix_hash.fingerprints(documents(spark, sf_dir))
