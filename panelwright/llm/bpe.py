@@ -26,7 +26,6 @@ import regex
 import tiktoken
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import block_count, bucket_rows, chunks, pack_strings, raw_texts, squeeze, unpack_strings, unsqueeze, worker_cache
@@ -160,11 +159,14 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: s
     return encoded.mapInArrow(join, schema)
 
 
+DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, same_bytes boolean"
 DIGESTS_T = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("same_bytes", pa.bool_())])
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """Counts and digests of ids and of decoded bytes, and whether as many bytes came back as went in."""
+def digests(decoded: DataFrame, keep_ids: bool = False) -> DataFrame:
+    """Counts and digests of ids and of decoded bytes, whether as many bytes came back as went in, and the ids if
+    asked for."""
+    kind = DIGESTS_T.append(pa.field("ids", pa.list_(pa.int32()))) if keep_ids else DIGESTS_T
 
     def run(batches):
         for b in batches:
@@ -174,10 +176,11 @@ def digests(decoded: DataFrame) -> DataFrame:
             a = [hashlib.sha256(packed[i:j]).hexdigest() for i, j in zip(offset[:-1], offset[1:])]
             d = b.column("decoded").to_pylist()
             same = [len(x) == n for x, n in zip(d, b.column("n_bytes").to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(offset).astype(np.int64)), pa.array(a), pa.array([hashlib.sha256(x).hexdigest() for x in d]), pa.array(same)], schema=DIGESTS_T)
+            cols = [b.column("doc_id"), pa.array(np.diff(offset).astype(np.int64)), pa.array(a), pa.array([hashlib.sha256(x).hexdigest() for x in d]), pa.array(same)]
+            yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip([*cols, ids], kind.types)], schema=kind)
 
-    return decoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, same_bytes boolean")
+    return decoded.mapInArrow(run, DIGESTS + ", ids array<int>" * keep_ids)
 
 
-def encode_digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    return digests(decode(encode(docs.select(F.col("doc_id"), F.col("text")), ranks, pattern), ranks))
+def encode_digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep_ids: bool = False) -> DataFrame:
+    return digests(decode(encode(docs.select("doc_id", "text"), ranks, pattern), ranks), keep_ids)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stage
+from .shared import stage, unused
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -95,17 +95,30 @@ def near_matches(wanted: DataFrame, index: DataFrame, terms: DataFrame, within:
     return good.select("phrase_id", "doc", "text_hash", "start", F.array_max(F.transform("inside", lambda h: h["pos"])).alias("stop")).distinct()
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_hit (words inside an occurring phrase), n_items, items_sha256,
-    contaminated."""
+def occurrences(docs: DataFrame, items: DataFrame, window: int = 10) -> tuple[DataFrame, DataFrame]:
+    """(phrase_id, doc, text_hash, start, n) of every item window in ``docs``, and (phrase_id, item)."""
     listed = phrases(items, window)
     wanted = stage(listed.select("phrase").distinct().withColumn("phrase_id", F.monotonically_increasing_id()), "wanted")
     terms = stage(wanted.select(F.explode("phrase").alias("word")).distinct().withColumn("term", F.monotonically_increasing_id()), "terms")
     index = stage(postings(docs, terms), "postings")
-    found = stage(find_phrases(docs, wanted, index, terms), "found")
+    return stage(find_phrases(docs, wanted, index, terms), "found"), listed.join(wanted, "phrase").select("phrase_id", "item")
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
+    """The rows of ``docs`` in which no item window occurs, all columns."""
+    found, _ = occurrences(docs.select("doc_id", "text"), items, window)
+    id_, hash_ = unused(docs, "id"), unused(docs, "hash")
+    hit = found.select(F.col("doc").alias(id_), F.col("text_hash").alias(hash_)).distinct()
+    rows = docs.withColumns({id_: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), hash_: F.xxhash64("text")})
+    return rows.join(hit, [id_, hash_], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_words, n_hit (words inside an occurring phrase), n_items, items_sha256,
+    contaminated."""
+    found, item_of = occurrences(docs, items, window)
     places = F.array_distinct(F.flatten(F.transform(F.collect_list(F.struct("start", "n")), lambda p: F.sequence(p["start"], p["start"] + p["n"] - 1))))
     hit = found.groupBy("doc", "text_hash").agg(F.size(places).alias("n_hit"))
-    item_of = listed.join(wanted, "phrase").select("phrase_id", "item")
     named = found.select("doc", "text_hash", "phrase_id").distinct().join(small(item_of), "phrase_id").groupBy("doc", "text_hash").agg(F.array_sort(F.collect_set("item")).alias("items"))
     result = hit.join(named, ["doc", "text_hash"])
     all_docs = keyed(docs).select("doc", "text_hash", F.size(words(F.col("text"))).alias("n_words"))

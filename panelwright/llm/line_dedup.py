@@ -316,3 +316,12 @@ def dedup_lines(docs: DataFrame, edits: int = 2, least_chars: int = 20, crowd: i
         return pa.table([b.table.column("doc_id"), pa.array(texts, pa.string()), b.table.column("rest"), long(counts), long(removed), long(close)], names=["doc_id", "text", "rest", "n_lines", "n_removed", "n_near"])
 
     return rows.groupBy("block").cogroup(gone.groupBy("block")).applyInArrow(cut, schema)
+
+
+def drop_lines(docs: DataFrame, **how) -> DataFrame:
+    """``docs`` with the repeated lines out of its texts and the same columns; n_chars, if there, counts anew."""
+    out = dedup_lines(docs, **how)
+    cells = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    if "n_chars" in docs.columns:
+        cells["n_chars"] = F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("rest.n_chars"))
+    return out.select(*[cells.get(c, F.col("rest")[c]).alias(c) for c in docs.columns])

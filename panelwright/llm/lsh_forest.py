@@ -13,9 +13,12 @@ Second pass, the exact rest: wherever a region still holds different components,
 components are compared by signature and confirmed on full sets; a region too large for one task is cut into
 pieces, each of which meets the members outside the region's main component.
 
-Rows without text or words have no class and are linked with nothing. Rows without doc_id are never the smallest
-of a component that has any doc_id; alone they have a null component. Repeated rows share a class; each row gets
-the class's component, and ``kept`` is true where its doc_id is the component's smallest.
+Two texts at the threshold of 0.85 share the first 4 places of one of 16 trees but for 1 in 100,000, at 0.8 the
+first 3; the comparison of signatures loses fewer.
+
+Rows without text or words have no class, are linked with nothing and kept. Rows are in the order of doc_id, those
+without one last, then of their texts' hashes; the first of a component is kept and names it (null if it has no
+doc_id). Repeated rows share a class and a fate.
 """
 
 from __future__ import annotations
@@ -23,18 +26,18 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import LOWER, Prefix, chunks, mix, raw_texts, stage, word_spans
+from .shared import LOWER, Prefix, chunks, mix, raw_texts, stage, unused, word_spans
 
 TREES = 16
 HASHES = 64
-#: Agreeing places of HASHES from which a pair is worth a full comparison. At a similarity of 0.85 a pair stays
-#: below with a probability of about 1 in 100,000, at 0.8 of about 1 in 2,000 with 38 of 64; see ``least_equal``.
+#: Members of a region that one task compares all with all, in the second pass and in the first.
 REGION_TASK = 2048
 SMALL_REGION = 64
+#: Neighbours in order on either side, in larger regions.
 NEXT = 4
 MULTIPLIERS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 SKETCH = "doc_id long, text_hash long, n_shingles long, node binary, signature binary"
@@ -270,8 +273,20 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, depth: in
     rest = stage(unlike_pairs(shared, components(links), depth, least).join(best, ["hub", "member"], "left_anti"), "rest")
     more = stage(confirm(rest, texts, size, percent), "links")
     whole = components(links.unionByName(more))
-    named = classes.select("node", F.col("first.id").alias("id")).join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = named.groupBy("component").agg(F.min("id").alias("smallest"))
+    named = classes.select("node", "first").join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    smallest = named.groupBy("component").agg(F.min("first").alias("smallest"))
     named = named.join(smallest, "component").select("node", "smallest")
-    out = rows.join(named, "node", "left").withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).when(F.col("smallest") < LAST, F.col("smallest")))
-    return out.select("doc_id", "text_hash", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    alone = F.col("node").isNull()
+    component_id = F.when(alone, F.col("doc_id")).when(F.col("smallest.id") < LAST, F.col("smallest.id"))
+    kept = alone | ((F.coalesce("doc_id", F.lit(LAST)) == F.col("smallest.id")) & (F.col("text_hash") == F.col("smallest.text_hash")))
+    return rows.join(named, "node", "left").select("doc_id", "text_hash", "n_shingles", component_id.alias("component_id"), kept.alias("kept"))
+
+
+def keep_one(docs: DataFrame, percent: int = 80, size: int = 5, depth: int = 3) -> DataFrame:
+    """The rows of ``docs`` that are kept, all columns; of equal rows (doc_id and text) with any words, one."""
+    found = near_duplicates(docs, percent, size, depth).where("kept")
+    id_, hash_, words, nth = (unused(docs, c) for c in ("id", "hash", "n", "nth"))
+    kept = found.select(F.coalesce("doc_id", F.lit(LAST)).alias(id_), F.col("text_hash").alias(hash_), F.col("n_shingles").alias(words)).distinct()
+    rows = docs.withColumns({id_: F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), hash_: F.xxhash64("text")}).join(kept, [id_, hash_])
+    first = F.row_number().over(Window.partitionBy(id_, hash_).orderBy(F.lit(1)))
+    return rows.withColumn(nth, first).where((F.col(nth) == 1) | (F.col(words) == 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
