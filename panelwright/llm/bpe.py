@@ -37,6 +37,7 @@ CODES = "block long, bucket int, sizes binary, ids binary"
 BLOCKS_T = pa.schema([("block", pa.int64()), ("doc_id", pa.list_(pa.int64())), *((c, pa.binary()) for c in ("n_bytes", "counts", "codes", "lengths", "words"))])
 WORDS_T = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("lengths", pa.binary()), ("words", pa.binary())])
 CODES_T = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("sizes", pa.binary()), ("ids", pa.binary())])
+ENCODED = "doc_id long, n_bytes long, ids array<int>"
 ENCODED_T = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
@@ -65,8 +66,9 @@ def widen(data: bytes) -> np.ndarray:
     return np.frombuffer(unsqueeze(data[1:]), f"<u{data[0]}")
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, blocks: int | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, n_bytes, ids) for each row of ``docs`` (doc_id, text)."""
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, blocks: int | None = None, block_bytes: int = BLOCK_BYTES, then=None, schema: str = ENCODED) -> DataFrame:
+    """(doc_id, n_bytes, ids) for each row of ``docs`` (doc_id, text); ``then`` may turn each block's rows into
+    others of the given schema before they leave the worker."""
     n = blocks or block_count(docs, block_bytes)
     table = docs.sparkSession.sparkContext.broadcast(ranks)
 
@@ -132,12 +134,26 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, blocks: int |
             offsets = np.cumsum([0, *map(len, lists)])
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(lists)))
             out.append(pa.table([pa.array(row["doc_id"], pa.int64()), pa.array(np.frombuffer(unsqueeze(row["n_bytes"]), np.int64)), ids], schema=ENCODED_T))
-        return pa.concat_tables(out) if out else ENCODED_T.empty_table()
+        table = pa.concat_tables(out) if out else ENCODED_T.empty_table()
+        return then(table) if then else table
 
     rows = docs.select("doc_id", "text").mapInArrow(explode, BLOCKS).repartition(n, "block")
     words = rows.groupBy("block").applyInArrow(send, WORDS)
     codes = words.repartition(n, "bucket").groupBy("bucket").applyInArrow(encode_once, CODES)
-    return rows.groupBy("block").cogroup(codes.groupBy("block")).applyInArrow(put_back, "doc_id long, n_bytes long, ids array<int>")
+    return rows.groupBy("block").cogroup(codes.groupBy("block")).applyInArrow(put_back, schema)
+
+
+def token_bytes(ranks: dict[bytes, int]) -> np.ndarray:
+    """The token-byte table, by id."""
+    out = np.full(max(ranks.values(), default=0) + 1, None, object)
+    for t, i in ranks.items():
+        out[i] = t
+    return out
+
+
+def join_bytes(lists: pa.ListArray, token: np.ndarray) -> list[bytes | None]:
+    flat, at = lists.values.to_numpy(), lists.offsets.to_numpy()
+    return [b"".join(token[flat[i:j]].tolist()) if ok else None for i, j, ok in zip(at[:-1], at[1:], lists.is_valid().to_pylist())]
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -146,41 +162,37 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: s
     table = encoded.sparkSession.sparkContext.broadcast(ranks)
     schema = T.StructType([*encoded.schema.fields, T.StructField(out, T.BinaryType())])
 
-    def join(batches):
-        token = np.full(max(table.value.values(), default=0) + 1, None, object)
-        for t, i in table.value.items():
-            token[i] = t
+    def run(batches):
+        token = token_bytes(table.value)
         for b in batches:
-            lists = b.column(ids)
-            flat, at = lists.values.to_numpy(), lists.offsets.to_numpy()
-            texts = [b"".join(token[flat[i:j]].tolist()) if ok else None for i, j, ok in zip(at[:-1], at[1:], lists.is_valid().to_pylist())]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.binary())], [*b.schema.names, out])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(join_bytes(b.column(ids), token), pa.binary())], [*b.schema.names, out])
 
-    return encoded.mapInArrow(join, schema)
+    return encoded.mapInArrow(run, schema)
 
 
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, same_bytes boolean"
 DIGESTS_T = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("same_bytes", pa.bool_())])
 
 
-def digests(decoded: DataFrame, keep_ids: bool = False) -> DataFrame:
-    """Counts and digests of ids and of decoded bytes, whether as many bytes came back as went in, and the ids if
-    asked for."""
+def encode_digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep_ids: bool = False) -> DataFrame:
+    """Encodes, decodes, and gives counts, digests of ids and of decoded bytes, whether as many bytes came back as
+    went in, and the ids if asked for."""
     kind = DIGESTS_T.append(pa.field("ids", pa.list_(pa.int32()))) if keep_ids else DIGESTS_T
+    table = docs.sparkSession.sparkContext.broadcast(ranks)
 
-    def run(batches):
-        for b in batches:
+    def digest(rows: pa.Table) -> pa.Table:
+        cache = worker_cache()
+        if cache.get("bytes_of") is not table.value:
+            cache["bytes_of"], cache["bytes"] = table.value, token_bytes(table.value)
+        out = []
+        for b in rows.to_batches(max_chunksize=256):
             ids = b.column("ids")
-            flat, offset = ids.values.to_numpy(), ids.offsets.to_numpy()
-            packed = flat.astype("<u4")
-            a = [hashlib.sha256(packed[i:j]).hexdigest() for i, j in zip(offset[:-1], offset[1:])]
-            d = b.column("decoded").to_pylist()
-            same = [len(x) == n for x, n in zip(d, b.column("n_bytes").to_pylist())]
-            cols = [b.column("doc_id"), pa.array(np.diff(offset).astype(np.int64)), pa.array(a), pa.array([hashlib.sha256(x).hexdigest() for x in d]), pa.array(same)]
-            yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip([*cols, ids], kind.types)], schema=kind)
-
-    return decoded.mapInArrow(run, DIGESTS + ", ids array<int>" * keep_ids)
-
-
-def encode_digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep_ids: bool = False) -> DataFrame:
-    return digests(decode(encode(docs.select("doc_id", "text"), ranks, pattern), ranks), keep_ids)
+            packed, at = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy()
+            digests = [hashlib.sha256(packed[i:j]).hexdigest() for i, j in zip(at[:-1], at[1:])]
+            decoded = join_bytes(ids, cache["bytes"])
+            same = [len(x) == n for x, n in zip(decoded, b.column("n_bytes").to_pylist())]
+            cols = [b.column("doc_id"), np.diff(at), digests, [hashlib.sha256(x).hexdigest() for x in decoded], same, ids]
+            out.append(pa.table([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(cols, kind.types)], schema=kind))
+        return pa.concat_tables(out) if out else kind.empty_table()
+
+    return encode(docs, ranks, pattern, then=digest, schema=DIGESTS + ", ids array<int>" * keep_ids)
