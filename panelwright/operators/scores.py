@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,8 +99,8 @@ def equity_duration(
 ) -> DataFrame:
     """Discounted distributions over a finite horizon with mean-reverting growth and profitability.
 
-    Adds ``ed_cd``, ``ed_cd_w``, ``ed_constant`` and ``ed_err``. The recursion is a fold over an array
-    of steps carrying (growth, return, book equity, sums), so it stays one expression.
+    Adds ``ed_cd``, ``ed_cd_w``, ``ed_constant`` and ``ed_err``. Growth and return decay towards their means, so
+    both are powers in t; book equity is a column per year. A missing input makes the sums missing.
     """
     h = History(df, ["gvkey", "curcd"], "datadate")
     seen = _c("count") > 12
@@ -110,31 +111,19 @@ def equity_duration(
             "ed_g0": F.when(seen & (s1 > 1), div("sale_x", s1) - 1),
         }
     )
-    # the sums must start as nullable columns: a literal 0 would fix the fold's type as non-null
-    none_yet = _c("be_x") * 0.0
-    start = F.struct(
-        _c("ed_g0").alias("g"), _c("ed_roe0").alias("roe"), _c("be_x").alias("be"),
-        none_yet.alias("cd"), none_yet.alias("cdw"), F.lit(0.0).alias("err"),
-    )
-
-    def step(s: Column, t: Column) -> Column:
-        g = g_mean * (1 - g_ar) + g_ar * s["g"]
-        roe = roe_mean * (1 - roe_ar) + roe_ar * s["roe"]
-        be = s["be"] * (1 + g)
-        flow = s["be"] * (roe - g) / F.pow(F.lit(1 + r), t.cast("double"))
-        bad = F.when(be < 0, F.lit(1.0)).otherwise(s["err"])
-        return F.struct(
-            g.alias("g"), roe.alias("roe"), be.alias("be"), (s["cd"] + flow).alias("cd"),
-            (s["cdw"] + t * flow).alias("cdw"), bad.alias("err"),
-        )
-
-    path = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, step)
-    return (
-        h.df.withColumn("ed__", path)
-        .withColumns(
-            {
-                "ed_constant": F.lit(horizon + (1 + r) / r), "ed_cd_w": _c("ed__.cdw"), "ed_cd": _c("ed__.cd"), "ed_err": _c("ed__.err"),
-            }
-        )
-        .drop("ed__", "ed_roe0", "ed_g0")
+    for t in range(1, horizon + 1):
+        held = _c(f"ed_be{t - 1}") if t > 1 else _c("be_x")
+        grow = g_mean + g_ar**t * (_c("ed_g0") - g_mean)
+        earn = roe_mean + roe_ar**t * (_c("ed_roe0") - roe_mean)
+        h.add({f"ed_be{t}": held * (1 + grow), f"ed_flow{t}": held * (earn - grow) / (1 + r) ** t})
+    flows = [_c(f"ed_flow{t}") for t in range(1, horizon + 1)]
+    negative = reduce(or_, [F.coalesce(_c(f"ed_be{t}") < 0, F.lit(False)) for t in range(1, horizon + 1)])
+    h.add(
+        {
+            "ed_constant": F.lit(horizon + (1 + r) / r),
+            "ed_cd": reduce(add, flows),
+            "ed_cd_w": reduce(add, [t * flow for t, flow in enumerate(flows, start=1)]),
+            "ed_err": negative.cast("double"),
+        }
     )
+    return h.df.drop("ed_roe0", "ed_g0", *[f"ed_{x}{t}" for x in ("be", "flow") for t in range(1, horizon + 1)])

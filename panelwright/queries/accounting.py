@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..operators import accounting as ac
@@ -21,77 +23,72 @@ def L(x: str, k: int) -> str:
     return f"lag({x}, {k}) OVER w"
 
 
-ITEMS_1 = """sale_x|coalesce(sale, revt)
-debt_x|CASE WHEN dltt IS NOT NULL OR dlc IS NOT NULL THEN coalesce(dltt, 0) + coalesce(dlc, 0) END
-pstk_x|coalesce(pstkrv, pstkl, pstk)
-opex_x|coalesce(xopr, cogs + xsga)
-eqis_x|sstk
-div_x|coalesce(dvt, dv)
-eqbb_x|CASE WHEN prstkc IS NOT NULL OR purtshr IS NOT NULL THEN coalesce(prstkc, 0) + coalesce(purtshr, 0) END
-xido_x|coalesce(xido, xi + coalesce("do", 0))
-ca_x|coalesce(act, rect + invt + che + aco)
-cl_x|coalesce(lct, ap + dlc + txp + lco)
-fna_x|coalesce(ivst, 0) + coalesce(ivao, 0)
-ppeinv_x|ppegt + invt
-lnoa_x|ppent + intan + ao - lo + dp
-txditc_x|coalesce(txditc, CASE WHEN txdb IS NOT NULL OR itcb IS NOT NULL THEN coalesce(txdb, 0) + coalesce(itcb, 0) END)"""
-ITEMS_2 = """gp_x|coalesce(gp, sale_x - cogs)
-eqnetis_x|CASE WHEN eqis_x IS NOT NULL OR eqbb_x IS NOT NULL THEN coalesce(eqis_x, 0) - coalesce(eqbb_x, 0) END
-eqpo_x|div_x + eqbb_x
-seq_x|coalesce(seq, ceq + coalesce(pstk_x, 0), "at" - lt)
-ncl_x|lt - cl_x
-coa_x|ca_x - che
-col_x|cl_x - coalesce(dlc, 0)
-ncol_x|lt - cl_x - dltt
-fnl_x|debt_x + coalesce(pstk_x, 0)
-nwc_x|ca_x - cl_x
-caliq_x|coalesce(ca_x - invt, che + rect)
-netdebt_x|debt_x - coalesce(che, 0)"""
-ITEMS_3 = """ebitda_x|coalesce(ebitda, oibdp, sale_x - opex_x, gp_x - xsga)
-eqnpo_x|div_x - eqnetis_x
-at_x|coalesce("at", seq_x + dltt + coalesce(lct, 0) + coalesce(lo, 0) + coalesce(txditc, 0))
-cowc_x|coa_x - col_x
-ol_x|col_x + ncol_x
-nfna_x|fna_x - fnl_x
-be_x|CASE WHEN seq_x + coalesce(txditc_x, 0) - coalesce(pstk_x, 0) > 0 THEN seq_x + coalesce(txditc_x, 0) - coalesce(pstk_x, 0) END
-bev_x|CASE WHEN coalesce(icapt + coalesce(dlc, 0) - coalesce(che, 0), netdebt_x + seq_x + coalesce(mib, 0)) > 0 THEN coalesce(icapt + coalesce(dlc, 0) - coalesce(che, 0), netdebt_x + seq_x + coalesce(mib, 0)) END"""
-ITEMS_4 = """ebit_x|coalesce(ebit, oiadp, ebitda_x - dp)
-op_x|ebitda_x + coalesce(xrd, 0)
-ope_x|ebitda_x - xint
-nca_x|at_x - ca_x
-ncoa_x|at_x - ca_x - coalesce(ivao, 0)
-aliq_x|che + 0.75 * coa_x + 0.5 * (at_x - ca_x - coalesce(intan, 0))"""
-ITEMS_5 = """pi_x|coalesce(pi, ebit_x - xint + coalesce(spi, 0) + coalesce(nopi, 0))
-oa_x|coa_x + ncoa_x
-nncoa_x|ncoa_x - ncol_x"""
-ITEMS_6 = """ni_x|coalesce(ib, ni - xido_x, pi_x - txt - coalesce(mii, 0))
-noa_x|oa_x - ol_x"""
-ITEMS_7 = """nix_x|coalesce(ni, ni_x + coalesce(xido_x, 0), ni_x + xi + "do")
-oacc_x|CASE WHEN count > 12 THEN coalesce(ni_x - oancf, (cowc_x - lag(cowc_x, 12) OVER w) + (nncoa_x - lag(nncoa_x, 12) OVER w)) END
-dltnetis_x|CASE WHEN NOT (dltis IS NULL AND dltr IS NULL AND ltdch IS NULL AND count <= 12) THEN coalesce(CASE WHEN dltis IS NOT NULL OR dltr IS NOT NULL THEN coalesce(dltis, 0) - coalesce(dltr, 0) END, ltdch, dltt - lag(dltt, 12) OVER w) END
-dstnetis_x|CASE WHEN NOT (dlcch IS NULL AND count <= 12) THEN coalesce(dlcch, dlc - lag(dlc, 12) OVER w) END"""
-ITEMS_8 = """fi_x|nix_x + xint
-tacc_x|CASE WHEN count > 12 THEN oacc_x + (nfna_x - lag(nfna_x, 12) OVER w) END
-ocf_x|coalesce(oancf, ni_x - oacc_x, ni_x + dp - coalesce(wcapt, 0))
-cop_x|ebitda_x + coalesce(xrd, 0) - oacc_x
-dbnetis_x|CASE WHEN dstnetis_x IS NOT NULL OR dltnetis_x IS NOT NULL THEN coalesce(dstnetis_x, 0) + coalesce(dltnetis_x, 0) END"""
-ITEMS_9 = """netis_x|eqnetis_x + dbnetis_x
-fcf_x|ocf_x - capx"""
-ITEMS_10 = "fincf_x|coalesce(fincf, netis_x - dv + coalesce(fiao, 0) + coalesce(txbcof, 0))"
-BLOCKS = [ITEMS_1, ITEMS_2, ITEMS_3, ITEMS_4, ITEMS_5, ITEMS_6, ITEMS_7, ITEMS_8, ITEMS_9, ITEMS_10]
-ITEM_NAMES = [line.split("|")[0] for b in BLOCKS for line in b.splitlines()]
+def _z(x: str) -> str:
+    return f"coalesce({x}, 0)"
+
+
+def _either(a: str, sign: str, b: str) -> str:
+    """Sum or difference that is missing only if both parts are."""
+    return f"CASE WHEN coalesce({a}, {b}) IS NOT NULL THEN {_z(a)} {sign} {_z(b)} END"
+
+
+def _pos(x: str) -> str:
+    return f"CASE WHEN ({x}) > 0 THEN {x} END"
+
+
+def _change(x: str) -> str:
+    return f"({x} - lag({x}, 12) OVER w)"
+
+
+#: One definition per item; ``items`` finds the order.
+ITEM_SQL = {
+    # earnings
+    "sale_x": "coalesce(sale, revt)", "opex_x": "coalesce(xopr, cogs + xsga)", "gp_x": "coalesce(gp, sale_x - cogs)",
+    "ebitda_x": "coalesce(ebitda, oibdp, sale_x - opex_x, gp_x - xsga)", "ebit_x": "coalesce(ebit, oiadp, ebitda_x - dp)",
+    "op_x": f"ebitda_x + {_z('xrd')}", "ope_x": "ebitda_x - xint", "pi_x": f"coalesce(pi, ebit_x - xint + {_z('spi')} + {_z('nopi')})",
+    "xido_x": f"""coalesce(xido, xi + {_z('"do"')})""", "ni_x": f"coalesce(ib, ni - xido_x, pi_x - txt - {_z('mii')})",
+    "nix_x": f'coalesce(ni, ni_x + {_z("xido_x")}, ni_x + xi + "do")', "fi_x": "nix_x + xint",
+    # claims on the firm
+    "debt_x": _either("dltt", "+", "dlc"), "netdebt_x": f"debt_x - {_z('che')}", "pstk_x": "coalesce(pstkrv, pstkl, pstk)",
+    "txditc_x": f"coalesce(txditc, {_either('txdb', '+', 'itcb')})", "seq_x": f'coalesce(seq, ceq + {_z("pstk_x")}, "at" - lt)',
+    "be_x": _pos(f"seq_x + {_z('txditc_x')} - {_z('pstk_x')}"),
+    "bev_x": _pos(f"coalesce(icapt + {_z('dlc')} - {_z('che')}, netdebt_x + seq_x + {_z('mib')})"),
+    "cl_x": "coalesce(lct, ap + dlc + txp + lco)", "ncl_x": "lt - cl_x", "col_x": f"cl_x - {_z('dlc')}", "ncol_x": "lt - cl_x - dltt",
+    "ol_x": "col_x + ncol_x", "fnl_x": f"debt_x + {_z('pstk_x')}",
+    # what it holds
+    "at_x": f'coalesce("at", seq_x + dltt + {_z("lct")} + {_z("lo")} + {_z("txditc")})', "ca_x": "coalesce(act, rect + invt + che + aco)",
+    "nca_x": "at_x - ca_x", "coa_x": "ca_x - che", "ncoa_x": f"at_x - ca_x - {_z('ivao')}", "oa_x": "coa_x + ncoa_x",
+    "caliq_x": "coalesce(ca_x - invt, che + rect)", "aliq_x": f"che + 0.75 * coa_x + 0.5 * (at_x - ca_x - {_z('intan')})",
+    "fna_x": f"{_z('ivst')} + {_z('ivao')}", "ppeinv_x": "ppegt + invt", "lnoa_x": "ppent + intan + ao - lo + dp",
+    # differences of both
+    "nwc_x": "ca_x - cl_x", "cowc_x": "coa_x - col_x", "nncoa_x": "ncoa_x - ncol_x", "noa_x": "oa_x - ol_x", "nfna_x": "fna_x - fnl_x",
+    # flows
+    "oacc_x": f"CASE WHEN count > 12 THEN coalesce(ni_x - oancf, {_change('cowc_x')} + {_change('nncoa_x')}) END",
+    "tacc_x": f"CASE WHEN count > 12 THEN oacc_x + {_change('nfna_x')} END",
+    "ocf_x": f"coalesce(oancf, ni_x - oacc_x, ni_x + dp - {_z('wcapt')})", "fcf_x": "ocf_x - capx", "cop_x": f"ebitda_x + {_z('xrd')} - oacc_x",
+    "div_x": "coalesce(dvt, dv)", "eqis_x": "sstk", "eqbb_x": _either("prstkc", "+", "purtshr"), "eqnetis_x": _either("eqis_x", "-", "eqbb_x"),
+    "eqpo_x": "div_x + eqbb_x", "eqnpo_x": "div_x - eqnetis_x",
+    "dltnetis_x": f"CASE WHEN count > 12 OR coalesce(dltis, dltr, ltdch) IS NOT NULL THEN coalesce({_either('dltis', '-', 'dltr')}, ltdch, {_change('dltt')}) END",
+    "dstnetis_x": f"CASE WHEN count > 12 OR dlcch IS NOT NULL THEN coalesce(dlcch, {_change('dlc')}) END",
+    "dbnetis_x": _either("dstnetis_x", "+", "dltnetis_x"), "netis_x": "eqnetis_x + dbnetis_x",
+    "fincf_x": f"coalesce(fincf, netis_x - dv + {_z('fiao')} + {_z('txbcof')})",
+}
+ITEM_NAMES = list(ITEM_SQL)
+LEVELS: list[list[str]] = []
+while sum(map(len, LEVELS)) < len(ITEM_SQL):
+    known = {n for level in LEVELS for n in level}
+    LEVELS.append([n for n, e in ITEM_SQL.items() if n not in known and set(re.findall(r"\w+_x\b", e)) <= known])
 
 
 def items(src: str = "accd") -> str:
     neg = ", ".join(f'CASE WHEN "{c}" >= 0 THEN "{c}" END AS "{c}"' for c in ("at", "sale", "revt", "dv", "che"))
     ctes = [f"x0 AS (SELECT * REPLACE ({neg}) FROM {src})"]
-    for i, b in enumerate(BLOCKS, start=1):
-        exprs = ", ".join("{1} AS {0}".format(*line.split("|", 1)) for line in b.splitlines())
-        ctes.append(f"x{i} AS (SELECT *, {exprs} FROM x{i - 1} {OVER})")
+    for i, level in enumerate(LEVELS, start=1):
+        ctes.append(f"x{i} AS (SELECT *, {', '.join(f'{ITEM_SQL[n]} AS {n}' for n in level)} FROM x{i - 1} {OVER})")
     return ",\n".join(ctes)
 
 
-X = f"x{len(BLOCKS)}"
+X = f"x{len(LEVELS)}"
 FREQ = "quarterly"
 BASE = [dense(FREQ), items()]
 
@@ -138,6 +135,7 @@ def merged(*ds):
     return out
 
 
+# The items of each published family of characteristics.
 GROWTH = "at_x ca_x nca_x lt cl_x ncl_x be_x pstk_x debt_x sale_x cogs xsga opex_x capx invt".split()
 CHANGE = "che invt rect ppegt ivao ivst intan dlc ap txp dltt txditc coa_x col_x cowc_x ncoa_x ncol_x nncoa_x oa_x ol_x fna_x fnl_x nfna_x gp_x ebitda_x ebit_x ope_x ni_x nix_x dp fincf_x ocf_x fcf_x nwc_x eqnetis_x dltnetis_x dstnetis_x dbnetis_x netis_x eqnpo_x txt eqbb_x eqis_x div_x eqpo_x capx be_x".split()
 S_RATIOS = merged(
