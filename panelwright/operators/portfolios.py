@@ -40,6 +40,15 @@ def winsorize_lead(panel: DataFrame, cutoffs: DataFrame, col: str = "ret_exc_lea
     )
 
 
+def winsorize_daily(days: DataFrame, cutoffs: DataFrame, above: int = 99_999) -> DataFrame:
+    """Clamp the daily excess return of ids above ``above`` (those of the non-reference source) to the 0.1 % and
+    99.9 % cutoffs of the year and month."""
+    cuts = cutoffs.select("year", "month", F.col("ret_exc_0_1").alias("lo__"), F.col("ret_exc_99_9").alias("hi__"))
+    days = days.withColumns({"year__": F.year("date"), "month__": F.month("date")})
+    joined = days.join(cuts, (F.col("year__") == F.col("year")) & (F.col("month__") == F.col("month")), "left").drop("year", "month")
+    return joined.withColumn("ret_exc", winsorize("ret_exc", "lo__", "hi__", F.col("id") > above)).drop("lo__", "hi__", "year__", "month__")
+
+
 def reference_stock(bps: str) -> Column:
     """Stocks that set the breakpoints: the reference exchange, or everything but micro caps."""
     if bps == "nyse":

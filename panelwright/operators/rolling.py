@@ -267,7 +267,8 @@ def zero_trades() -> Metric:
     use = _have("tvol")
     def finish(df, sfx, least):
         ok = F.col("zt_n") >= least
-        df = df.withColumns({"zt_turn": F.when(ok, div("zt_ts", "zt_tn")), "zt_zero": F.when(ok, div("zt_z", "zt_n") * 21)})
+        # cut to fixed digits: the rank table is joined back on it, and sums differ in their last bit with their order
+        df = df.withColumns({"zt_turn": F.when(ok, F.round(div("zt_ts", "zt_tn"), 15)), "zt_zero": F.when(ok, div("zt_z", "zt_n") * 21)})
         t = rank_table(df.filter(ok), ["end_month"], "zt_turn").select(
             F.col("end_month").alias("em__"), F.col("zt_turn").alias("tv__"), (average_rank(True) / F.col("n_all") / 100).alias("rk__")
         )

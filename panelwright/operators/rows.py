@@ -53,9 +53,17 @@ def last_in_period(df: DataFrame, keys: list[str], date: str, valid: Column) ->
     return keep_last(df.filter(valid), keys, [date])
 
 
+def same_columns(a: DataFrame, b: DataFrame) -> None:
+    """Raise if one table has columns that the other lacks."""
+    if extra := set(a.columns) ^ set(b.columns):
+        raise ValueError(f"only one of the tables has {sorted(extra)}")
+
+
 def union_relaxed(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Vertical union; columns whose types differ meet as double (numeric) or string."""
+    """Vertical union of two tables with the same columns; columns whose types differ meet as double (numeric) or
+    string. Differing column sets are an error: ``union_diagonal`` fills them."""
     ta, tb = dict(a.dtypes), dict(b.dtypes)
+    same_columns(a, b)
     numeric = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
     def common(c: str) -> str:
@@ -66,8 +74,7 @@ def union_relaxed(a: DataFrame, b: DataFrame) -> DataFrame:
             return "bigint" if {ta[c], tb[c]} <= whole else "double"
         return "string"
 
-    cols = [c for c in a.columns if c in tb]
-    cast = lambda df: df.select(*[F.col(c).cast(common(c)).alias(c) for c in cols])
+    cast = lambda df: df.select(*[F.col(c).cast(common(c)).alias(c) for c in a.columns])
     return cast(a).unionByName(cast(b))
 
 

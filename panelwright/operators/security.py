@@ -310,26 +310,27 @@ def comp_daily(na: DataFrame, world: DataFrame, shares: DataFrame, fx: DataFrame
 
 
 def comp_monthly(from_days: DataFrame, from_months: DataFrame) -> DataFrame:
-    """One month row per security: the daily-based row (source 1) where both exist."""
-    cols = [c for c in from_days.columns if c in from_months.columns]
-    both = from_days.select(*cols).unionByName(from_months.select(*cols))
+    """One month row per security: the daily-based row (source 1) where both exist. Both sides have the same
+    columns."""
+    rows.same_columns(from_days, from_months)
+    both = from_days.unionByName(from_months)
     return rows.prefer_source(both, ["gvkey", "iid", "eom"], "source", 1).drop("source")
 
 
 def obs_main_flag(df: DataFrame) -> DataFrame:
-    """1 for a security-month recorded once, or for the reference source when recorded twice."""
-    n = (
-        df.filter(F.col("gvkey").isNotNull())
-        .groupBy("gvkey", "iid", "eom")
-        .agg(F.count(F.lit(1)).alias("n__"))
-    )
-    same = ["gvkey", "iid", "eom"]
+    """1 for a security-month recorded once, or for the reference source when recorded twice. Months of a firm
+    whose security has no number are one security; rows without a firm are recorded once."""
+    n = df.filter(F.col("gvkey").isNotNull()).groupBy("gvkey", F.col("iid").alias("iid__"), "eom").agg(F.count(F.lit(1)).alias("n__"))
+    same = (df.gvkey == n.gvkey) & df.iid.eqNullSafe(n.iid__) & (df.eom == n.eom)
     single = F.coalesce("n__", F.lit(0)) <= 1
-    return (
-        df.join(n, same, "left")
-        .withColumn("obs_main", (single | (F.col("source_crsp") == 1)).cast("int"))
-        .drop("n__")
-    )
+    return df.join(n, same, "left").select(df["*"], (single | (F.col("source_crsp") == 1)).cast("int").alias("obs_main"))
+
+
+def world_panel_daily(crsp: DataFrame, comp: DataFrame, months: DataFrame) -> DataFrame:
+    """Union of two harmonised daily files. The main-row flag is that of the security's month in ``months`` (the
+    monthly world panel), since a month has many days; days of no such month have none."""
+    flag = months.groupBy("id", "eom").agg(F.max("obs_main").alias("obs_main"))
+    return rows.union_relaxed(crsp, comp).join(flag, ["id", "eom"], "left")
 
 
 def world_panel(crsp: DataFrame, comp: DataFrame) -> DataFrame:

@@ -31,11 +31,15 @@ class Settings:
 def portfolio_returns(
     panel: DataFrame, days: DataFrame, cutoffs: DataFrame, return_cutoffs: DataFrame, market: DataFrame, market_daily: DataFrame,
     countries: DataFrame, directions: DataFrame, labels: DataFrame, chars: list[str], settings: Settings | None = None,
+    return_cutoffs_daily: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """All portfolio outputs by name, for every country and characteristic at once."""
+    """All portfolio outputs by name, for every country and characteristic at once. With
+    ``return_cutoffs_daily`` the daily returns are winsorized like the monthly ones."""
     s = settings or Settings()
     stocks = po.screen(po.winsorize_lead(po.cap_equity(panel, cutoffs), return_cutoffs))
     stocks = stage(stocks, "stocks")
+    if return_cutoffs_daily is not None:
+        days = po.winsorize_daily(days, return_cutoffs_daily)
     args = (chars, s.portfolios, s.breakpoints, s.breakpoint_min)
     out = {"pfs": stage(po.char_portfolios(stocks, *args), "pfs"), "pfs_daily": stage(po.daily_portfolios(stocks, days, *args), "pfs-daily")}
     members = po.region_table(countries, s.home, list(s.exclude), s.countries_min)
@@ -56,8 +60,9 @@ def portfolio_returns(
 
 
 def write_outputs(outputs: dict[str, DataFrame], root: str, end) -> None:
-    """Each output cut at ``end`` and written once, one directory per country or region."""
+    """Each output cut at ``end`` and written once, one directory per country or region; rows without one go to
+    the directory "none"."""
     for name, df in outputs.items():
         date = "eom" if "eom" in df.columns else "date"
         by = "region" if "region" in df.columns else "excntry"
-        sinks.write_partitioned(sinks.date_capped(df.filter(F.col(by).isNotNull()), date, end), f"{root}/{name}", by)
+        sinks.write_partitioned(sinks.date_capped(df.withColumn(by, F.coalesce(by, F.lit("none"))), date, end), f"{root}/{name}", by)

@@ -52,13 +52,13 @@ SPECIAL = ", ".join(map(str, security.SPECIAL_EXCHANGES))
 
 @query(
     "count_distinct_case",
-    "WITH x AS (SELECT CAST(s_suppkey % 40 AS INT) AS exchg, CASE WHEN s_suppkey % 13 <> 0 THEN n_name END AS excntry FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 40 < 20 OR s_suppkey < 40)\n"
+    "WITH x AS (SELECT CAST(CASE WHEN s_suppkey % 3 = 0 THEN s_nationkey ELSE 100 + s_suppkey % 15 END AS INT) AS exchg, CASE WHEN s_suppkey % 13 <> 0 THEN n_name END AS excntry FROM supplier JOIN nation ON s_nationkey = n_nationkey)\n"
     + f"SELECT exchg, excntry, CAST(excntry <> 'multi national' AND exchg NOT IN ({SPECIAL}) AS INT) AS exch_main FROM (SELECT exchg, CASE WHEN count(DISTINCT excntry) > 1 THEN 'multi national' ELSE max(excntry) END AS excntry FROM x WHERE excntry IS NOT NULL GROUP BY 1)",
 )
 def _exch(t):
     k = F.col("s_suppkey")
-    df = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).filter((k % 40 < 20) | (k < 40))
-    df = df.select((k % 40).cast("int").alias("exchg"), F.when(k % 13 != 0, F.col("n_name")).alias("excntry"))
+    df = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    df = df.select(F.when(k % 3 == 0, F.col("s_nationkey")).otherwise(100 + k % 15).cast("int").alias("exchg"), F.when(k % 13 != 0, F.col("n_name")).alias("excntry"))
     return security.main_exchange(df)
 
 
@@ -232,8 +232,9 @@ def _pct(t):
     return security.index_returns(_ri(t), ["gvkey", "iid"], "datadate", "m")
 
 
-DELIST = """st AS (SELECT DISTINCT gvkey, iid, CASE WHEN CAST(gvkey AS BIGINT) % 2 = 0 THEN 'I' ELSE 'A' END AS secstat, CASE WHEN CAST(gvkey AS BIGINT) % 4 = 0 THEN '02' ELSE '07' END AS dlrsni FROM ri),
-dl AS (SELECT gvkey, iid, max(datadate) AS date_delist FROM rets WHERE ret_local IS NOT NULL AND ret_local <> 0 AND datadate < DATE '2001-01-01' GROUP BY 1, 2),
+DELIST = """rts AS (SELECT * REPLACE (CASE WHEN datadate < DATE '2001-01-01' THEN ret_local END AS ret_local) FROM rets),
+st AS (SELECT DISTINCT gvkey, iid, CASE WHEN CAST(gvkey AS BIGINT) % 2 = 0 THEN 'I' ELSE 'A' END AS secstat, CASE WHEN CAST(gvkey AS BIGINT) % 4 = 0 THEN '02' ELSE '07' END AS dlrsni FROM ri),
+dl AS (SELECT gvkey, iid, max(datadate) AS date_delist FROM rts WHERE ret_local IS NOT NULL AND ret_local <> 0 GROUP BY 1, 2),
 dd AS (SELECT gvkey, iid, date_delist, CASE WHEN dlrsni IN ('02', '03') THEN -0.3 ELSE 0.0 END AS dlret FROM dl JOIN st USING (gvkey, iid) WHERE secstat = 'I')"""
 
 
@@ -242,16 +243,17 @@ dd AS (SELECT gvkey, iid, date_delist, CASE WHEN dlrsni IN ('02', '03') THEN -0.
     with_(sm(), RI, RETS, DELIST)
     + """SELECT gvkey, iid, datadate, CASE WHEN datadate = date_delist THEN (1 + ret) * (1 + dlret) - 1 ELSE ret END AS ret,
   CASE WHEN datadate = date_delist THEN (1 + ret_local) * (1 + dlret) - 1 ELSE ret_local END AS ret_local
-FROM rets LEFT JOIN dd USING (gvkey, iid) WHERE date_delist IS NULL OR datadate <= date_delist""",
+FROM rts LEFT JOIN dd USING (gvkey, iid) WHERE date_delist IS NULL OR datadate <= date_delist""",
     "ret ret_local",
 )
 def _delist(t):
     ids = ["gvkey", "iid"]
     ri = _ri(t)
-    rets = security.index_returns(ri, ids, "datadate", "m")
+    # the last local returns are missing, so that delisting comes before the end of the data
+    rets = security.index_returns(ri, ids, "datadate", "m").withColumn("ret_local", F.when(F.col("datadate") < "2001-01-01", F.col("ret_local")))
     k = F.col("gvkey").cast("long")
     status = ri.select(*ids).distinct().select(*ids, F.when(k % 2 == 0, "I").otherwise("A").alias("secstat"), F.when(k % 4 == 0, "02").otherwise("07").alias("dlrsni"))
-    dl = security.delist_dates(rets.filter(F.col("datadate") < "2001-01-01"), status, ids, "datadate")
+    dl = security.delist_dates(rets, status, ids, "datadate")
     return security.apply_delisting(rets, dl, ids, "datadate", ["ret", "ret_local"]).drop("ret_lag_dif")
 
 

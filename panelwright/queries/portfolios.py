@@ -183,13 +183,15 @@ def _qmj(t):
 
 # ---- characteristic portfolios ---------------------------------------------------------------------
 CHARS = ["c_price", "c_volume", "c_range", "c_size"]
-PC = "pc AS (SELECT sg.*, prc AS c_price, CASE WHEN (id + midx) % 9 <> 0 THEN tvol END AS c_volume, prc_high / prc_low AS c_range, CASE WHEN id % 4 <> 2 THEN me END AS c_size, CASE WHEN id % 6 <> 0 THEN 100000 * (10 + id % 9) + id END AS gics, id % 12 + 1 AS ff49, 0.02 * (id % 7) - 0.05 + 0.001 * (midx % 5) AS ret_x FROM sg)"
+PC = "pc AS (SELECT sg.*, prc AS c_price, CASE WHEN (id + midx) % 9 <> 0 THEN tvol END AS c_volume, prc_high / prc_low AS c_range, CASE WHEN id % 4 <> 2 THEN me END AS c_size, CASE WHEN id % 6 <> 0 THEN 100000 * (10 + id % 9) + id END AS gics, id % 12 + 1 AS ff49 FROM sg)"
 
 
 def pc_ctes(country="region"):
     return [
         sm("part", country), SIZE_CUTS, SIZE_GRP, PC,
-        "p1 AS (SELECT pc.* REPLACE (ret_x AS ret_exc_lead1m), least(me, nyse_p80) AS me_cap FROM pc LEFT JOIN cut USING (eom) WHERE size_grp IS NOT NULL AND me IS NOT NULL)",
+        f"rcut AS ({cutoffs_sql('sm', 'eom', CUT_WHERE)})",
+        "p1 AS (SELECT pc.* REPLACE (CASE WHEN source_crsp = 0 AND ret_exc_lead1m > ret_exc_99_9 THEN ret_exc_99_9 WHEN source_crsp = 0 AND ret_exc_lead1m < ret_exc_0_1 THEN ret_exc_0_1 ELSE ret_exc_lead1m END AS ret_exc_lead1m), "
+        "least(me, nyse_p80) AS me_cap FROM pc LEFT JOIN cut USING (eom) LEFT JOIN rcut ON last_day(CAST(rcut.eom - INTERVAL 1 MONTH AS DATE)) = pc.eom WHERE size_grp IS NOT NULL AND me IS NOT NULL AND ret_exc_lead1m IS NOT NULL)",
     ]
 
 
@@ -201,10 +203,9 @@ def _pc(t, country="region"):
         {
             "c_price": F.col("prc"), "c_volume": F.when((i + m) % 9 != 0, F.col("tvol")), "c_range": F.col("prc_high") / F.col("prc_low"),
             "c_size": F.when(i % 4 != 2, F.col("me")), "gics": F.when(i % 6 != 0, 100000 * (10 + i % 9) + i), "ff49": i % 12 + 1,
-            "ret_exc_lead1m": 0.02 * (i % 7) - 0.05 + 0.001 * (m % 5),
         }
     )
-    return stage(po.screen(po.cap_equity(df, cuts)), "stocks")
+    return stage(po.screen(po.winsorize_lead(po.cap_equity(df, cuts), market.return_cutoffs(df))), "stocks")
 
 
 def place_ctes(min_n=10, k=3, bps="size_grp IN ('mega', 'large', 'small')"):
@@ -221,12 +222,12 @@ PFS = f"SELECT excntry, characteristic, pf, {NEXT}, count(*) AS n, median(var) A
 RDBL = "ret_ew ret_vw ret_vw_cap"
 
 
-@query("char_portfolios", with_(*pc_ctes(), *place_ctes()) + PFS, "signal:6 " + RDBL)
+@query("char_portfolios", with_(*pc_ctes(), *place_ctes()) + PFS, "signal:9 " + RDBL)
 def _pfs(t):
     return po.char_portfolios(_pc(t), CHARS)
 
 
-@query("char_portfolios_nyse", with_(*pc_ctes(), *place_ctes(5, 5, "((crsp_exchcd = 1 AND comp_exchg IS NULL) OR (comp_exchg = 11 AND crsp_exchcd IS NULL))")) + PFS, "signal:6 " + RDBL)
+@query("char_portfolios_nyse", with_(*pc_ctes(), *place_ctes(5, 5, "((crsp_exchcd = 1 AND comp_exchg IS NULL) OR (comp_exchg = 11 AND crsp_exchcd IS NULL))")) + PFS, "signal:9 " + RDBL)
 def _pfs_nyse(t):
     return po.char_portfolios(_pc(t), CHARS, k=5, bps="nyse", min_n=5)
 
@@ -252,6 +253,20 @@ def _wl(t):
     return po.winsorize_lead(df, market.return_cutoffs(df)).select("id", "eom", "ret_exc_lead1m")
 
 
+DAYS_HIGH = "hi AS (SELECT * REPLACE (CASE WHEN id % 2 = 0 THEN id + 100000 ELSE id END AS id), year(date) AS year, month(date) AS month FROM sd)"
+
+
+@query(
+    "winsorize_daily_return",
+    with_(sd(), DAYS_HIGH, f"dcut AS ({cutoffs_sql('hi', 'year, month', CUT_WHERE)})")
+    + "SELECT id, date, CASE WHEN id > 99999 AND ret_exc > ret_exc_99_9 THEN ret_exc_99_9 WHEN id > 99999 AND ret_exc < ret_exc_0_1 THEN ret_exc_0_1 ELSE ret_exc END AS ret_exc FROM hi LEFT JOIN dcut USING (year, month)",
+    "ret_exc",
+)
+def _wd(t):
+    d = adapters.security_day(t).withColumn("id", F.when(F.col("id") % 2 == 0, F.col("id") + 100_000).otherwise(F.col("id")))
+    return po.winsorize_daily(d, market.return_cutoffs(d, "d")).select("id", "date", "ret_exc")
+
+
 IND = lambda c, n: f"SELECT excntry, {c}, {NEXT}, count(*) AS n, avg(ret_exc_lead1m) AS ret_ew, sum(ret_exc_lead1m * me) / sum(me) AS ret_vw, sum(ret_exc_lead1m * me_cap) / sum(me_cap) AS ret_vw_cap FROM p2 GROUP BY excntry, {c}, p2.eom HAVING count(*) >= {n}"
 
 
@@ -298,13 +313,11 @@ def _sig(t):
         "r1 AS (SELECT *, p - avg(p) OVER (PARTITION BY excntry, characteristic, size_grp, eom) AS dev FROM r0)",
         "r2 AS (SELECT *, dev / nullif(sum(abs(dev)) OVER (PARTITION BY excntry, characteristic, size_grp, eom) / 2, 0) AS w FROM r1)",
     )
-    + f"SELECT excntry, characteristic, size_grp, {NEXT}, count(*) AS n_stocks, sum(ret_exc_lead1m / 7.3::DOUBLE * w) AS ret_weighted, sum(var / 7.3::DOUBLE * w) AS signal_weighted FROM r2 GROUP BY excntry, characteristic, size_grp, r2.eom HAVING stddev_samp(var) <> 0",
-    "ret_weighted:9 signal_weighted:6",
+    + f"SELECT excntry, characteristic, size_grp, {NEXT}, count(*) AS n_stocks, sum(ret_exc_lead1m * w) AS ret_weighted, sum(var * w) AS signal_weighted FROM r2 GROUP BY excntry, characteristic, size_grp, r2.eom HAVING stddev_samp(var) <> 0",
+    "ret_weighted:9 signal_weighted:7",
 )
 def _cmp(t):
-    # an odd divisor keeps the results clear of exact decimal halves, which engines round differently
-    df = _pc(t)
-    return po.managed_portfolios(df.withColumns({c: F.col(c) / 7.3 for c in (*CHARS, "ret_exc_lead1m")}), CHARS)
+    return po.managed_portfolios(_pc(t), CHARS)
 
 
 def hml_sql(src, date, k=3, signal=True):

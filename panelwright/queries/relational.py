@@ -279,11 +279,11 @@ def _theta(t):
 
 @query(
     "lateral_generate_join",
-    with_(sm()) + "SELECT id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM (SELECT id, min(eom) AS lo, min(eom) + 100 AS hi FROM sm GROUP BY 1)",
+    with_(sm()) + "SELECT id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM (SELECT id, min(eom) AS lo, max(eom) AS hi FROM sm GROUP BY 1)",
 )
 def _lateral(t):
-    g = adapters.security_month(t).groupBy("id").agg(F.min("eom").alias("lo"))
-    return g.select("id", F.explode(dates.days_or_empty(F.col("lo"), F.date_add("lo", 100))).alias("day"))
+    g = adapters.security_month(t).groupBy("id").agg(F.min("eom").alias("lo"), F.max("eom").alias("hi"))
+    return g.select("id", F.explode(dates.days_or_empty(F.col("lo"), F.col("hi"))).alias("day"))
 
 
 # ---- unions and row selection ---------------------------------------------------------------
@@ -378,26 +378,22 @@ def _header(t):
     return rows.header_union(a, t.customer.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("v")), "k")
 
 
-def per_month(sql, day, code):
-    """Daily output folded per key and month, so a comparison does not ship every day."""
-    return f"SELECT custkey, last_day({day}) AS eom, count(*) AS days, count({code}) AS coded, min({day}) AS d0, max({day}) AS d1, min({code}) AS c0, max({code}) AS c1 FROM ({sql}) GROUP BY 1, 2"
+def day_rows(sql, day, code):
+    return f"SELECT custkey, {day}, {code} FROM ({sql})"
 
 
-def _per_month(df, day, code):
-    return df.groupBy("custkey", F.last_day(day).alias("eom")).agg(
-        F.count(F.lit(1)).alias("days"), F.count(code).alias("coded"),
-        F.min(day).alias("d0"), F.max(day).alias("d1"), F.min(code).alias("c0"), F.max(code).alias("c1"),
-    )
+def _day_rows(df, day, code):
+    return df.select("custkey", day, code)
 
 
 # ---- expansion --------------------------------------------------------------------------------
 @query(
     "expand_interval",
-    with_(INTERVALS) + per_month("SELECT custkey, code, CAST(unnest(generate_series(from_date, thru_date, INTERVAL 1 DAY)) AS DATE) AS date FROM iv WHERE thru_date IS NOT NULL", "date", "code"),
+    with_(INTERVALS) + day_rows("SELECT custkey, code, CAST(unnest(generate_series(from_date, thru_date, INTERVAL 1 DAY)) AS DATE) AS date FROM iv WHERE thru_date IS NOT NULL", "date", "code"),
 )
 def _expand(t):
     out = expand.expand_interval(adapters.validity_intervals(t), ["custkey"], "from_date", "thru_date")
-    return _per_month(out, "date", "code")
+    return _day_rows(out, "date", "code")
 
 
 @query(
@@ -413,20 +409,20 @@ def _expand_m(t):
 @query(
     "carry_forward_until_next",
     with_(INTERVALS, "c AS (SELECT *, least(lead(from_date) OVER (PARTITION BY custkey ORDER BY from_date), last_day(CAST(from_date + INTERVAL 2 MONTH AS DATE))) - 1 AS stop FROM iv)")
-    + per_month("SELECT custkey, code, CAST(unnest(generate_series(from_date, stop, INTERVAL 1 DAY)) AS DATE) AS ddate FROM c", "ddate", "code"),
+    + day_rows("SELECT custkey, code, CAST(unnest(generate_series(from_date, stop, INTERVAL 1 DAY)) AS DATE) AS ddate FROM c", "ddate", "code"),
 )
 def _carry(t):
     out = expand.carry_forward(adapters.validity_intervals(t).drop("thru_date"), "custkey", "from_date", "ddate", 2)
-    return _per_month(out, "ddate", "code")
+    return _day_rows(out, "ddate", "code")
 
 
 @query(
     "scd_to_daily",
-    with_(INTERVALS) + per_month("SELECT custkey, CAST(unnest(generate_series(from_date, thru_date, INTERVAL 1 DAY)) AS DATE) AS date, nullif(custkey % 4, 0) AS sic FROM iv WHERE thru_date IS NOT NULL", "date", "sic"),
+    with_(INTERVALS) + day_rows("SELECT custkey, CAST(unnest(generate_series(from_date, thru_date, INTERVAL 1 DAY)) AS DATE) AS date, nullif(custkey % 4, 0) AS sic FROM iv WHERE thru_date IS NOT NULL", "date", "sic"),
 )
 def _scd(t):
     df = adapters.validity_intervals(t).select("custkey", "from_date", "thru_date", (F.col("custkey") % 4).alias("sic"))
-    return _per_month(expand.scd_to_daily(df, ["custkey"], "from_date", "thru_date", "sic"), "date", "sic")
+    return _day_rows(expand.scd_to_daily(df, ["custkey"], "from_date", "thru_date", "sic"), "date", "sic")
 
 
 @query(
@@ -445,11 +441,11 @@ def _close(t):
 @query(
     "span_to_next",
     with_(INTERVALS, "c AS (SELECT *, coalesce(lead(from_date) OVER (PARTITION BY custkey ORDER BY from_date) - 1, from_date) AS stop FROM iv)")
-    + per_month("SELECT custkey, code, CAST(unnest(generate_series(from_date, stop, INTERVAL 1 DAY)) AS DATE) AS day FROM c", "day", "code"),
+    + day_rows("SELECT custkey, code, CAST(unnest(generate_series(from_date, stop, INTERVAL 1 DAY)) AS DATE) AS from_date FROM c", "from_date", "code"),
 )
 def _span(t):
     out = expand.step_fill(adapters.validity_intervals(t).drop("thru_date"), "custkey", "from_date")
-    return _per_month(out, "from_date", "code")
+    return _day_rows(out, "from_date", "code")
 
 
 @query(
@@ -459,10 +455,10 @@ def _span(t):
         "c AS (SELECT *, coalesce(lead(from_date) OVER (PARTITION BY custkey ORDER BY from_date) - 1, from_date) AS aux FROM iv)",
         "g AS (SELECT custkey, from_date, code, CAST(unnest(generate_series(from_date, aux, INTERVAL 1 DAY)) AS DATE) AS day FROM c WHERE aux <> from_date)",
     )
-    + per_month("SELECT custkey, from_date, code FROM c WHERE aux = from_date UNION SELECT custkey, day, CASE WHEN day = from_date THEN code END FROM g", "from_date", "code"),
+    + day_rows("SELECT custkey, from_date, code FROM c WHERE aux = from_date UNION SELECT custkey, day, CASE WHEN day = from_date THEN code END FROM g", "from_date", "code"),
 )
 def _gap(t):
-    return _per_month(expand.gap_fill(adapters.validity_intervals(t), "custkey", "from_date", ["code"]), "from_date", "code")
+    return _day_rows(expand.gap_fill(adapters.validity_intervals(t), "custkey", "from_date", ["code"]), "from_date", "code")
 
 
 @query("monthly_spine", with_(dense()) + "SELECT gvkey, curcd, datadate, data_available, count, gp FROM accd", "gp:6")

@@ -194,10 +194,9 @@ def _zero(t):
     return _roll(t, "zero_trades", "_126d", 20)
 
 
-@query("dolvol", metric_sql(6, 20, "avg(dolvol_d) / 7.3::DOUBLE AS dolvol_126d, CASE WHEN avg(dolvol_d) <> 0 THEN stddev_samp(dolvol_d) / avg(dolvol_d) END AS dolvol_var_126d", where="dolvol_d IS NOT NULL", count="dolvol_d"), "dolvol_126d:5 dolvol_var_126d:6")
+@query("dolvol", metric_sql(6, 20, "avg(dolvol_d) AS dolvol_126d, CASE WHEN avg(dolvol_d) <> 0 THEN stddev_samp(dolvol_d) / avg(dolvol_d) END AS dolvol_var_126d", where="dolvol_d IS NOT NULL", count="dolvol_d"), "dolvol_126d:0 dolvol_var_126d:6")
 def _dolvol(t):
-    # an odd divisor keeps the means clear of exact decimal halves, which engines round differently
-    return _roll(t, "dolvol", "_126d", 20).withColumn("dolvol_126d", F.col("dolvol_126d") / 7.3)
+    return _roll(t, "dolvol", "_126d", 20)
 
 
 TN = "CASE WHEN shares <> 0 THEN tvol / (shares * 1e6) END"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import expand, joins, security
+from ..operators import expand, joins, rows, security
 from ..sources import adapters
 from .base_sql import FXQ, sd, sm, with_
 from .panels import PERF
@@ -195,3 +195,24 @@ def _world(t):
         {"id": F.concat(F.lit("1"), "gvkey", F.substring("iid", 1, 2)).cast("long"), "source_crsp": F.lit(0)}
     ).select(*cols)
     return security.world_panel(a, b)
+
+
+@query(
+    "world_panel_daily",
+    with_(
+        sm(),
+        sd().split(",\n", 1)[1].replace("trades AS", "trades_d AS").replace("FROM trades t", "FROM trades_d t"),
+        "mw AS (SELECT id, gvkey, iid, eom, 1 AS source_crsp FROM sm WHERE source_crsp = 1 UNION ALL SELECT 1000000 + id, gvkey, iid, eom, 0 FROM sm WHERE source_crsp = 0 OR midx % 4 = 0)",
+        "mo AS (SELECT id, eom, CAST(count(gvkey) OVER (PARTITION BY gvkey, iid, eom) <= 1 OR source_crsp = 1 AS INT) AS obs_main FROM mw)",
+        "dw AS (SELECT id, date, eom, prc, ret_exc FROM sd WHERE source_crsp = 1 UNION ALL SELECT 1000000 + id, date, eom, prc, ret_exc FROM sd WHERE source_crsp = 0 OR midx % 4 = 0)",
+    )
+    + "SELECT dw.*, obs_main FROM dw LEFT JOIN (SELECT id, eom, max(obs_main) AS obs_main FROM mo GROUP BY ALL) USING (id, eom)",
+    "ret_exc",
+)
+def _world_d(t):
+    def halves(df, *cols):
+        second = df.filter((F.col("source_crsp") == 0) | (F.col("midx") % 4 == 0)).withColumns({"id": F.col("id") + 1_000_000, "source_crsp": F.lit(0)})
+        return [x.select(*cols) for x in (df.filter("source_crsp = 1"), second)]
+
+    months = security.obs_main_flag(rows.union_relaxed(*halves(adapters.security_month(t), "id", "gvkey", "iid", "eom", "source_crsp")))
+    return security.world_panel_daily(*halves(adapters.security_day(t), "id", "date", "eom", "prc", "ret_exc"), months)

@@ -19,7 +19,8 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(SETTING, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"set {SETTING} to a shared folder to run on a cluster")
     root = tempfile.mkdtemp(prefix="panelwright-")
     spark.conf.set(SETTING, root)
