@@ -10,7 +10,7 @@ from ..operators import accounting as ac
 from ..operators import expand, joins, rows, scores
 from ..operators.panel import History
 from ..sources import adapters
-from .base_sql import FXQ, accounts, dense, sm, with_
+from .base_sql import FXQ, QYTD, accounts, dense, sm, with_
 from .registry import query
 from .relational import CROSS, FXD
 
@@ -524,3 +524,40 @@ def _standard(t):
     fx = expand.fx_daily(joins.cross_rate(adapters.fx_quotes(t)))
     out = ac.standardize(std(world, "HIST_STD", "I"), std(home, "STD", "D"), fx, _equity(t), ["gp", "sale", "ni"], "1996-01-01")
     return out.select("gvkey", "datadate", "curcd", "source", "gp", "sale", "ni", "me_fiscal")
+
+
+STDQ = """q0 AS (SELECT gvkey, curcdq, datadate, fyr, fyearq, fqtr, saley, iby, CASE WHEN CAST(gvkey AS BIGINT) % 2 = 0 THEN iby * 2 END AS oancfy, CASE WHEN fqtr <> 2 THEN saley / fqtr END AS saleq, saley * 3 AS atq, 1.5::DOUBLE AS dpq FROM qy WHERE datadate >= DATE '1993-01-01'),
+qb AS (SELECT *, 'GLOBAL' AS source FROM q0 WHERE CAST(gvkey AS BIGINT) % 4 <> 1 UNION ALL SELECT * REPLACE (saley * 2 AS saley, atq * 2 AS atq), 'NA' FROM q0 WHERE CAST(gvkey AS BIGINT) % 5 < 3),
+qm AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY gvkey, fyr, fyearq, fqtr) AS k FROM qb) WHERE k = 1 OR (k = 2 AND source = 'GLOBAL')),
+qx AS (SELECT qm.* REPLACE (saley * fx AS saley, iby * fx AS iby, oancfy * fx AS oancfy, saleq * fx AS saleq, atq * fx AS atq, dpq * fx AS dpq, 'USD' AS curcdq) FROM qm LEFT JOIN fxd ON qm.datadate = fxd.datadate AND qm.curcdq = fxd.curcdd),
+qn AS (SELECT *, row_number() OVER (PARTITION BY gvkey, fyr, fyearq ORDER BY fqtr) AS n FROM qx),
+qf AS (SELECT *, CASE WHEN n = 1 THEN fqtr = 1 ELSE fqtr - lag(fqtr) OVER w = 1 END AS ok, CASE WHEN n = 1 THEN saley ELSE saley - lag(saley) OVER w END AS ds, CASE WHEN n = 1 THEN iby ELSE iby - lag(iby) OVER w END AS di, CASE WHEN n = 1 THEN oancfy ELSE oancfy - lag(oancfy) OVER w END AS do_ FROM qn WINDOW w AS (PARTITION BY gvkey, fyr, fyearq ORDER BY fqtr)),
+qg AS (SELECT *, coalesce(saleq, CASE WHEN ok THEN ds END) AS sq, CASE WHEN ok THEN di END AS iq, CASE WHEN ok THEN do_ END AS oq FROM qf),
+qs AS (SELECT *, coalesce(lag(curcdq, 3) OVER w = curcdq AND fqtr + lag(fqtr) OVER w + lag(fqtr, 2) OVER w + lag(fqtr, 3) OVER w = 10, FALSE) AS run,
+  sq + lag(sq) OVER w + lag(sq, 2) OVER w + lag(sq, 3) OVER w AS s4, iq + lag(iq) OVER w + lag(iq, 2) OVER w + lag(iq, 3) OVER w AS i4, oq + lag(oq) OVER w + lag(oq, 2) OVER w + lag(oq, 3) OVER w AS o4 FROM qg WINDOW w AS (PARTITION BY gvkey, fyr ORDER BY fyearq, fqtr)),
+qo AS (SELECT *, row_number() OVER (PARTITION BY gvkey, datadate ORDER BY fyr DESC, fyearq DESC, fqtr DESC) AS top FROM qs)"""
+
+
+@query(
+    "standardize_accounting_quarterly",
+    with_(QYTD, sm(), MEQ, FXQ, CROSS, FXD, STDQ)
+    + """SELECT qo.gvkey, qo.datadate, curcdq AS curcd, source, atq AS "at", iq AS ni_qtr, sq AS sale_qtr, coalesce(oq, iq + dpq) AS ocf_qtr,
+  coalesce(CASE WHEN run THEN s4 END, CASE WHEN fqtr = 4 THEN saley END) AS sale, coalesce(CASE WHEN run THEN i4 END, CASE WHEN fqtr = 4 THEN iby END) AS ib,
+  coalesce(CASE WHEN run THEN o4 END, CASE WHEN fqtr = 4 THEN oancfy END) AS oancf, me_company AS me_fiscal
+FROM qo LEFT JOIN meq ON qo.gvkey = meq.gvkey AND qo.datadate = meq.eom WHERE top = 1""",
+    "at:3 ni_qtr:3 sale_qtr:3 ocf_qtr:3 sale:0 ib:3 oancf:3 me_fiscal:2",
+)
+def _standard_q(t):
+    k = F.col("gvkey").cast("long")
+    null = F.lit(None).cast("double")
+    q = adapters.quarterly_ytd(t).withColumns(
+        {
+            "oancfy": F.when(k % 2 == 0, F.col("iby") * 2), "saleq": F.when(F.col("fqtr") != 2, F.col("saley") / F.col("fqtr")), "atq": F.col("saley") * 3,
+            "dpq": F.lit(1.5), "ibq": null, "xiq": null, "ppentq": null, "dpactq": null, "indfmt": F.lit("INDL"), "consol": F.lit("C"),
+        }
+    )
+    world = q.filter(k % 4 != 1).withColumns({"datafmt": F.lit("HIST_STD"), "popsrc": F.lit("I")})
+    home = q.filter(k % 5 < 3).withColumns({"saley": F.col("saley") * 2, "atq": F.col("atq") * 2, "datafmt": F.lit("STD"), "popsrc": F.lit("D")})
+    fx = expand.fx_daily(joins.cross_rate(adapters.fx_quotes(t)))
+    out = ac.standardize_quarterly(world, home, fx, _equity(t), ["sale", "ib", "oancf"], ["atq"], "1993-01-01")
+    return out.select("gvkey", "datadate", "curcd", "source", "at", "ni_qtr", "sale_qtr", "ocf_qtr", "sale", "ib", "oancf", "me_fiscal")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..operators import factors as fa
@@ -308,7 +310,7 @@ def _sig(t):
 @query(
     "cmp",
     with_(
-        *pc_ctes(), place_ctes()[0],
+        *pc_ctes(), re.sub(r"CAST\((c_\w+) AS DOUBLE\)", r"ln(CAST(\1 AS DOUBLE))", place_ctes()[0]),
         "r0 AS (SELECT *, (rank() OVER (PARTITION BY excntry, characteristic, size_grp, eom ORDER BY var) + (count(*) OVER (PARTITION BY excntry, characteristic, size_grp, eom, var) - 1) / 2.0::DOUBLE) / (count(*) OVER (PARTITION BY excntry, characteristic, size_grp, eom) + 1) AS p FROM ln)",
         "r1 AS (SELECT *, p - avg(p) OVER (PARTITION BY excntry, characteristic, size_grp, eom) AS dev FROM r0)",
         "r2 AS (SELECT *, dev / nullif(sum(abs(dev)) OVER (PARTITION BY excntry, characteristic, size_grp, eom) / 2, 0) AS w FROM r1)",
@@ -317,7 +319,8 @@ def _sig(t):
     "ret_weighted:9 signal_weighted:7",
 )
 def _cmp(t):
-    return po.managed_portfolios(_pc(t), CHARS)
+    # characteristics in logs, as usual for sizes and volumes
+    return po.managed_portfolios(_pc(t).withColumns({c: F.log(c) for c in CHARS}), CHARS)
 
 
 def hml_sql(src, date, k=3, signal=True):
