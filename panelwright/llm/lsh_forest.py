@@ -11,7 +11,7 @@ the member closest to the region's most frequent values. The proposals are confi
 give most components.
 Second pass, the exact rest: wherever a region still holds different components, all its members of different
 components are compared by signature and confirmed on full sets; a region too large for one task is cut into
-pieces, each of which meets the members outside the region's main component.
+pieces, each of which meets the pieces of members outside the region's main component.
 
 Two texts at the threshold of 0.85 share the first 4 places of one of 16 trees but for 1 in 100,000, at 0.8 the
 first 3; the comparison of signatures loses fewer.
@@ -35,7 +35,7 @@ from .shared import LOWER, Prefix, chunks, mix, raw_texts, stage, unused, word_s
 TREES = 16
 HASHES = 64
 #: Members of a region that one task compares all with all, in the second pass and in the first.
-REGION_TASK = 2048
+REGION_TASK = 1024
 SMALL_REGION = 64
 #: Neighbours in order on either side, in larger regions.
 NEXT = 4
@@ -134,6 +134,8 @@ def forest(classes: DataFrame, depth: int, with_order: bool) -> DataFrame:
 
 def agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Agreeing places of each row of x with each row of y."""
+    if len(x) * len(y) < 5000:
+        return (x[:, None, :] == y[None, :, :]).sum(axis=2)
     out = np.zeros((len(x), len(y)), np.uint8)
     for k in range(x.shape[1]):
         out += x[:, k, None] == y[None, :, k]
@@ -227,30 +229,60 @@ def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int, per_tas
     return both.repartition("hub", "part").sortWithinPartitions("hub", "part", "role", "node").mapInArrow(run, "a binary, b binary")
 
 
-def unlike_pairs(classes: DataFrame, label: DataFrame, depth: int, least: int) -> DataFrame:
-    """(hub, member) with similar signatures and different components, from every region that holds such."""
+def missing_links(classes: DataFrame, texts: DataFrame, label: DataFrame, depth: int, least: int, size: int, percent: int) -> DataFrame:
+    """Links (a, b) between different components, from every region that holds several.
+
+    A region's members are cut into pieces, and those outside its main component into guest pieces; each piece
+    meets each guest piece in a task of its own. The task compares signatures, confirms on full sets what
+    connects components that it has not connected yet, and so sends fewer links than it has members.
+    """
     keys = forest(classes, depth, False).join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     each = keys.groupBy("region", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed = each.groupBy("region").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component"))["component"].alias("main"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    rows = keys.join(mixed, "region").join(classes.select("node", "signature"), "node")
-    rows = rows.withColumn("pieces", F.ceil(F.col("n") / REGION_TASK).cast("int"))
-    base = rows.select("region", F.pmod(F.xxhash64("node"), "pieces").cast("int").alias("piece"), "node", "component", "signature", (F.col("component") != F.col("main")).alias("odd"), F.lit(False).alias("guest"))
-    guests = rows.where("pieces > 1 AND component != main").select("region", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), "node", "component", "signature", F.lit(True).alias("odd"), F.lit(True).alias("guest"))
+    main = F.max(F.struct("n", "component"))
+    mixed = each.groupBy("region").agg(F.sum("n").alias("n"), main["component"].alias("main"), main["n"].alias("n_main"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    count = lambda c: F.ceil(c / REGION_TASK).cast("int")
+    mixed = mixed.select("region", "main", count(F.col("n")).alias("pieces"), count(F.col("n") - F.col("n_main")).alias("guest_pieces"))
+    rows = keys.join(mixed, "region").withColumn("odd", F.col("component") != F.col("main"))
+    own = lambda c: F.pmod(F.xxhash64("node"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    hosts = rows.select("region", own("pieces").alias("piece"), F.when(F.col("pieces") == 1, 1).otherwise(F.col("guest_pieces")).alias("g"), "node", "component", "odd", F.lit(False).alias("guest"))
+    hosts = hosts.withColumn("guests", every("g")).drop("g")
+    guests = rows.where("pieces > 1 AND odd").select("region", every("pieces").alias("piece"), "node", "component", "odd", F.lit(True).alias("guest"), own("guest_pieces").alias("guests"))
+    dealt = hosts.unionByName(guests).join(classes.select("node", "signature").join(texts, "node"), "node")
 
     def run(group: pa.Table) -> pa.Table:
         node, comp = group.column("node").to_pylist(), group.column("component").to_pylist()
-        kind = np.unique(np.array([c.hex() for c in comp]), return_inverse=True)[1]
+        parent = {c: c for c in comp}
+
+        def find(c):
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
         sign = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint16).reshape(-1, HASHES)
-        odd, guest = group.column("odd").to_numpy(), group.column("guest").to_numpy()
+        odd, guest, raw = group.column("odd").to_numpy(), group.column("guest").to_numpy(), raw_texts(group)
         asks, host = np.flatnonzero(guest if guest.any() else odd), np.flatnonzero(~guest)
-        out = set()
+        sets: dict[int, frozenset] = {}
+
+        def full(i):
+            if i not in sets:
+                sets[i] = frozenset(shingle_sets([raw[i]], size)[0].tolist())
+            return sets[i]
+
+        out = []
         for lo in range(0, len(asks), 256):
-            a = asks[lo : lo + 256]
-            x, y = np.nonzero((agree(sign[a], sign[host]) >= least) & (kind[a][:, None] != kind[host][None, :]))
-            out |= {(max(p), min(p)) for i, j in zip(a[x], host[y]) if (p := (node[i], node[j]))}
-        return pa.table([pa.array(c, pa.binary()) for c in (zip(*out) if out else ((), ()))], names=["hub", "member"])
+            mine = asks[lo : lo + 256]
+            for x, y in zip(*(z.tolist() for z in np.nonzero(agree(sign[mine], sign[host]) >= least))):
+                i, j = int(mine[x]), int(host[y])
+                if (p := find(comp[i])) != (q := find(comp[j])):
+                    a, b = full(i), full(j)
+                    small, large = sorted((len(a), len(b)))
+                    if 100 * small >= percent * large and 100 * (both := len(a & b)) >= percent * (small + large - both):
+                        parent[p] = q
+                        out.append((node[i], node[j]))
+        return pa.table([pa.array(c, pa.binary()) for c in (zip(*out) if out else ((), ()))], names=["a", "b"])
 
-    return base.unionByName(guests).groupBy("region", "piece").applyInArrow(run, "hub binary, member binary").distinct()
+    return dealt.groupBy("region", "piece", "guests").applyInArrow(run, "a binary, b binary").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, depth: int = 4) -> DataFrame:
@@ -270,8 +302,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, depth: in
     best = best.groupBy(F.least("hub", "member").alias("x"), F.greatest("hub", "member").alias("y")).agg(F.max("hub").alias("hub"))
     best = best.select("hub", F.when(F.col("hub") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("member"))
     links = stage(confirm(best, texts, size, percent), "links")
-    rest = stage(unlike_pairs(shared, components(links), depth, least).join(best, ["hub", "member"], "left_anti"), "rest")
-    more = stage(confirm(rest, texts, size, percent), "links")
+    more = stage(missing_links(shared, texts, components(links), depth, least, size, percent), "links")
     whole = components(links.unionByName(more))
     named = classes.select("node", "first").join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("first").alias("smallest"))
