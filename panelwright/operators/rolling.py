@@ -332,13 +332,18 @@ def month_partials(days: DataFrame, metrics: list[Metric], max_zero: int = 10) -
     return g.withColumns(gate).drop("zeros__") if gate else g.drop("zeros__")
 
 
-def trailing(months: DataFrame, k: int, metrics: list[Metric], key: str = "id") -> DataFrame:
-    """Combine month partials over every trailing k-month window that holds data: (id, end_month, ...)."""
+def trailing(months: DataFrame, k: int, metrics: list[Metric], key: str = "id", last_month: int | None = None) -> DataFrame:
+    """Combine month partials over every trailing k-month window that holds data: (id, end_month, ...). Without
+    ``last_month`` windows end up to k - 1 months after a security's last data; with it, no window ends later."""
+    if last_month is not None:
+        months = months.filter(F.col("m") <= last_month)
     if k == 1:
         return months.withColumnRenamed("m", "end_month")
     w = Window.partitionBy(key).orderBy("m")
     ahead = F.least(F.coalesce(F.lead("m").over(w) - F.col("m"), F.lit(k)), F.lit(k))
     spread = months.withColumn("ahead__", ahead).withColumn("step__", F.explode(F.sequence(F.lit(0), F.col("ahead__") - 1)))
+    if last_month is not None:
+        spread = spread.filter(F.col("m") + F.col("step__") <= last_month)
     own = F.col("step__") == 0
     parts = [c for mt in metrics for c in mt.partials()]
     spread = spread.select(key, (F.col("m") + F.col("step__")).alias("m"), own.alias("own__"), *[F.when(own, F.col(c)).alias(c) for c in parts])
@@ -352,19 +357,21 @@ def trailing(months: DataFrame, k: int, metrics: list[Metric], key: str = "id")
     return spread.select(key, F.col("m").alias("end_month"), *[c.alias(n) for n, c in out.items()])
 
 
-def roll(days: DataFrame, grid: list[tuple[str, str | int, int]], max_zero: int = 10, custom: dict[str, Metric] | None = None) -> DataFrame:
-    """Metrics (name, window, minimum observations) for every security and end month.
+def roll(days: DataFrame, grid: list[tuple[str, str | int, int]], max_zero: int = 10, custom: dict[str, Metric] | None = None, end=None) -> DataFrame:
+    """Metrics (name, window, minimum observations) for every security and end month, up to the month of the date
+    ``end`` if given.
 
     One row per (id, eom) for which at least one metric has enough observations.
     """
     built = {n: (custom or {}).get(n) or METRICS[n]() for n, _, _ in grid}
     months = month_partials(days, list(built.values()), max_zero)
+    last_month = None if end is None else end.year * 12 + end.month
     frames = []
     for k in sorted({months_of(s) for _, s, _ in grid}):
         mine = [(built[n], s, least) for n, s, least in grid if months_of(s) == k]
         used = list({mt.name: mt for mt, _, _ in mine}.values())
         keep = [c for mt in used for c in mt.partials()]
-        df = trailing(months.select("id", "m", *keep), k, used)
+        df = trailing(months.select("id", "m", *keep), k, used, last_month=last_month)
         for mt, s, least in mine:
             label = s if isinstance(s, str) else f"_{s}m"
             df = mt.finish(df, label, least)

@@ -8,6 +8,7 @@ column pruning; everything else stays lazy.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ from ..sources.scratch import stage
 class Rules:
     """Thresholds of a build; the defaults are the published ones."""
 
+    #: No window ends after the month of this date; None: windows end when their data is out of reach.
+    end: date | None = None
     publication_lag: int = 4
     max_age: int = 18
     min_breakpoint_stocks: int = 10
@@ -70,7 +73,7 @@ def daily_characteristics(day: DataFrame, daily_factors: DataFrame, market_daily
     days = days.withColumn("lead_lag__", F.coalesce("lead_lag__", F.lit(False)))
     days = panel.three_day_sums(days, {"ret_exc": "ret_exc_3l", "mktrf": "mkt_exc_3l"})
     custom = {"dimsonbeta": rolling.dimsonbeta(rules.dimson_month_min)}
-    metrics = rolling.roll(days, list(rules.daily_grid), custom=custom)
+    metrics = rolling.roll(days, list(rules.daily_grid), custom=custom, end=rules.end)
     hl = spread.bidask_hl(day, market_daily, rules.spread_min_days)
     return rolling.derived_daily(joins.merge_metrics([metrics, hl], ["id", "eom"]))
 

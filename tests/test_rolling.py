@@ -1,3 +1,4 @@
+import datetime
 import math
 import statistics as st
 
@@ -92,6 +93,12 @@ def test_window_covers_months_without_rows(spark):
     assert got == pytest.approx({1: math.sqrt(2), 2: math.sqrt(2), 3: math.sqrt(2)})
 
 
+def test_no_window_ends_after_the_end_month(spark):
+    rows = [(1, 1, 1.0), (1, 1, 3.0), (1, 3, 5.0), (1, 3, 6.0)]
+    out = rolling.roll(days(spark, rows, ["ret_exc"]), [("rvol", 3, 2)], end=datetime.date(2000, 2, 29))
+    assert {r.eom.year * 12 + r.eom.month - 24000: r.rvol_3m for r in out.collect()} == pytest.approx({1: math.sqrt(2), 2: math.sqrt(2)})
+
+
 def test_empty_input_gives_no_rows(spark):
     df = days(spark, [(1, 1, 1.0)], ["ret_exc"]).filter("id < 0")
     for name in ("rvol", "skew", "rmax", "capm", "ff3"):
