@@ -119,6 +119,7 @@ def test_quality_cases(spark, all_rows, none):
     assert quality.score(none, model).count() == 0
     nothing = quality.fit(none, labels.limit(0))
     assert {r.s for r in quality.score(all_rows, nothing, "s").collect()} == {0.3}
+    assert quality.fit(none, labels).threshold == 0
     one_side = quality.fit(all_rows, labels.where("quality = 1"))
     assert quality.keep_good(all_rows, labels.where("quality = 1")).count() == len(ROWS) and one_side.threshold == 0
 
