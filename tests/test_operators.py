@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelwright.operators import crosssection as cs
-from panelwright.operators import expand, joins, portfolios, rows
+from panelwright.operators import expand, joins, portfolios, rows, security
 
 
 @pytest.fixture(scope="module")
@@ -109,3 +109,23 @@ def test_hml_is_top_minus_bottom(stocks):
     for r in portfolios.high_minus_low(pfs, "eom").collect():
         assert r.ret_vw == pytest.approx(by[r.excntry, 3].ret_vw - by[r.excntry, 1].ret_vw)
         assert r.n_stocks == by[r.excntry, 3].n + by[r.excntry, 1].n
+
+
+def test_relaxed_union_refuses_differing_columns(spark):
+    a, b = spark.createDataFrame([(1, 2)], "x int, y int"), spark.createDataFrame([(1, 2.5)], "x int, z double")
+    with pytest.raises(ValueError, match="'y', 'z'"):
+        rows.union_relaxed(a, b)
+    with pytest.raises(ValueError, match="cshtrm"):
+        security.comp_monthly(spark.createDataFrame([("1", "1", 1, 1)], "gvkey string, iid string, eom int, source int"), spark.createDataFrame([("1", "1", 1, 0, 2)], "gvkey string, iid string, eom int, source int, cshtrm int"))
+
+
+def test_main_row_flag_counts_securities_without_a_number(spark):
+    data = [("1", None, 1, 1), ("1", None, 1, 0), ("1", "01", 1, 0), (None, None, 1, 0), (None, None, 1, 0)]
+    out = security.obs_main_flag(spark.createDataFrame(data, "gvkey string, iid string, eom int, source_crsp int"))
+    assert sorted((r.gvkey or "", r.iid or "", r.source_crsp, r.obs_main) for r in out.collect()) == [("", "", 0, 1), ("", "", 0, 1), ("1", "", 0, 0), ("1", "", 1, 1), ("1", "01", 0, 1)]
+
+
+def test_daily_returns_are_clamped_for_high_ids_only(spark):
+    days = spark.sql("SELECT id, date'2020-03-05' AS date, 2.0D AS ret_exc FROM VALUES (99999), (100000) AS t(id)")
+    cuts = spark.createDataFrame([(2020, 3, -1.0, 1.0)], "year int, month int, ret_exc_0_1 double, ret_exc_99_9 double")
+    assert {r.id: r.ret_exc for r in portfolios.winsorize_daily(days, cuts).collect()} == {99999: 2.0, 100000: 1.0}
