@@ -47,15 +47,16 @@ def interval_join(
     Intervals are sliced into calendar months, which turns the range condition into an equi join
     on (key, month) with the exact bounds as residual. A hot key is thereby spread over months
     and each point only meets the intervals alive in its own month. Open bounds are cut to the
-    range of the points, taken from a scalar subquery.
+    range of the points, taken from one scalar subquery.
     """
-    lo, hi = points.agg(F.min(date)).scalar(), points.agg(F.max(date)).scalar()
+    span = points.agg(F.struct(F.min(date).alias("lo"), F.max(date).alias("hi"))).scalar()
     sliced = (
-        intervals.withColumns({"lo__": lo, "hi__": hi})
+        intervals.withColumn("span__", span)
+        .withColumns({"lo__": F.col("span__.lo"), "hi__": F.col("span__.hi")})
         .withColumn("a__", F.greatest(F.coalesce(start, "lo__"), F.col("lo__")))
         .withColumn("b__", F.least(F.coalesce(end, "hi__"), F.col("hi__")))
         .withColumn("m__", F.explode(months_or_empty(F.col("a__"), F.col("b__"))))
-        .drop("lo__", "hi__")
+        .drop("span__", "lo__", "hi__")
     )
     p = points.withColumn("m__", F.last_day(date)).alias("p")
     s = sliced.withColumnRenamed(key, "k__").withColumnRenamed("m__", "ms__").alias("s")

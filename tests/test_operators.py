@@ -111,6 +111,14 @@ def test_hml_is_top_minus_bottom(stocks):
         assert r.n_stocks == by[r.excntry, 3].n + by[r.excntry, 1].n
 
 
+def test_a_narrow_variable_is_spread_over_parts(spark):
+    df = spark.range(5000).select((F.lit(1000.0) + F.col("id") / 500).alias("x"))
+    most = df.groupBy(cs.slot_of(F.col("x")), cs.part_of(F.col("x"))).count().agg(F.max("count")).first()[0]
+    assert most < 0.01 * 5000
+    t = cs.rank_table(df.withColumn("g", F.lit(1)), ["g"], "x").orderBy("x").collect()
+    assert [r.n_below for r in t] == list(range(5000)) and {r.n_all for r in t} == {5000}
+
+
 def test_relaxed_union_refuses_differing_columns(spark):
     a, b = spark.createDataFrame([(1, 2)], "x int, y int"), spark.createDataFrame([(1, 2.5)], "x int, z double")
     with pytest.raises(ValueError, match="'y', 'z'"):
