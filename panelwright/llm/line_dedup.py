@@ -12,8 +12,9 @@ ends). Keys meet in buckets; lines with a common key are compared by a banded bi
 3. The texts of such lines meet by key and are compared; a key that is still crowded is compared in pieces.
 4. Links join lines to components. A line stays if it is the first of its component in the order (doc_id, line).
 
-Lines of less than ``least_chars`` characters are left alone, as are null texts. Lines are what stands between
-line feeds. Rows without doc_id come last, repeated rows count as parts of one document in the order of texts.
+Equal lines go whatever their length. Lines of less than ``least_chars`` characters are not compared for near ones,
+since a few changes turn them into anything. Blank lines (nothing but white space) are left alone, as are null
+texts. Lines are what stands between line feeds. Rows without doc_id come last, repeated rows count as parts of one document in the order of texts.
 """
 
 from __future__ import annotations
@@ -116,10 +117,10 @@ def code_points(lines: list[str]):
 
 
 class Block:
-    """Lines of a block in order. ``first``: the numbers of those long enough that no equal line comes earlier
-    in the block."""
+    """Lines of a block in order. ``first``: the numbers of those that are not blank and that no equal line
+    precedes in the block."""
 
-    def __init__(self, table: pa.Table, least_chars: int):
+    def __init__(self, table: pa.Table):
         self.table, self.doc, self.place, texts = block_rows(table)
         self.lines = [None if t is None else t.split("\n") for t in self.table.column("text").to_pylist()]
         self.first: list[int] = []
@@ -132,7 +133,7 @@ class Block:
         for i, lines in enumerate(self.lines):
             self.offset.append(number)
             for j, line in enumerate(lines or ()):
-                if len(line) >= least_chars:
+                if line and not line.isspace():
                     if line in seen:
                         self.again.add(number)
                     else:
@@ -170,7 +171,7 @@ def candidates(rows: DataFrame, n: int, edits: int, least_chars: int, crowd: int
     """Rows of two kinds: lines that an equal one precedes in another block, and lines that share a key."""
 
     def send_lines(group: pa.Table) -> pa.Table:
-        b = Block(group, least_chars)
+        b = Block(group)
         digest = b"".join(xxhash.xxh128_digest(t) for t in b.text)
         key = np.frombuffer(digest, "<u8").reshape(-1, 2)
         doc, pos = b.order(slice(None))
@@ -195,12 +196,12 @@ def candidates(rows: DataFrame, n: int, edits: int, least_chars: int, crowd: int
         return {x for kind, line in zip(table.column("kind").to_pylist(), table.column("line").to_pylist()) if kind == IS_LATE for x in np.frombuffer(line, np.uint32).tolist()}
 
     def fresh(b: Block, late: set[int]) -> np.ndarray:
-        return np.array([i for i, x in enumerate(b.first) if x not in late], np.int64)
+        return np.array([i for i, x in enumerate(b.first) if x not in late and len(b.text[i]) >= least_chars], np.int64)
 
     def send_keys(key, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return table_of(KEYS, [])
-        b = Block(left, least_chars)
+        b = Block(left)
         mine = fresh(b, late_of(right))
         keys, lines = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
         number = np.array(b.first, np.uint32)
@@ -238,7 +239,7 @@ def candidates(rows: DataFrame, n: int, edits: int, least_chars: int, crowd: int
         out = [(IS_LATE, block, None, x, None, None, None, None) for x in sorted(late)]
         asked = [r for r in right.to_pylist() if r["kind"] == ASKED]
         if asked:
-            b = Block(left, least_chars)
+            b = Block(left)
             where = {x: i for i, x in enumerate(b.first)}
             doc, pos = b.order(slice(None))
             for r in asked:
@@ -298,7 +299,7 @@ def dedup_lines(docs: DataFrame, edits: int = 2, least_chars: int = 20, crowd: i
     schema = T.StructType([*rows.drop("block").schema.fields, *(T.StructField(c, T.LongType()) for c in ("n_lines", "n_removed", "n_near"))])
 
     def cut(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        b = Block(left, least_chars)
+        b = Block(left)
         near_here = {x for x, k in zip(right.column("line").to_pylist(), right.column("kind").to_pylist()) if k == ASKED}
         remove = b.again | near_here | set(right.column("line").to_pylist())
         texts, counts, removed, close = [], [], [], []

@@ -484,6 +484,13 @@ def test_line_dedup_of_awkward_rows(all_rows):
     assert len(lines) == len(set(lines))
 
 
+@pytest.mark.parametrize("blocks", [1, 4])
+def test_short_lines_that_are_equal_go(spark, blocks):
+    rows = [(i, f"Ok.\n\n \t\nline {i}\n日本語です\nOk.") for i in range(9)]
+    got = by_id(line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), blocks=blocks), "text", "n_lines", "n_removed", "n_near")
+    assert got == {i: ("Ok.\n\n \t\nline 0\n日本語です" if i == 0 else f"\n \t\nline {i}", 6, 1 if i == 0 else 3, 0) for i in range(9)}
+
+
 # queries and pipeline -----------------------------------------------------------------------------------------
 
 
