@@ -183,7 +183,8 @@ def candidates(rows: DataFrame, n: int, edits: int, least_chars: int, crowd: int
         cols = {c: [np.frombuffer(x, k) for x in group.column(c).to_pylist()] for c, k in (("digest", np.uint64), ("doc", np.int64), ("pos", np.uint64), ("line", np.uint32))}
         size = [len(x) for x in cols["doc"]]
         key, doc, pos = np.concatenate(cols["digest"]).reshape(-1, 2), np.concatenate(cols["doc"]), np.concatenate(cols["pos"])
-        order = np.lexsort((pos, doc, key[:, 1], key[:, 0]))
+        from_block = np.repeat(group.column("block").to_numpy(), size)
+        order = np.lexsort((from_block, pos, doc, key[:, 1], key[:, 0]))
         late = np.zeros(len(doc), bool)
         late[order] = ~group_starts(key[order, 0], key[order, 1])
         out = []

@@ -12,8 +12,8 @@ and neighbouring windows mostly share one, so a document is a short list of *run
 A mark with more than ``hot`` runs would crowd a bucket. Its windows travel alone, by the hash of all W units;
 a block sends each distinct window once.
 
-Order is (doc_id, start). Rows without doc_id come last. Rows with one doc_id count as one document's parts, in
-the order of their texts. Null text is empty. Texts of less than W units have no windows.
+Order is (doc_id, start). Rows with one doc_id count as one document's parts, in the order of their texts. Rows
+without doc_id come last, by their number among the block's rows without one, then by block. Null text is empty. Texts of less than W units have no windows.
 """
 
 from __future__ import annotations
@@ -135,11 +135,19 @@ def block_rows(table: pa.Table):
     doc = table.column("doc_id").fill_null(NO_ID).to_numpy().astype(np.int64)
     new = np.flatnonzero(group_starts(doc))
     place = np.arange(len(doc)) - np.repeat(new, np.diff(np.append(new, len(doc))))
-    texts = raw_texts(table)
-    if len(doc) and doc[-1] == NO_ID:
-        for i in np.flatnonzero(doc == NO_ID):
-            place[i] = (xxhash.xxh32_intdigest(texts[i]) & 0x3FFF) << 8 | min(place[i], 255)
-    return table, doc, place.astype(np.uint64), texts
+    return table, doc, place.astype(np.uint64), raw_texts(table)
+
+
+def ranked(doc: np.ndarray, pos: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Numbers in the order of documents. Rows without doc_id have a place in their block only; of those with the
+    same place, the one in the first block comes first."""
+    if not (doc == NO_ID).any():
+        return doc
+    place = pos >> np.uint64(40)
+    order = np.lexsort((block, place, doc))
+    rank = np.empty(len(doc), np.int64)
+    rank[order] = np.cumsum(group_starts(doc[order], place[order], block[order]))
+    return rank
 
 
 def table_of(names: str, rows: list[tuple]) -> pa.Table:
@@ -159,7 +167,7 @@ def flag_rows(block, doc, pos, n):
 def kept_parts(docs: DataFrame, units: Units, refine: Callable, hot: int = 20_000, blocks: int | None = None) -> DataFrame:
     """(doc_id, n_units, n_removed, n_spans, kept) for each row of ``docs`` (doc_id, text).
 
-    ``refine(units, texts, counts, doc, pos)`` gets different runs and tells for each of their windows
+    ``refine(units, texts, counts, doc, pos)`` gets different runs (doc: ``ranked``) and tells for each of their windows
     whether an equal window comes earlier.
     """
     n = blocks or block_count(docs)
@@ -244,7 +252,7 @@ def kept_parts(docs: DataFrame, units: Units, refine: Callable, hot: int = 20_00
             h, sizes = parts([r["hash"] for r in alone], np.uint64)
             doc, pos = parts([r["doc"] for r in alone], np.int64)[0], parts([r["pos"] for r in alone], np.uint64)[0]
             block = np.repeat([r["block"] for r in alone], sizes)
-            order = np.lexsort((pos, doc, h))
+            order = np.lexsort((pos, ranked(doc, pos, block), h))
             late = order[~group_starts(h[order])]
             out += flag_rows(block[late], doc[late], pos[late], np.ones(len(late), np.uint32))
         rest = [r for r in rows_of if r["kind"] == CONTEXT]
@@ -254,7 +262,8 @@ def kept_parts(docs: DataFrame, units: Units, refine: Callable, hot: int = 20_00
             pos, count = parts([r["pos"] for r in rest], np.uint64)[0], parts([r["n"] for r in rest], np.uint32)[0]
             length = parts([r["size"] for r in rest], np.uint32)[0].astype(np.int64)
             block = np.repeat([r["block"] for r in rest], sizes)
-            order = np.lexsort((pos, doc, count, text_hash, mark))
+            rank = ranked(doc, pos, block)
+            order = np.lexsort((pos, rank, count, text_hash, mark))
             new = group_starts(mark[order], text_hash[order], count[order])
             late = order[~new]
             out += flag_rows(block[late], doc[late], pos[late], count[late])
@@ -265,7 +274,7 @@ def kept_parts(docs: DataFrame, units: Units, refine: Callable, hot: int = 20_00
             if len(order):
                 text = b"".join(bytes(pa.decompress(r["text"], r["text_size"], "zstd")) if r["text_size"] else b"" for r in rest)
                 end = np.cumsum(length)
-                early = refine(units, [text[end[i] - length[i] : end[i]] for i in order], count[order], doc[order], pos[order])
+                early = refine(units, [text[end[i] - length[i] : end[i]] for i in order], count[order], rank[order], pos[order])
                 owner = np.repeat(order, count[order])
                 nth = spans_of(np.zeros(len(order), np.int64), count[order])
                 hit = np.flatnonzero(early)

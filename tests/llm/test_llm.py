@@ -392,6 +392,25 @@ def test_suffix_tree(unique_rows, all_rows, none, hot, monkeypatch):
     assert suffix_tree.remove_repeats(none).count() == 0
 
 
+@pytest.mark.parametrize("hot", [20_000, 3])
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_rows_without_id_keep_one_of_each_passage(spark, hot, blocks):
+    local = random.Random(3)
+    fresh = lambda n: " ".join(f"{local.getrandbits(40):x}" for _ in range(n))
+    passages = [fresh(25) for _ in range(6)]
+    texts = [f"{fresh(local.randint(1, 30))} {local.choice(passages)} {fresh(3)}" for _ in range(900)]
+    texts += [t for t in local.sample(texts, 300) for _ in range(2)]
+    docs = spark.createDataFrame([(None if i % 3 else i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    words = {w for t in texts for w in t.split()}
+    out = [bytes(r.kept).split() for r in suffix_tree.remove_repeats(docs, hot=hot, blocks=blocks).collect()]
+    assert len(out) == len(texts) and {w.decode() for x in out for w in x} == words
+    windows = Counter(tuple(x[i : i + 20]) for x in out for i in range(len(x) - 19))
+    assert max(windows.values()) == 1
+    out = [bytes(r.kept) for r in suffix_array.remove_repeats(docs, hot=hot, blocks=blocks).collect()]
+    everything = b"\n".join(out)
+    assert len(out) == len(texts) and all(everything.count(p.encode()[20:-20]) == 1 for p in passages)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2), min_size=12, max_size=60))
 def test_prefix_groups_and_buckets(seq):
