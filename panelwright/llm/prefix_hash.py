@@ -160,7 +160,18 @@ def fingerprints(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     cuts = [i / n for i in range(1, n)] or [0.5]
     shape = docs.agg(F.max(key).alias("most"), F.percentile_approx(key, cuts, F.lit(max(10_000, 20 * n))).alias("cuts")).first()
     most = shape["most"]
-    limits = np.array(sorted({c for c in shape["cuts"] or () if c < most}), np.int64)
+    bounds = np.array(sorted({c for c in shape["cuts"] or () if c < most}), np.int64)
+
+    def greatest(batches):
+        for b in batches:
+            keys = np.sort(b.column("key").to_numpy())
+            part = np.searchsorted(bounds, keys)
+            last = np.flatnonzero(np.append(part[1:] != part[:-1], True)) if len(part) else part
+            yield pa.RecordBatch.from_arrays([pa.array(part[last].astype(np.int32)), pa.array(keys[last])], names=["part", "key"])
+
+    # The percentiles are doubles, which may be no ids at all: ranges end with the greatest id up to each.
+    ends = docs.select(key.alias("key")).mapInArrow(greatest, "part int, key long").groupBy("part").agg(F.max("key").alias("key")).collect() if len(bounds) else ()
+    limits = np.array(sorted(r["key"] for r in ends if r["key"] < most), np.int64)
     shared = docs.sparkSession.sparkContext.broadcast((limits, most))
 
     def deal(batches):
@@ -179,13 +190,15 @@ def fingerprints(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(to.astype(np.int32)), pa.array(guest.astype(np.int32)), b.column("key").take(take), b.column("tie").take(take), b.column("doc_id").take(take), b.column("text").take(take)], names=["part", "guest", "key", "tie", "doc_id", "text"])
 
     def meet(batches):
-        part, done = None, False
+        part, done = None, True
         ids: list = []
         texts: list[str] = []
         size = 0
         for b in batches:
             for p, guest, doc_id, text in zip(*(b.column(c).to_pylist() for c in ("part", "guest", "doc_id", "text"))):
                 if p != part:
+                    if not done:
+                        raise RuntimeError(f"range {part} has no document that follows it")
                     part, done, ids, texts, size = p, False, [], [], 0
                 if done:
                     continue
@@ -195,6 +208,8 @@ def fingerprints(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                 if guest or size > 1 << 20 and len(texts) > 1:
                     yield compare(ids, texts)
                     ids, texts, size, done = ids[-1:], texts[-1:], len(texts[-1]), bool(guest)
+        if not done:
+            raise RuntimeError(f"range {part} has no document that follows it")
 
     rows = docs.select(key.alias("key"), F.xxhash64("text").alias("tie"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     dealt = rows.mapInArrow(deal, "part int, guest int, key long, tie long, doc_id long, text string")

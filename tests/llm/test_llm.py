@@ -159,6 +159,17 @@ def test_fingerprints(spark, unique_rows, all_rows, none):
     assert len(alone) == 1 and alone[0].near_next == 1
 
 
+def test_fingerprints_of_ids_beyond_doubles(spark):
+    rows = [(d, t or "") for d, t in UNIQUE]
+    small = prefix_hash.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"), block_bytes=2000)
+    want = {r.doc_id: tuple(r)[1:] for r in small.collect()}
+    for base, step in ((2**61 + 1, 1), (-(2**62) - 1, 1), (2**40 + 1, 2**52 + 1)):
+        large = {base + step * d: d for d, _ in rows}
+        docs = spark.createDataFrame([(base + step * d, t) for d, t in rows], "doc_id long, text string").repartition(3)
+        got = {large[r.doc_id]: tuple(r)[1:] for r in prefix_hash.fingerprints(docs, block_bytes=2000).collect()}
+        assert got == want
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text("ab", max_size=30), st.text("ab", max_size=30))
 def test_common_extension(a, b):
