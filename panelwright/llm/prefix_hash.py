@@ -2,15 +2,15 @@
 
 For a text of code points c the arrays P[i] = sum of c[j] * B**j for j < i, modulo two primes, answer whether any
 two spans are equal in constant time; the longest common extension of two places is found by halving. The
-fingerprint of a text is the hash of its whole span and a sketch: the least distinct hashes of its spans of
-GRAM code points (SHORT_GRAM in texts of less than SHORT_TEXT; of the whole text if that is shorter still). The
-likeness of two fingerprints is the share of common
-spans that their sketches show among the least hashes of both, 1 for equal texts.
+fingerprint of a text is the hash of its whole span and sketches: the least distinct hashes of its spans of
+GRAM code points (if it has SHORT_TEXT or more), of SHORT_GRAM, and of single ones. The likeness of two fingerprints
+is the share of common spans among the least hashes of both, by the longest spans that both have sketches of; 1 for
+equal texts.
 
 ``fingerprints`` meets each document with the next one in descending doc_id by dealing documents out in ranges of
 ids and sending the first document of each range to the range before it, too; partitions are streamed, so that a
 range has no size limit. Rows without doc_id come after all others, rows with one doc_id in the order of their
-texts' hashes. Null text is empty; an empty text has an empty sketch, which is like nothing but itself.
+texts' hashes. Null text is empty; an empty text has empty sketches, which are like nothing but itself.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from .shared import block_count, mix, worker_cache
 PRIMES = (np.uint64((1 << 31) - 1), np.uint64(2147483629))
 BASES = (1103515245, 1566083941)
 GRAM, SHORT_GRAM, SHORT_TEXT = 8, 3, 32
+#: Size of the grams of a sketch, and the shortest text that has it.
+SKETCHES = ((GRAM, SHORT_TEXT), (SHORT_GRAM, SHORT_GRAM), (1, 1))
 SKETCH = 64
 BLOCK_BYTES = 8 << 20
 MOST_RANGES = 100_000
@@ -71,23 +73,19 @@ class Prefixes:
         """A number for each span; equal spans have equal numbers, others differ but for one in 2**61."""
         return self.hashes(start, stop, 0) << np.uint64(31) | self.hashes(start, stop, 1)
 
-    def grams(self, size: int, a: int = 0, b: int | None = None) -> np.ndarray:
-        """Hashes of the spans of ``size`` inside the places a to b."""
-        p, sums, down = PRIMES[0], self.sums[0][a : None if b is None else b + 1], self.down[0][a:]
+    def grams(self, size: int) -> np.ndarray:
+        """Hashes of the spans of ``size``."""
+        p, sums, down = PRIMES[0], self.sums[0], self.down[0]
         n = max(0, len(sums) - size)
         return mix((sums[size:] + p - sums[:n]) * down[:n] % p) >> np.uint64(32)
 
-    def sketches(self) -> list[np.ndarray]:
-        grams, out = self.grams(GRAM), []
-        whole = mix(self.hashes(self.start, self.stop, 0)) >> np.uint64(32)
-        for i, (a, b) in enumerate(zip(self.start.tolist(), self.stop.tolist())):
-            if b - a >= SHORT_TEXT:
-                out.append(least(grams[a : b - GRAM + 1]))
-            elif b - a >= SHORT_GRAM:
-                out.append(least(self.grams(SHORT_GRAM, a, b)))
-            else:
-                out.append(whole[i : i + (b > a)])
-        return out
+    def sketches(self) -> list[tuple[np.ndarray, ...]]:
+        """Sketches of each text by falling size of gram; empty ones where the text is too short."""
+        by_size = []
+        for size, shortest in SKETCHES:
+            grams = self.grams(size)
+            by_size.append([least(grams[a : b - size + 1] if b - a >= shortest else grams[:0]) for a, b in zip(self.start.tolist(), self.stop.tolist())])
+        return list(zip(*by_size))
 
 
 def least(hashes: np.ndarray) -> np.ndarray:
@@ -110,23 +108,30 @@ def common_extension(a: Prefixes, i: np.ndarray, a_stop: np.ndarray, b: Prefixes
     return low
 
 
-def written(whole: int, sketch: np.ndarray) -> str:
-    return f"{whole:016x}" + sketch.astype(">u4").tobytes().hex()
+def written(whole: int, sketches: tuple[np.ndarray, ...]) -> str:
+    """The whole text's hash, then each sketch after its number of hashes."""
+    return f"{whole:016x}" + "".join(f"{len(s):02x}" + s.astype(">u4").tobytes().hex() for s in sketches)
 
 
-def read(fingerprint: str) -> tuple[int, np.ndarray]:
-    return int(fingerprint[:16], 16), np.frombuffer(bytes.fromhex(fingerprint[16:]), ">u4").astype(np.uint64)
+def read(fingerprint: str) -> tuple[int, tuple[np.ndarray, ...]]:
+    data, at, sketches = bytes.fromhex(fingerprint), 8, []
+    for _ in SKETCHES:
+        stop = at + 1 + 4 * data[at]
+        sketches.append(np.frombuffer(data[at + 1 : stop], ">u4").astype(np.uint64))
+        at = stop
+    return int(fingerprint[:16], 16), tuple(sketches)
 
 
-def likeness(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> float:
-    if a[0] == b[0] and np.array_equal(a[1], b[1]):
+def likeness(a: tuple[int, tuple[np.ndarray, ...]], b: tuple[int, tuple[np.ndarray, ...]]) -> float:
+    if a[0] == b[0] and all(map(np.array_equal, a[1], b[1])):
         return 1.0
-    union = np.union1d(a[1], b[1])[:SKETCH]
-    both = np.intersect1d(a[1], b[1], assume_unique=True)
+    x, y = next(((x, y) for x, y in zip(a[1], b[1]) if len(x) and len(y)), (a[1][-1], b[1][-1]))
+    union = np.union1d(x, y)[:SKETCH]
+    both = np.intersect1d(x, y, assume_unique=True)
     return float(np.isin(union, both, assume_unique=True).sum() / len(union)) if len(union) else 0.0
 
 
-def fingerprint(texts: list[str]) -> tuple[Prefixes, list[tuple[int, np.ndarray]]]:
+def fingerprint(texts: list[str]) -> tuple[Prefixes, list[tuple[int, tuple[np.ndarray, ...]]]]:
     p = Prefixes(texts)
     return p, list(zip(p.spans(p.start, p.stop).tolist(), p.sketches()))
 

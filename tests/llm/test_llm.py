@@ -170,6 +170,22 @@ def test_fingerprints_of_ids_beyond_doubles(spark):
         assert got == want
 
 
+def test_likeness_of_texts_on_both_sides_of_a_size():
+    def like(a, b):
+        prints = prefix_hash.fingerprint([a, b])[1]
+        assert [prefix_hash.written(*prefix_hash.read(prefix_hash.written(*x))) for x in prints] == [prefix_hash.written(*x) for x in prints]
+        return prefix_hash.likeness(*prints)
+
+    def share(a, b, size):
+        a, b = ({x[i : i + size] for i in range(len(x) - size + 1)} for x in (a, b))
+        return len(a & b) / len(a | b)
+
+    t = "abcdefghijklmnopqrstuvwxyz0123456"
+    for a, b, size in ((t, t[:22] + "!?", 3), (t, t[:31], 3), (t[:31], t[:30], 3), (t[:3], t[:2], 1), ("ab", "ac", 1), (t, t + t, 8), (t, "a", 1), (t, "", 1)):
+        assert like(a, b) == like(b, a) == share(a, b, size)
+    assert like("", "") == like(t, t) == 1 and like(t, t[:31]) > 0.9
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text("ab", max_size=30), st.text("ab", max_size=30))
 def test_common_extension(a, b):
