@@ -193,7 +193,7 @@ def proposals(trees: DataFrame, partitions: int, least: int) -> DataFrame:
                 if keys[lo] != region or len(nodes) >= REGION_TASK:
                     if (got := close(first or keys[lo] == region)) is not None:
                         yield got
-                    first = region is None
+                    first = region is None or keys[lo] == region
                     region, nodes, rows = keys[lo], [], []
                 nodes += node[lo:hi]
                 rows += ordered[lo:hi]

@@ -273,6 +273,21 @@ def test_large_regions_are_compared_in_pieces(spark, monkeypatch):
     assert by_id(lsh_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")), "component_id") == {d: (c,) for d, c in component.items()}
 
 
+def test_rest_of_a_cut_region_shares_it(spark, monkeypatch):
+    monkeypatch.setattr(lsh_forest, "REGION_TASK", 4)
+    regions = [0] * 4 + [1] * 5 + [2] * 3
+    signed = [(r, np.full(lsh_forest.HASHES, i, ">u2").tobytes(), bytes([i])) for i, r in enumerate(regions)]
+    trees = spark.createDataFrame(signed, "region long, ordered binary, node binary")
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, 4)
+    try:
+        got = {r.member[0] for r in lsh_forest.proposals(trees, 1, lsh_forest.HASHES).collect() if r.hub is None}
+    finally:
+        spark.conf.set(size, before)
+    assert got == set(range(12))
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(30)] + [(50, 40), (41, 50), (60, 60), (None, 3), (50, 40)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
