@@ -8,7 +8,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_dedup, lsh_forest, prefix_hash, quality, suffix_array, suffix_tree, token_counts, url_filter
+from . import bpe, decontaminate, line_dedup, lsh_forest, prefix_hash, prefix_trie, quality, suffix_array, suffix_tree, token_counts, url_filter
 from .shared import documents
 
 QUERIES = {}
@@ -133,3 +133,42 @@ def op2_bradley_terry(spark, sf_dir):
 def op3_prefix_hashes(spark, sf_dir):
     """Fingerprints of every text and of its edited form, and how like they are."""
     return prefix_hash.fingerprints(documents(spark, sf_dir))
+
+
+@register
+def op11_prefix_trie(spark, sf_dir):
+    """Every distinct start of the conversations rebuilt on shared first turns."""
+    turns, convs = prefix_trie.ordered_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text"))
+    nodes = prefix_trie.trie(*prefix_trie.graft(turns, convs))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+#: The CRC-32 of a text of ASCII characters.
+CRC32_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split({0}, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+oracle(
+    "op11_prefix_trie",
+    f"""
+WITH t AS (
+    SELECT conv_id, coalesce(text, '') AS text, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest, turn
+    FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({{'digest': digest, 'chars': length(text)}} ORDER BY turn NULLS FIRST, digest) AS w FROM t GROUP BY conv_id),
+planned AS (SELECT conv_id, w, conv_id - conv_id % 100 AS base, CAST({CRC32_SQL.format("CAST(conv_id AS VARCHAR)")} % 6 AS INTEGER) AS h FROM own),
+rebuilt AS (SELECT p.conv_id, list_concat(coalesce(b.w[1:p.h], []), p.w[p.h + 1:]) AS w FROM planned p LEFT JOIN own b ON b.conv_id = p.base),
+starts AS (
+    SELECT conv_id, d, len(w) AS n_turns, CASE WHEN d = 0 THEN 0 ELSE w[d].chars END AS chars, md5(d || array_to_string(list_transform(w[1:d], lambda x: x.digest), '')) AS node,
+        CASE WHEN d > 0 THEN md5((d - 1) || array_to_string(list_transform(w[1:d - 1], lambda x: x.digest), '')) END AS parent
+    FROM (SELECT conv_id, w, unnest(range(len(w) + 1)) AS d FROM rebuilt)),
+nodes AS (
+    SELECT node, any_value(parent) AS parent, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved,
+        sha256(coalesce(string_agg(CASE WHEN n_turns = d THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+    FROM starts GROUP BY node),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+below AS (
+    SELECT s.node, sum(n.saved) AS saved_tokens, count(*) FILTER (WHERE k.n_children IS NULL) AS n_leaves
+    FROM starts s JOIN nodes n ON n.conv_id = s.conv_id AND n.depth >= s.d LEFT JOIN kids k ON k.node = n.node GROUP BY s.node)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, b.n_leaves,
+    CAST(b.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b USING (node) LEFT JOIN kids k USING (node) LEFT JOIN nodes p ON p.node = n.parent
+""",
+)
