@@ -8,7 +8,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_dedup, lsh_forest, prefix_hash, prefix_trie, quality, suffix_array, suffix_tree, token_counts, url_filter
+from . import bpe, decontaminate, line_dedup, lsh_forest, prefix_hash, prefix_trie, quality, spelling, suffix_array, suffix_tree, token_counts, url_filter
 from .shared import documents
 
 QUERIES = {}
@@ -172,3 +172,37 @@ SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id,
 FROM nodes n JOIN below b USING (node) LEFT JOIN kids k USING (node) LEFT JOIN nodes p ON p.node = n.parent
 """,
 )
+
+
+@register
+def op13_spelling_variants(spark, sf_dir):
+    """Words of at least seven letters, their near words and the form they are a variant of."""
+    words = spelling.vocabulary(spelling.misspelt(spelling.runs(documents(spark, sf_dir))))
+    return spelling.variants(words).select("word", "n", "n_near", "form", "form_n", "root")
+
+
+#: The CRC-32 of any text, over its UTF-8 bytes.
+CRC32_BYTES_SQL = CRC32_SQL.replace("list_transform(string_split({0}, ''), lambda c: CAST(ascii(c) AS BIGINT))", "list_transform(range(1, octet_length(encode({0})) + 1), lambda i: CAST('0x' || substr(hex(encode({0})), CAST(2 * i - 1 AS BIGINT), 2) AS BIGINT))")
+oracle(
+    "op13_spelling_variants",
+    rf"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, run, count(*) AS c FROM (
+        SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+    WHERE length(run) >= 7 GROUP BY ALL),
+hashed AS (SELECT run, c, {CRC32_BYTES_SQL.format("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM runs),
+spelt AS (SELECT CASE WHEN h % 31 = 0 THEN run[1:CAST(h % length(run) AS BIGINT)] || run[CAST(h % length(run) AS BIGINT) + 2:] ELSE run END AS word, c FROM hashed),
+words AS MATERIALIZED (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM spelt WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+cut AS MATERIALIZED (SELECT word, n, i, word[1:i - 1] || word[i + 1:] AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS MATERIALIZED (
+    SELECT a.word, b.word AS other, b.n AS m FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, (min({{'m': -m, 'other': other}})).other AS form, max(m) AS form_n FROM near GROUP BY word),
+told AS MATERIALIZED (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * n THEN form END AS form, CASE WHEN form_n >= 10 * n THEN form_n END AS form_n
+    FROM words w LEFT JOIN best USING (word)),
+steps AS (SELECT word, word AS root, 0 AS k FROM told UNION ALL SELECT s.word, t.form, k + 1 FROM steps s JOIN told t ON t.word = s.root WHERE t.form IS NOT NULL)
+SELECT t.word, n, n_near, form, form_n, root FROM told t JOIN (SELECT word, arg_max(root, k) AS root FROM steps GROUP BY word) USING (word)
+""",
+)
