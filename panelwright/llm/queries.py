@@ -8,7 +8,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_dedup, lsh_forest, prefix_hash, prefix_trie, quality, spelling, suffix_array, suffix_tree, token_counts, url_filter
+from . import bpe, decontaminate, line_dedup, lsh_forest, mixing, prefix_hash, prefix_trie, quality, spelling, suffix_array, suffix_tree, token_counts, url_filter
 from .shared import documents
 
 QUERIES = {}
@@ -206,3 +206,9 @@ steps AS (SELECT word, word AS root, 0 AS k FROM told UNION ALL SELECT s.word, t
 SELECT t.word, n, n_near, form, form_n, root FROM told t JOIN (SELECT word, arg_max(root, k) AS root FROM steps GROUP BY word) USING (word)
 """,
 )
+
+
+@register
+def op12_source_mix(spark, sf_dir):
+    """Words that a mix by source weights takes of each document."""
+    return mixing.mix(documents(spark, sf_dir, "doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
