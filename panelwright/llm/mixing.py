@@ -1,10 +1,10 @@
 """Mixing sources to target weights by subset-sum budget fitting.
 
-Each source has a budget of words. As often as it holds all of a source, every document is taken; what is left
-of the budget is fitted with single documents, by their exact lengths: the lengths of a source are counted, all
-but a small reserve of the budget is spent in proportion over the lengths, and bounded-knapsack dynamic programming
-over the remaining counts fits the reserve, word for word where the lengths allow. How many documents of a length
-are taken is settled by these counts; which ones, by a seeded hash.
+Each source has a budget of words, fitted with whole documents by their exact lengths: the lengths of a source are
+counted, as often as documents must repeat to fill the budget; all but a small reserve of it is spent in
+proportion over the lengths, and bounded-knapsack dynamic programming over the remaining counts fits the reserve,
+word for word where the lengths allow (where they do not, documents may repeat once more). How many documents of
+a length are taken is settled by these counts; which ones are taken once more than the others, by a seeded hash.
 
 Rows with equal doc_id, source and size are alike in all that is returned; they are folded into one with a count
 and unfolded at the end, so that a group of copies is never ranked row by row. Documents of one source and
@@ -102,7 +102,7 @@ def fit_lengths(size: np.ndarray, count: np.ndarray, budget: int, reserve: int =
 def knapsack(items: list[tuple[int, int, int]], rest: int) -> dict[int, int]:
     """Bounded knapsack over (length, count, name): counts by name whose words come nearest to ``rest``, below it
     if as near. Bits of a number are the sums that can be reached; it stops at the first exact one."""
-    most = 2 * rest if all(a > rest for a, _, _ in items) else rest + min((a for a, _, _ in items), default=0)
+    most = 2 * rest  # beyond that, nothing at all is nearer
     mask = (1 << (most + 1)) - 1
     reach, steps = 1, []
     for a, n, i in items:
@@ -129,7 +129,7 @@ def knapsack(items: list[tuple[int, int, int]], rest: int) -> dict[int, int]:
     return out
 
 
-def plan_lengths(rows: DataFrame, goals: DataFrame, reserve: int = RESERVE) -> DataFrame:
+def plan_lengths(rows: DataFrame, goals: DataFrame, most: int = MOST, reserve: int = RESERVE) -> DataFrame:
     """(source_key, size, all_of, some_of): how often all documents of a length are taken, and how many once more."""
     lengths = rows.groupBy("source_key", "size").agg(F.sum("copies").alias("n"))
     lengths = lengths.join(goals.select("source_key", "source_size", "target"), "source_key")
@@ -137,8 +137,14 @@ def plan_lengths(rows: DataFrame, goals: DataFrame, reserve: int = RESERVE) -> D
     def fit(group: pa.Table) -> pa.Table:
         words, target = group.column("source_size")[0].as_py(), group.column("target")[0].as_py()
         size, n = (group.column(c).to_numpy() for c in ("size", "n"))
-        whole, rest = divmod(round(target), words) if words else (0, 0)
-        cols = [group.column("source_key"), group.column("size"), np.full(len(size), whole), fit_lengths(size, n, rest, reserve)]
+        took, gap = np.zeros(len(size), np.int64), round(target)
+        for times in range(max(1, -(-gap // words)), most + 1) if words else ():
+            again = fit_lengths(size, n * times, round(target), reserve)
+            if abs(again @ size - round(target)) < gap:
+                took, gap = again, abs(again @ size - round(target))
+            if not gap:
+                break  # else lengths too coarse: let documents repeat once more
+        cols = [group.column("source_key"), group.column("size"), took // n, took % n]
         return pa.table([*cols, group.column("source_size"), group.column("target")], schema=TAKE_T)
 
     return lengths.groupBy("source_key").applyInArrow(fit, TAKE)
@@ -149,7 +155,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST, s
     rows = stage(sizes(docs), "sizes")
     totals = rows.groupBy("source_key").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"))
     goals = stage(targets(totals, weights, most), "targets")
-    take = stage(plan_lengths(rows, goals, reserve), "lengths")
+    take = stage(plan_lengths(rows, goals, most, reserve), "lengths")
 
     hashed = rows.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "source_key", "size")).withColumn("slot", F.shiftright("h", 48))
     slots = hashed.groupBy("source_key", "size", "slot").agg(F.sum("copies").alias("n")).join(take, ["source_key", "size"])
