@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import months_or_empty
+from ..sources.scratch import stage
 
 FAR_DATE = "9999-12-31"
 
@@ -33,6 +33,56 @@ def merge_metrics(frames: list[DataFrame], keys: list[str]) -> DataFrame:
     )
 
 
+LEAF_DAYS, FAN, LEVELS = 32, 4, 4
+
+
+def _nodes(first: Column, last: Column) -> Column:
+    """The nodes (level, place) of a tree over days that cover first .. last, as large as fits and disjoint: leaves of
+    ``LEAF_DAYS`` days, ``FAN`` children to a parent. The first and the last leaf may stick out. A level below the
+    top adds fewer than 2 * FAN nodes; the top level takes the rest."""
+    leaf = lambda day: F.floor(day / F.lit(LEAF_DAYS))
+    inside = [
+        (F.ceil(leaf(first) / F.lit(FAN**k)).cast("int"), (F.floor((leaf(last) + 1) / F.lit(FAN**k)) - 1).cast("int")) for k in range(LEVELS)
+    ]
+    run = lambda a, b: F.when(b >= a, F.sequence(a, b)).otherwise(F.array().cast("array<int>"))
+    node = lambda level, at: F.transform(at, lambda i: F.struct(F.lit(level).alias("level"), i.alias("place")))
+    parts = []
+    for k, (lo, hi) in enumerate(inside):
+        places = run(lo, hi)
+        if k < LEVELS - 1:  # without what parents cover
+            up, down = inside[k + 1]
+            places = F.when(down >= up, F.concat(run(lo, up * FAN - 1), run((down + 1) * FAN, hi))).otherwise(places)
+        parts.append(node(k, places))
+    return F.concat(*parts)
+
+
+def _ancestors(day: Column) -> Column:
+    return F.array(*[F.struct(F.lit(k).alias("level"), F.floor(day / F.lit(LEAF_DAYS * FAN**k)).cast("int").alias("place")) for k in range(LEVELS)])
+
+
+def interval_matches(points: DataFrame, intervals: DataFrame, key: str, date: str, start: str, end: str) -> DataFrame:
+    """Pairs of points and intervals with start <= date <= end; a NULL bound is open.
+
+    An interval becomes the nodes of a tree over days that cover it (see :func:`_nodes`), a point the ``LEVELS`` nodes
+    above it, and the two meet in an equi join on (key, node) with the exact bounds as residual. The nodes of an
+    interval are disjoint, so a pair is found once; 60 open years are 30 nodes or so, not 720 months. A hot key is
+    spread over the nodes. Open bounds are cut to the range of the points, taken from one scalar subquery.
+    """
+    span = points.agg(F.struct(F.min(date).alias("lo"), F.max(date).alias("hi"))).scalar()
+    cut = (
+        intervals.withColumn("span__", span)
+        .withColumn("a__", F.greatest(F.coalesce(start, "span__.lo"), F.col("span__.lo")))
+        .withColumn("b__", F.least(F.coalesce(end, "span__.hi"), F.col("span__.hi")))
+        .where(F.col("a__") <= F.col("b__"))
+        .withColumn("node__", F.explode(_nodes(F.unix_date("a__"), F.unix_date("b__"))))
+        .drop("span__")
+    )
+    p = points.withColumn("node__", F.explode(_ancestors(F.unix_date(date)))).alias("p")
+    s = cut.withColumnsRenamed({key: "k__", "node__": "at__"}).alias("s")
+    cond = (F.col(f"p.{key}") == F.col("s.k__")) & (F.col("p.node__") == F.col("s.at__")) & F.col(f"p.{date}").between(F.col("s.a__"), F.col("s.b__"))
+    return p.join(s, cond).drop("node__", "at__", "k__", "a__", "b__")
+
+
 def interval_join(
     points: DataFrame,
     intervals: DataFrame,
@@ -42,30 +92,13 @@ def interval_join(
     end: str,
     how: str = "left",
 ) -> DataFrame:
-    """Attach intervals with start <= date <= end; a NULL bound is open.
-
-    Intervals are sliced into calendar months, which turns the range condition into an equi join
-    on (key, month) with the exact bounds as residual. A hot key is thereby spread over months
-    and each point only meets the intervals alive in its own month. Open bounds are cut to the
-    range of the points, taken from one scalar subquery.
-    """
-    span = points.agg(F.struct(F.min(date).alias("lo"), F.max(date).alias("hi"))).scalar()
-    sliced = (
-        intervals.withColumn("span__", span)
-        .withColumns({"lo__": F.col("span__.lo"), "hi__": F.col("span__.hi")})
-        .withColumn("a__", F.greatest(F.coalesce(start, "lo__"), F.col("lo__")))
-        .withColumn("b__", F.least(F.coalesce(end, "hi__"), F.col("hi__")))
-        .withColumn("m__", F.explode(months_or_empty(F.col("a__"), F.col("b__"))))
-        .drop("span__", "lo__", "hi__")
-    )
-    p = points.withColumn("m__", F.last_day(date)).alias("p")
-    s = sliced.withColumnRenamed(key, "k__").withColumnRenamed("m__", "ms__").alias("s")
-    cond = (
-        (F.col(f"p.{key}") == F.col("s.k__"))
-        & (F.col("p.m__") == F.col("s.ms__"))
-        & F.col(f"p.{date}").between(F.col("s.a__"), F.col("s.b__"))
-    )
-    return p.join(s, cond, how).drop("m__", "ms__", "k__", "a__", "b__")
+    """Attach the intervals of :func:`interval_matches`. A left join numbers the written points and joins the matches
+    back by number, so that only key, date and number are copied to the nodes."""
+    if how == "inner":
+        return interval_matches(points, intervals, key, date, start, end)
+    rows = stage(points.withColumn("n__", F.monotonically_increasing_id()), "points")
+    found = interval_matches(rows.select("n__", key, F.col(date).alias("d__")), intervals, key, "d__", start, end)
+    return rows.join(found.drop(key, "d__"), "n__", how).drop("n__")
 
 
 def primary_flag(
@@ -87,13 +120,10 @@ def primary_flag(
         lambda a, b: a.unionByName(b, allowMissingColumns=True),
         [h.select(key, name, "effdate", "thrudate") for name, h in histories.items()],
     )
-    rest = [c for c in df.columns if c not in unique]
-    hits = interval_join(df, stacked, key, date, "effdate", "thrudate").groupBy(*unique).agg(
-        F.first(F.struct(*rest)).alias("row"),
-        # all ids recorded on this date; several can be valid at once
-        *[F.collect_set(n).alias(f"{n}__set") for n in histories],
-    )
-    flat = hits.select(*unique, *[F.col(f"row.{c}").alias(c) for c in rest], *[f"{n}__set" for n in histories])
+    narrow = df.select(*dict.fromkeys([*unique, key, date]))
+    # all ids recorded on this date; several can be valid at once
+    hits = interval_matches(narrow, stacked, key, date, "effdate", "thrudate").groupBy(*unique).agg(*[F.collect_set(n).alias(f"{n}__set") for n in histories])
+    flat = df.join(hits, unique, "left")
     head = header.select(key, *[F.col(n).alias(f"{n}__h") for n in histories])
     match = reduce(
         lambda a, b: a | b,

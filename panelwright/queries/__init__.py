@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("markets", "scalars", "relational", "panels", "rolling", "accounting", "securities", "portfolios")
+FAMILIES = ("markets", "scalars", "relational", "panels", "rolling", "accounting", "securities", "portfolios", "temporal")
 
 
 def load():
