@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.nulls import as_col, div
+from .selection import order_statistics
 
 SLOTS_PER_E = 16
 SLOT_SCALE = 1e6
@@ -150,27 +151,22 @@ def quantile_disc(
     df: DataFrame, keys: list[str], value: str, probs: dict[str, float], count: str | None = None
 ) -> DataFrame:
     """Discrete quantiles per group: the smallest value whose cumulative count reaches ceil(q n)."""
-    t = rank_table(df, keys, value)
-    reach = F.col("n_below") + F.col("n_at")
-    aggs = [
-        F.min(F.when(reach >= quantile_position(F.col("n_all"), q), F.col(value))).alias(name)
-        for name, q in probs.items()
-    ]
-    if count:
-        aggs = [F.max("n_all").alias(count), *aggs]
-    return t.groupBy(*keys).agg(*aggs)
+    found = order_statistics(df, keys, [value], lambda n: [quantile_position(n, q) for q in probs.values()])
+    named = [F.col("values")[i].alias(name) for i, name in enumerate(probs)]
+    return found.select(*keys, *([F.col("n").alias(count)] if count else []), *named)
 
 
 def quantile_disc_many(
-    df: DataFrame, keys: list[str], values: list[str], probs: dict[str, float]
+    df: DataFrame, keys: list[str], values: list[str], probs: dict[str, float], count: tuple[str, str] | None = None
 ) -> DataFrame:
-    """Quantiles of several columns in one pass: columns ``<value>_<suffix>`` for each prob suffix."""
-    long = melt(df, keys, values, "var__", "val__")
-    t = quantile_disc(long, [*keys, "var__"], "val__", probs)
-    aggs = [
-        F.max(F.when(F.col("var__") == v, F.col(s))).alias(f"{v}_{s}") for v in values for s in probs
-    ]
-    return t.groupBy(*keys).agg(*aggs)
+    """Quantiles of several columns in one pass: columns ``<value>_<suffix>`` for each prob suffix; ``count`` names a
+    column and the value whose rows it counts."""
+    found = order_statistics(df, keys, values, lambda n: [quantile_position(n, q) for q in probs.values()])
+    at = lambda i, c: F.max(F.when(F.col("var") == i, c))
+    aggs = [at(i, F.col("values")[j]).alias(f"{v}_{s}") for i, v in enumerate(values) for j, s in enumerate(probs)]
+    if count:
+        aggs = [F.coalesce(at(values.index(count[1]), F.col("n")), F.lit(0)).alias(count[0]), *aggs]
+    return found.groupBy(*keys).agg(*aggs)
 
 
 def melt(df: DataFrame, ids: list[str], values: list[str], name: str, value: str) -> DataFrame:
@@ -255,12 +251,9 @@ def standardize_signal(df: DataFrame, keys: list[str], values: list[str], ids: l
 
 
 def group_median(df: DataFrame, keys: list[str], value: str, out: str = "median") -> DataFrame:
-    """Exact median per group from the rank table (no per-group buffer of values)."""
-    t = rank_table(df, keys, value)
-    n, reach = F.col("n_all"), F.col("n_below") + F.col("n_at")
-    lo, hi = F.floor((n + 1) / 2), F.floor(n / 2) + 1
-    at = lambda p: F.min(F.when(reach >= p, F.col(value)))
-    return t.groupBy(*keys).agg(((at(lo) + at(hi)) / 2).alias(out))
+    """Exact median per group: the mean of the values at the middle positions."""
+    found = order_statistics(df, keys, [value], lambda n: [F.floor((n + 1) / 2), F.floor(n / 2) + 1])
+    return found.select(*keys, ((F.col("values")[0] + F.col("values")[1]) / 2).alias(out))
 
 
 def winsorize(c: str | Column, lo: str | Column, hi: str | Column, only: Column | None = None) -> Column:

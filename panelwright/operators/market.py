@@ -72,8 +72,7 @@ def return_cutoffs(df: DataFrame, freq: str = "m", crsp_only: bool = False, excl
     if freq == "d":
         use = use.withColumns({"year": F.year("date"), "month": F.month("date")})
         keys = ["year", "month"]
-    n = use.groupBy(*keys).agg(F.count("ret").alias("n"))
-    return n.join(quantile_disc_many(use, keys, RETURNS, RETURN_PROBS), keys)
+    return quantile_disc_many(use, keys, RETURNS, RETURN_PROBS, count=("n", "ret"))
 
 
 def winsorize_returns(df: DataFrame, cutoffs: DataFrame, keys: list[str], only: Column | None = None) -> DataFrame:
