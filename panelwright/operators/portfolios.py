@@ -1,8 +1,8 @@
 """Characteristic portfolios, long-short factors, themes and regions.
 
 Countries, characteristics and portfolios are grouping keys of single jobs; there is no loop over
-them. The portfolio of a stock depends on its characteristic value only, so returns are first
-summed per distinct value (combined before the shuffle) and the ECDF is taken over those values.
+them. The portfolio of a stock depends on its characteristic value only: the values at which portfolios begin
+are selected exactly (see selection.py) and compared with the wide rows where these are.
 """
 
 from __future__ import annotations
@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_end
 from ..functions.nulls import div
+from ..sources.scratch import stage
 from .crosssection import average_rank, melt, rank_table, winsorize
+from .selection import Wide, first_counts, position, select, value_of, wide
 
 KEYS = ["excntry", "characteristic", "eom"]
-LOWEST = 1e-8
 
 
 def cap_equity(panel: DataFrame, cutoffs: DataFrame) -> DataFrame:
@@ -58,49 +59,84 @@ def reference_stock(bps: str) -> Column:
     return F.col("size_grp").isin("mega", "large", "small")
 
 
-def _values(panel: DataFrame, chars: list[str], k: int, bps: str, min_n: int, sums: dict[str, Column] | None) -> DataFrame:
-    """Distinct values per (country, characteristic, month) with their portfolio ``pf``."""
-    carry = ["excntry", "eom", "id", "size_grp", "ret_exc_lead1m", "me", "me_cap", "crsp_exchcd", "comp_exchg"]
-    long = melt(panel, carry, chars, "characteristic", "var")
-    t = rank_table(long, KEYS, "var", ref=F.coalesce(reference_stock(bps), F.lit(False)), sums=sums)
-    t = t.filter(F.col("ref_all") >= min_n).withColumn("cdf", div(F.col("ref_below") + F.col("ref_at"), F.col("ref_all").cast("double")))
-    floor = t.groupBy(*KEYS).agg(F.min("cdf").alias("low__"))
-    cdf = F.when(F.col("cdf") == F.col("low__"), LOWEST).otherwise(F.col("cdf"))
-    pf = F.least(F.greatest(F.ceil(cdf * k), F.lit(1)), F.lit(k)).cast("int")
-    return t.join(floor, KEYS).withColumn("pf", pf).drop("low__")
+GROUP = ["excntry", "eom"]
+ABOVE_ALL = (1 << 63) - 1
+
+
+def _cuts(w: Wide, cells: DataFrame, k: int, min_n: int) -> DataFrame:
+    """(excntry, eom, var, cuts): the images at which portfolios 2 .. k begin.
+
+    Portfolio j ends with the last value whose share of reference stocks at or below it is at most j / k. Values with
+    the least share of all go to portfolio 1 even if that share is larger.
+    """
+    m = F.col("m")
+
+    def first_beyond(j):
+        at = F.expr(f"m * {j} div {k}")
+        return F.when(F.ceil(at / m.cast("double") * k) > j, at).otherwise(at + 1)
+
+    ranks = [position(F.lit(1), True), position(F.lit(1)), *[position(first_beyond(j), True) for j in range(1, k)]]
+    found = stage(select(w, cells.where(m >= min_n), F.array(*ranks)), "cuts")
+    low, least = F.col("found")[0], F.col("found")[1]
+    found = found.withColumns({"low": low, "cuts": F.slice("found", 3, k - 1)}).withColumn("tied", (least >= low) & (F.col("cuts")[0] == low))
+    if not found.where("tied").isEmpty():  # the lowest value alone is over a k-th: the next one begins portfolio 2
+        rows = w.long(w.meet(w.pack(found.where("tied"), low=F.col("low"))), "ref").where("ref and img > v.low")
+        after = rows.groupBy(*GROUP, "var").agg(F.min("img").alias("second"))
+        found = found.join(after, [*GROUP, "var"], "left").withColumn("second", F.coalesce("second", F.lit(ABOVE_ALL)))
+        found = stage(found.withColumn("cuts", F.when(F.col("tied"), F.transform("cuts", lambda c: F.greatest(c, F.col("second")))).otherwise(F.col("cuts"))), "cuts")
+    return found.select(*GROUP, "var", "cuts")
+
+
+def _pf(img: Column, cuts: Column, k: int) -> Column:
+    out = F.lit(1)
+    for j in range(k - 1):
+        out = out + (img >= cuts[j]).cast("int")
+    return out
+
+
+def _name(var: Column | str, chars: list[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(c) for c in chars]), F.col(var) + 1 if isinstance(var, str) else var + 1)
+
+
+def _placed(panel: DataFrame, chars: list[str], k: int, bps: str, min_n: int, carry: list[str]) -> tuple[Wide, DataFrame, DataFrame]:
+    """Written wide rows, counts by cell, and the cut points of each group and characteristic."""
+    w = wide(panel, GROUP, chars, reference_stock(bps), carry, salt="id")
+    cells = stage(first_counts(w), "cells")
+    return w, cells, _cuts(w, cells, k, min_n)
 
 
 def char_portfolios(panel: DataFrame, chars: list[str], k: int = 3, bps: str = "non_mc", min_n: int = 10) -> DataFrame:
-    """Portfolio size, median signal and EW / VW / capped-VW next-month return per characteristic."""
+    """Portfolio size, median signal and EW / VW / capped-VW next-month return per characteristic.
+
+    The wide rows are shuffled once, to be written; a table of (stock, characteristic) is never shuffled: cut points
+    travel to the rows as one array per country and month, and what leaves a task is summed per portfolio.
+    """
+    w, cells, cuts = _placed(panel, chars, k, bps, min_n, ["ret_exc_lead1m", "me", "me_cap"])
+    long = w.long(w.meet(w.pack(cuts, cuts=F.col("cuts"))), "ret_exc_lead1m", "me", "me_cap")
     r, me, cap = F.col("ret_exc_lead1m"), F.col("me"), F.col("me_cap")
     sums = {"s_r": r, "s_rm": r * me, "s_m": me, "s_rc": r * cap, "s_c": cap}
-    t = _values(panel, chars, k, bps, min_n, sums)
-    group = [*KEYS, "pf"]
-    stats = t.groupBy(*group).agg(
-        F.sum("n_at").alias("n"), F.min("n_below").alias("base__"), *[F.sum(s).alias(s) for s in sums]
-    )
-    # exact median: the values at the middle positions inside the portfolio
-    spot = t.join(stats.select(*group, "n", "base__"), group)
-    reach = F.col("n_below") + F.col("n_at") - F.col("base__")
-    at = lambda pos: F.min(F.when(reach >= pos, F.col("var")))
-    med = spot.groupBy(*group).agg(((at(F.floor((F.col("n") + 1) / 2)) + at(F.floor(F.col("n") / 2) + 1)) / 2).alias("signal"))
-    return stats.join(med, group).select(
-        "excntry", "characteristic", "pf", month_end("eom", 1).alias("eom"), "n", "signal",
-        div(F.col("s_r"), F.col("n").cast("double")).alias("ret_ew"), div("s_rm", "s_m").alias("ret_vw"), div("s_rc", "s_c").alias("ret_vw_cap"),
-    )
+    stats = long.groupBy(*GROUP, "var", _pf(F.col("img"), F.col("v.cuts"), k).alias("pf")).agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(s) for s, c in sums.items()])
+    pfs = stats.groupBy(*GROUP, "var").agg(F.sort_array(F.collect_list(F.struct("pf", "n", *sums))).alias("pfs"))  # k entries
 
+    def middle(p):  # portfolios follow one another in the order of values
+        base = F.aggregate(F.filter("pfs", lambda q: q["pf"] < p["pf"]), F.lit(0).cast("long"), lambda a, q: a + q["n"])
+        return F.array(position(base + F.floor((p["n"] + 1) / 2)), position(base + F.floor(p["n"] / 2) + 1))
 
-def assign(panel: DataFrame, chars: list[str], k: int = 3, bps: str = "non_mc", min_n: int = 10) -> DataFrame:
-    """Portfolio of every stock: (excntry, characteristic, eom, id, pf, me, me_cap).
+    state = cells.join(pfs, [*GROUP, "var"])
+    found = select(w, state, F.flatten(F.transform("pfs", middle)))
+    flat = found.select(*GROUP, "var", "found", F.posexplode("pfs").alias("i", "p"))
+    mid = lambda j: value_of(F.get("found", 2 * F.col("i") + j))
+    return flat.select(
+        "excntry", _name("var", chars).alias("characteristic"), "p.pf", month_end("eom", 1).alias("eom"), "p.n", ((mid(0) + mid(1)) / 2).alias("signal"),
+        div(F.col("p.s_r"), F.col("p.n").cast("double")).alias("ret_ew"), div("p.s_rm", "p.s_m").alias("ret_vw"), div("p.s_rc", "p.s_c").alias("ret_vw_cap"),
+    )
 
-    Only the value ranges of the k portfolios travel back to the rows, a few numbers per group.
-    """
-    t = _values(panel, chars, k, bps, min_n, None)
-    ranges = t.groupBy(*KEYS, "pf").agg(F.min("var").alias("lo"), F.max("var").alias("hi"))
-    packed = ranges.groupBy(*KEYS).agg(F.collect_list(F.struct("pf", "lo", "hi")).alias("pfs__"))  # k entries
-    long = melt(panel, ["excntry", "eom", "id", "me", "me_cap"], chars, "characteristic", "var")
-    hit = F.filter("pfs__", lambda p: F.col("var").between(p["lo"], p["hi"]))
-    return long.join(packed, KEYS).withColumn("pf", F.element_at(hit, 1)["pf"]).drop("pfs__", "var")
+
+def assign(panel: DataFrame, chars: list[str], k: int = 3, bps: str = "non_mc", min_n: int = 10) -> DataFrame:
+    """Portfolio of every stock: (excntry, characteristic, eom, id, pf, me, me_cap)."""
+    w, _, cuts = _placed(panel, chars, k, bps, min_n, ["id", "me", "me_cap"])
+    long = w.long(w.meet(w.pack(cuts, cuts=F.col("cuts"))), "id", "me", "me_cap")
+    return long.select("excntry", _name("var", chars).alias("characteristic"), "eom", "id", _pf(F.col("img"), F.col("v.cuts"), k).alias("pf"), "me", "me_cap")
 
 
 def with_weights(placed: DataFrame) -> DataFrame:
@@ -116,13 +152,25 @@ def with_weights(placed: DataFrame) -> DataFrame:
 def daily_portfolios(panel: DataFrame, days: DataFrame, chars: list[str], k: int = 3, bps: str = "non_mc", min_n: int = 10) -> DataFrame:
     """Daily portfolio returns with weights fixed at the previous month end.
 
-    The weights of a stock-month are packed into one array (one entry per characteristic), so the
-    daily table is shuffled once rather than once per characteristic.
+    The weights of a stock-month are one array (an entry per characteristic), made on the wide row from the cut points
+    and the totals of its country and month; the daily table is shuffled once rather than once per characteristic.
     """
-    w = with_weights(assign(panel, chars, k, bps, min_n))
-    packed = w.groupBy("id", "eom", "excntry").agg(
-        F.collect_list(F.struct("characteristic", "pf", "w_ew", "w_vw", "w_vw_cap")).alias("pfs__")
-    )
+    w, _, cuts = _placed(panel, chars, k, bps, min_n, ["id", "me", "me_cap"])
+    long = w.long(w.meet(w.pack(cuts, cuts=F.col("cuts"))), "me", "me_cap")
+    totals = long.groupBy(*GROUP, "var", _pf(F.col("img"), F.col("v.cuts"), k).alias("pf")).agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("me").alias("m"), F.sum("me_cap").alias("c"))
+    totals = totals.groupBy(*GROUP, "var").agg(F.map_from_entries(F.collect_list(F.struct("pf", F.struct("n", "m", "c")))).alias("of"))  # k entries
+    placed = w.meet(w.pack(cuts.join(totals, [*GROUP, "var"]), cuts=F.col("cuts"), of=F.col("of")))
+
+    def weights(e, i):
+        pf = _pf(e["x"], e["by"]["cuts"], k)
+        of = F.try_element_at(e["by"]["of"], pf)
+        entry = F.struct(
+            _name(i, chars).alias("characteristic"), pf.alias("pf"), div(F.lit(1.0), of["n"]).alias("w_ew"), div(F.col("me"), of["m"]).alias("w_vw"),
+            div(F.col("me_cap"), of["c"]).alias("w_vw_cap"),
+        )
+        return F.when(e["x"].isNotNull() & e["by"].isNotNull(), entry)
+
+    packed = placed.select("id", "eom", "excntry", F.array_compact(F.transform(F.arrays_zip("x", "by"), weights)).alias("pfs__"))
     d = days.filter(F.col("ret_exc").isNotNull()).select("id", "date", F.date_sub(F.trunc("date", "MM"), 1).alias("eom"), "ret_exc")
     flat = packed.join(d, ["id", "eom"]).select("excntry", "date", "ret_exc", F.explode("pfs__").alias("p"))
     total = lambda c: F.sum(F.col(f"p.{c}") * F.col("ret_exc"))

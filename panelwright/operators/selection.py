@@ -18,24 +18,30 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import stage, stage_bucketed
 
-FIRST = 49  # sign, exponent and three bits of the fraction remain
+FIRST = 50  # sign, exponent and two bits of the fraction remain
 STEP = 14
 FITS = 1 << 17
-SALTS = 16
+#: Rows of a group that go to one bucket; larger groups are dealt over several.
+ROWS = 1 << 16
 ONE = float(1 << 52)
+LARGEST = 1.7976931348623157e308
 
 
 def image(v: Column) -> Column:
-    """A whole number in the order of doubles, equal for equal values only; NaN is above all, as Spark sorts it."""
-    x = F.abs(v.cast("double"))
+    """A whole number in the order of doubles, equal for equal values only; NaN is above all, as Spark sorts it.
+
+    Written without branches, so that each step is evaluated once: with x = m * 2**e and 1 <= m < 2 (less for the
+    smallest exponent) the number is (e + 1023) * 2**52 + (m - 1) * 2**52, which is exact.
+    """
+    v = v.cast("double")
+    x = F.least(F.abs(v), F.lit(LARGEST))
     power = lambda e: F.pow(F.lit(2.0), e)
-    guess = F.least(F.greatest(F.floor(F.log2(F.when(x > 0, x))), F.lit(-1022)), F.lit(1023)).cast("double")
-    # the logarithm may be off by one next to a power of two
-    e = F.when(x / power(guess) >= 2, guess + 1).when((x < power(guess)) & (guess > -1022), guess - 1).otherwise(guess)
-    m = x / power(e)  # exact: 1 <= m < 2, or less for the smallest exponent
-    bits = F.when(m >= 1, (e + 1023).cast("long") * F.lit(1 << 52) + ((m - 1) * ONE).cast("long")).otherwise((m * ONE).cast("long"))
-    size = F.when(F.isnan(v), F.lit(2047 * (1 << 52) + 1)).when(x == float("inf"), F.lit(2047 * (1 << 52))).when(x == 0, F.lit(0)).otherwise(bits)
-    return F.when(v < 0, -size).otherwise(size).cast("long")
+    guess = F.least(F.greatest(F.floor(F.log2(x)).cast("double"), F.lit(-1022.0)), F.lit(1023.0))
+    at = power(guess)  # the logarithm may be off by one next to a power of two
+    e = guess + (x / at >= 2).cast("double") - ((x < at) & (guess > -1022)).cast("double")
+    bits = (e + 1023).cast("long") * F.lit(1 << 52) + ((x / power(e) - 1) * ONE).cast("long")
+    beyond = (F.abs(v) > LARGEST).cast("long") + F.isnan(v).cast("long")
+    return (bits + beyond) * (F.lit(1) - (v < 0).cast("long") * 2)
 
 
 def value_of(i: Column) -> Column:
@@ -55,14 +61,14 @@ class Wide:
     rows: DataFrame
     keys: list[str]
     columns: list[str]
-    salted: bool
+    hot: DataFrame | None  # (keys, salts__) of groups dealt over several buckets
 
     def meet(self, packed: DataFrame) -> DataFrame:
         """Rows with the columns of ``packed`` (one row per group)."""
-        if not self.salted:
+        if self.hot is None:
             return self.rows.join(packed, self.keys)
-        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt__")
-        return self.rows.join(packed.select("*", salts), [*self.keys, "salt__"])
+        salts = packed.join(self.hot, self.keys, "left").withColumn("salt__", F.explode(F.sequence(F.lit(0), F.coalesce("salts__", F.lit(1)) - 1))).drop("salts__")
+        return self.rows.join(salts, [*self.keys, "salt__"])
 
     def pack(self, df: DataFrame, **columns: Column) -> DataFrame:
         """One row per group from rows per (group, ``var``): arrays in the order of the columns."""
@@ -77,19 +83,24 @@ class Wide:
 
 
 def wide(df: DataFrame, keys: list[str], columns: list[str], ref: Column | None = None, carry: list[str] | None = None, salt: str | None = None) -> Wide:
-    """Write the rows once, with images in place of the columns. With ``salt`` (a column) they are written in buckets
-    of (keys, salt), so that later joins on them move nothing and no group fills one bucket."""
+    """Write the rows once, with images in place of the columns. With ``salt`` (a column) they are written in buckets of
+    (keys, salt), so that later joins on them move nothing; a group of over ``ROWS`` rows is dealt over several."""
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     ref = F.lit(True) if ref is None else F.coalesce(ref, F.lit(False))
-    rows = df.where(known).select(*keys, *(carry or []), ref.alias("ref"), F.array(*[image(F.col(c)) for c in columns]).alias("x"), *([F.pmod(F.xxhash64(salt), F.lit(SALTS)).cast("int").alias("salt__")] if salt else []))
-    rows = stage_bucketed(rows, "wide", [*keys, "salt__"]) if salt else stage(rows, "wide")
-    return Wide(rows, keys, columns, bool(salt))
+    use, extra, hot = df.where(known), [], None
+    if salt:
+        counts = use.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / ROWS).cast("int").alias("salts__"))
+        hot = stage(counts.where("salts__ > 1"), "hot")
+        use = use.join(hot, keys, "left")
+        extra = [F.pmod(F.xxhash64(salt), F.coalesce("salts__", F.lit(1))).cast("int").alias("salt__")]
+    rows = use.select(*keys, *(carry or []), ref.alias("ref"), F.array(*[image(F.col(c)) for c in columns]).alias("x"), *extra)
+    return Wide(stage_bucketed(rows, "wide", [*keys, "salt__"]) if salt else stage(rows, "wide"), keys, columns, hot)
 
 
 def first_counts(w: Wide) -> DataFrame:
     """(keys, var, n, m, cells): values present and those of reference rows, by the highest bits."""
     found = w.rows.select(*w.keys, "ref", F.posexplode("x").alias("var", "img")).where("img is not null")
-    return stage(_cells(found, w.keys, FIRST), "cells")
+    return _cells(found, w.keys, FIRST)
 
 
 def _cells(found: DataFrame, keys: list[str], shift: int) -> DataFrame:
@@ -147,4 +158,4 @@ def order_statistics(df: DataFrame, keys: list[str], columns: list[str], positio
     """(keys, var, n, values): for each column (by number) the values at 1-based positions, which may depend on n."""
     w = wide(df, keys, columns)
     found = select(w, first_counts(w), F.array(*[position(p) for p in positions(F.col("n"))]), fits)
-    return found.select(*keys, "var", "n", F.transform("found", value_of).alias("values"))
+    return stage(found.select(*keys, "var", "n", F.transform("found", value_of).alias("values")), "statistics")

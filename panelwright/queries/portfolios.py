@@ -234,6 +234,33 @@ def _pfs_nyse(t):
     return po.char_portfolios(_pc(t), CHARS, k=5, bps="nyse", min_n=5)
 
 
+# 153 characteristics: every third one has ties, every fifth one gaps
+MANY = [f"g{i:03d}" for i in range(153)]
+
+
+def _many_sql():
+    def one(i):
+        base = ("prc", "tvol", "me", "prc_high / prc_low", "dolvol / me")[i % 5]
+        c = f"floor({base} * {i % 7 + 1} / 50)" if i % 3 == 0 else f"{base} * {i % 4 - 1.5} + id % {i + 2}"
+        return f"CASE WHEN (id + midx) % {i + 3} <> 0 THEN {c} END" if i % 5 == 0 else c
+
+    return [f"CAST({one(i)} AS DOUBLE) AS {c}" for i, c in enumerate(MANY)]
+
+
+MANY_SQL = "pm AS (SELECT excntry, eom, id, ret_exc_lead1m, me, me_cap, coalesce(size_grp IN ('mega', 'large', 'small'), FALSE) AS bp, " + ", ".join(_many_sql()) + " FROM p1)"
+PLACE_MANY = [
+    f"ln AS (UNPIVOT pm ON {', '.join(MANY)} INTO NAME characteristic VALUE var)",
+    "lb AS (SELECT * FROM (SELECT *, sum(CAST(bp AS INT)) OVER (PARTITION BY excntry, characteristic, eom) AS bn FROM ln) WHERE bn >= 10)",
+    *place_ctes()[2:],
+]
+
+
+@query("char_portfolios_153", with_(*pc_ctes(), MANY_SQL, *PLACE_MANY) + PFS, "signal:9 " + RDBL)
+def _pfs_153(t):
+    stocks = _pc(t)
+    return po.char_portfolios(stocks.selectExpr("*", *_many_sql()), MANY)
+
+
 @query("ecdf_portfolio", with_(*pc_ctes(), *place_ctes()) + "SELECT excntry, characteristic, eom, id, pf FROM pf")
 def _ecdf_pf(t):
     return po.assign(_pc(t), CHARS).select("excntry", "characteristic", "eom", "id", "pf")
