@@ -503,7 +503,7 @@ STD = """wd AS (SELECT *, CASE WHEN CAST(gvkey AS BIGINT) % 3 = 0 THEN 'FS' ELSE
   UNION ALL SELECT * REPLACE (gp + 7 AS gp), 'INDL' FROM acc WHERE CAST(gvkey AS BIGINT) % 6 = 0 AND CAST(gvkey AS BIGINT) % 4 <> 1),
 w1 AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY gvkey, datadate) AS k FROM wd WHERE datadate >= DATE '1996-01-01') WHERE k = 1 OR (k = 2 AND indfmt = 'INDL')),
 bo AS (SELECT gvkey, curcd, datadate, 'GLOBAL' AS source, gp, sale, ib + coalesce(xi, 0) + coalesce("do", 0) AS ni FROM w1
-  UNION ALL SELECT gvkey, curcd, datadate, 'NA', gp * 2, sale, ni FROM acc WHERE CAST(gvkey AS BIGINT) % 5 < 3 AND datadate >= DATE '1996-01-01'),
+  UNION ALL SELECT gvkey, curcd, datadate, 'NA', gp * 2, sale, ni FROM acc WHERE (CAST(gvkey AS BIGINT) % 5 < 3 OR CAST(gvkey AS BIGINT) % 4 = 1) AND datadate >= DATE '1996-01-01'),
 b1 AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY gvkey, datadate) AS k FROM bo) WHERE k = 1 OR (k = 2 AND source = 'GLOBAL'))"""
 
 
@@ -520,14 +520,14 @@ def _standard(t):
     std = lambda df, fmt, pop: df.withColumns({"datafmt": F.lit(fmt), "popsrc": F.lit(pop), "consol": F.lit("C")})
     world = acc.filter(k % 4 != 1).withColumn("indfmt", F.when(k % 3 == 0, "FS").otherwise("INDL"))
     world = world.unionByName(acc.filter((k % 6 == 0) & (k % 4 != 1)).withColumns({"gp": F.col("gp") + 7, "indfmt": F.lit("INDL")}))
-    home = acc.filter(k % 5 < 3).withColumns({"gp": F.col("gp") * 2, "indfmt": F.lit("INDL")})
+    home = acc.filter((k % 5 < 3) | (k % 4 == 1)).withColumns({"gp": F.col("gp") * 2, "indfmt": F.lit("INDL")})
     fx = expand.fx_daily(joins.cross_rate(adapters.fx_quotes(t)))
     out = ac.standardize(std(world, "HIST_STD", "I"), std(home, "STD", "D"), fx, _equity(t), ["gp", "sale", "ni"], "1996-01-01")
     return out.select("gvkey", "datadate", "curcd", "source", "gp", "sale", "ni", "me_fiscal")
 
 
 STDQ = """q0 AS (SELECT gvkey, curcdq, datadate, fyr, fyearq, fqtr, saley, iby, CASE WHEN CAST(gvkey AS BIGINT) % 2 = 0 THEN iby * 2 END AS oancfy, CASE WHEN fqtr <> 2 THEN saley / fqtr END AS saleq, saley * 3 AS atq, 1.5::DOUBLE AS dpq FROM qy WHERE datadate >= DATE '1993-01-01'),
-qb AS (SELECT *, 'GLOBAL' AS source FROM q0 WHERE CAST(gvkey AS BIGINT) % 4 <> 1 UNION ALL SELECT * REPLACE (saley * 2 AS saley, atq * 2 AS atq), 'NA' FROM q0 WHERE CAST(gvkey AS BIGINT) % 5 < 3),
+qb AS (SELECT *, 'GLOBAL' AS source FROM q0 WHERE CAST(gvkey AS BIGINT) % 4 <> 1 UNION ALL SELECT * REPLACE (saley * 2 AS saley, atq * 2 AS atq), 'NA' FROM q0 WHERE CAST(gvkey AS BIGINT) % 5 < 3 OR CAST(gvkey AS BIGINT) % 4 = 1),
 qm AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY gvkey, fyr, fyearq, fqtr) AS k FROM qb) WHERE k = 1 OR (k = 2 AND source = 'GLOBAL')),
 qx AS (SELECT qm.* REPLACE (saley * fx AS saley, iby * fx AS iby, oancfy * fx AS oancfy, saleq * fx AS saleq, atq * fx AS atq, dpq * fx AS dpq, 'USD' AS curcdq) FROM qm LEFT JOIN fxd ON qm.datadate = fxd.datadate AND qm.curcdq = fxd.curcdd),
 qn AS (SELECT *, row_number() OVER (PARTITION BY gvkey, fyr, fyearq ORDER BY fqtr) AS n FROM qx),
@@ -557,7 +557,7 @@ def _standard_q(t):
         }
     )
     world = q.filter(k % 4 != 1).withColumns({"datafmt": F.lit("HIST_STD"), "popsrc": F.lit("I")})
-    home = q.filter(k % 5 < 3).withColumns({"saley": F.col("saley") * 2, "atq": F.col("atq") * 2, "datafmt": F.lit("STD"), "popsrc": F.lit("D")})
+    home = q.filter((k % 5 < 3) | (k % 4 == 1)).withColumns({"saley": F.col("saley") * 2, "atq": F.col("atq") * 2, "datafmt": F.lit("STD"), "popsrc": F.lit("D")})
     fx = expand.fx_daily(joins.cross_rate(adapters.fx_quotes(t)))
     out = ac.standardize_quarterly(world, home, fx, _equity(t), ["sale", "ib", "oancf"], ["atq"], "1993-01-01")
     return out.select("gvkey", "datadate", "curcd", "source", "at", "ni_qtr", "sale_qtr", "ocf_qtr", "sale", "ib", "oancf", "me_fiscal")

@@ -39,12 +39,11 @@ def _sas_sum(t):
 
 @query(
     "breakpoints_30_70",
-    with_(sm("part"), "e AS (SELECT *, row_number() OVER (PARTITION BY excntry, eom ORDER BY prc) AS rn, count(*) OVER (PARTITION BY excntry, eom) AS k FROM sm WHERE id % 4 <> 1 AND prc IS NOT NULL)")
+    with_(sm("part"), "e AS (SELECT *, row_number() OVER (PARTITION BY excntry, eom ORDER BY prc) AS rn, count(*) OVER (PARTITION BY excntry, eom) AS k FROM sm WHERE prc IS NOT NULL)")
     + f"SELECT excntry, eom, count(*) AS n, {qdisc('prc', 0.3, 'rn', 'k')} AS bp_p30, {qdisc('prc', 0.7, 'rn', 'k')} AS bp_p70 FROM e GROUP BY 1, 2",
 )
 def _bp(t):
-    df = adapters.security_month(t, "part").filter("id % 4 <> 1")
-    return crosssection.quantile_disc(df, ["excntry", "eom"], "prc", {"bp_p30": 0.3, "bp_p70": 0.7}, count="n")
+    return crosssection.quantile_disc(adapters.security_month(t, "part"), ["excntry", "eom"], "prc", {"bp_p30": 0.3, "bp_p70": 0.7}, count="n")
 
 
 SPECIAL = ", ".join(map(str, security.SPECIAL_EXCHANGES))

@@ -282,13 +282,16 @@ def _wl(t):
     return po.winsorize_lead(df, market.return_cutoffs(df)).select("id", "eom", "ret_exc_lead1m")
 
 
-DAYS_HIGH = "hi AS (SELECT * REPLACE (CASE WHEN id % 2 = 0 THEN id + 100000 ELSE id END AS id), year(date) AS year, month(date) AS month FROM sd)"
+DAYS_HIGH = "hi AS MATERIALIZED (SELECT * REPLACE (CASE WHEN id % 2 = 0 THEN id + 100000 ELSE id END AS id), year(date) AS year, month(date) AS month FROM sd)"
 
 
 @query(
     "winsorize_daily_return",
-    with_(sd(), DAYS_HIGH, f"dcut AS ({cutoffs_sql('hi', 'year, month', CUT_WHERE)})")
-    + "SELECT id, date, CASE WHEN id > 99999 AND ret_exc > ret_exc_99_9 THEN ret_exc_99_9 WHEN id > 99999 AND ret_exc < ret_exc_0_1 THEN ret_exc_0_1 ELSE ret_exc END AS ret_exc FROM hi LEFT JOIN dcut USING (year, month)",
+    with_(
+        sd(), DAYS_HIGH, f"rk AS (SELECT year, month, ret_exc, row_number() OVER (PARTITION BY year, month ORDER BY ret_exc) AS rn, count(*) OVER (PARTITION BY year, month) AS k FROM hi WHERE {CUT_WHERE})",
+        f"dcut AS (SELECT year, month, {qdisc('ret_exc', 0.001, 'rn', 'k')} AS lo, {qdisc('ret_exc', 0.999, 'rn', 'k')} AS up FROM rk GROUP BY 1, 2)",
+    )
+    + "SELECT id, date, CASE WHEN id > 99999 AND ret_exc > up THEN up WHEN id > 99999 AND ret_exc < lo THEN lo ELSE ret_exc END AS ret_exc FROM hi LEFT JOIN dcut USING (year, month)",
     "ret_exc",
 )
 def _wd(t):
