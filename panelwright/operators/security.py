@@ -333,12 +333,15 @@ def world_panel_daily(crsp: DataFrame, comp: DataFrame, months: DataFrame) -> Da
     return rows.union_relaxed(crsp, comp).join(flag, ["id", "eom"], "left")
 
 
+def next_return(panel: DataFrame) -> DataFrame:
+    """Adds the excess return of the next month, NULL if that month is missing."""
+    w = Window.partitionBy("id").orderBy("eom")
+    return panel.withColumn("ret_exc_lead1m", F.when(F.lead("ret_lag_dif").over(w) == 1, F.lead("ret_exc").over(w)))
+
+
 def world_panel(crsp: DataFrame, comp: DataFrame) -> DataFrame:
     """Union of two harmonised security files with the next month's return and the main-row flag."""
-    both = rows.union_relaxed(crsp, comp)
-    w = Window.partitionBy("id").orderBy("eom")
-    lead = F.when(F.lead("ret_lag_dif").over(w) == 1, F.lead("ret_exc").over(w))
-    return obs_main_flag(both.withColumn("ret_exc_lead1m", lead))
+    return obs_main_flag(next_return(rows.union_relaxed(crsp, comp)))
 
 
 def crsp_security(df: DataFrame, delist: DataFrame, rates: DataFrame, freq: str = "m") -> DataFrame:

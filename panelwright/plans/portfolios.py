@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import portfolios as po
 from ..sources import sinks
+from ..sources.build import publish
 from ..sources.scratch import stage
 
 
@@ -59,10 +60,15 @@ def portfolio_returns(
     return out
 
 
-def write_outputs(outputs: dict[str, DataFrame], root: str, end) -> None:
-    """Each output cut at ``end`` and written once, one directory per country or region; rows without one go to
-    the directory "none"."""
-    for name, df in outputs.items():
+def write_outputs(outputs: dict[str, DataFrame], root: str, end) -> str:
+    """Each output cut at ``end``, one directory per country or region; rows without one go to the directory "none". All
+    appear together as a new version (see ``sources.build.published``); the folder of that version is returned."""
+
+    def writer(df: DataFrame):
         date = "eom" if "eom" in df.columns else "date"
         by = "region" if "region" in df.columns else "excntry"
-        sinks.write_partitioned(sinks.date_capped(df.withColumn(by, F.coalesce(by, F.lit("none"))), date, end), f"{root}/{name}", by)
+        capped = sinks.date_capped(df.withColumn(by, F.coalesce(by, F.lit("none"))), date, end)
+        return lambda path: sinks.write_partitioned(capped, path, by)
+
+    spark = next(iter(outputs.values())).sparkSession
+    return publish(spark, root, {name: writer(df) for name, df in outputs.items()})

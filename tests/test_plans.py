@@ -7,6 +7,7 @@ from panelwright.operators import expand, joins, market
 from panelwright.plans import characteristics as ch
 from panelwright.plans import portfolios as pf
 from panelwright.sources import adapters
+from panelwright.sources.build import published
 from panelwright.sources.tables import Tables
 
 
@@ -29,7 +30,7 @@ def test_portfolio_build(spark, tmp_path):
     counts = {k: out[k].count() for k in ("pfs", "pfs_daily", "hml", "lms", "clusters", "regional", "cmp")}
     assert all(counts.values()), counts
     pf.write_outputs({"hml": out["hml"]}, str(tmp_path), F.lit("1999-12-31").cast("date"))
-    back = spark.read.parquet(f"{tmp_path}/hml")
+    back = published(spark, str(tmp_path), "hml")
     assert back.count() == out["hml"].filter("eom <= DATE'1999-12-31'").count()
 
 
