@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
-from itertools import combinations_with_replacement
+from itertools import combinations, combinations_with_replacement
 from math import factorial
 
 from pyspark.sql import Column, DataFrame
@@ -29,10 +29,15 @@ def _total(terms: list[Column]) -> Column:
 
 
 def solve_symmetric(
-    df: DataFrame, p: int, a: Callable[[int, int], Column], b: Callable[[int], Column], tag: str
+    df: DataFrame, p: int, a: Callable[[int, int], Column], b: Callable[[int], Column], tag: str, drop: bool = False
 ) -> DataFrame:
-    """Add ``<tag>beta0..`` solving A x = b row by row through an LDL' factorization."""
+    """Add ``<tag>beta0..`` solving A x = b row by row through an LDL' factorization.
+
+    A row of A that depends on earlier ones has a pivot below ``TOL`` of its diagonal. It voids the solution, or, with
+    ``drop``, moves behind the others: its own coefficient is NULL and counts as 0, the rest solve what is left.
+    """
     col = lambda kind, *ix: F.col(f"{tag}{kind}{'_'.join(map(str, ix))}")
+    zero = lambda c: F.when(c.isNull(), F.lit(0.0)).otherwise(c) if drop else c
     used: list[str] = []
 
     def put(frame: DataFrame, exprs: dict[str, Column]) -> DataFrame:
@@ -43,29 +48,29 @@ def solve_symmetric(
         pivot = a(j, j)
         rhs = b(j)
         for k in range(j):
-            pivot = pivot - col("l", j, k) * col("l", j, k) * col("d", k)
-            rhs = rhs - col("l", j, k) * col("z", k)
+            pivot = pivot - zero(col("l", j, k) * col("l", j, k) * col("d", k))
+            rhs = rhs - zero(col("l", j, k) * col("z", k))
         df = put(df, {f"{tag}d{j}": F.when(pivot > TOL * a(j, j), pivot), f"{tag}z{j}": rhs})
         lower = {}
         for i in range(j + 1, p):
             v = a(i, j)
             for k in range(j):
-                v = v - col("l", i, k) * col("l", j, k) * col("d", k)
-            lower[f"{tag}l{i}_{j}"] = div(v, col("d", j))
+                v = v - zero(col("l", i, k) * col("l", j, k) * col("d", k))
+            lower[f"{tag}l{i}_{j}"] = div(v, col("d", j))  # NULL below a dropped pivot
         if lower:
             df = put(df, lower)
     for j in reversed(range(p)):
         v = div(col("z", j), col("d", j))
         for i in range(j + 1, p):
-            v = v - col("l", i, j) * col("beta", i)
+            v = v - zero(col("l", i, j) * col("beta", i))
         df = df.withColumn(f"{tag}beta{j}", v)
-    # one missing pivot voids the whole solution
-    whole = reduce(lambda x, y: x & y, [col("d", j).isNotNull() for j in range(p)])
-    df = df.withColumns({f"{tag}beta{j}": F.when(whole, col("beta", j)) for j in range(p)})
+    if not drop:  # one missing pivot voids the whole solution
+        whole = reduce(lambda x, y: x & y, [col("d", j).isNotNull() for j in range(p)])
+        df = df.withColumns({f"{tag}beta{j}": F.when(whole, col("beta", j)) for j in range(p)})
     return df.drop(*used)
 
 
-def fit(df: DataFrame, y: str, xs: list[str], n: str, tag: str, third: bool) -> DataFrame:
+def fit(df: DataFrame, y: str, xs: list[str], n: str, tag: str, third: bool, drop: bool = False) -> DataFrame:
     """From columns holding raw moment sums: slopes ``<tag>beta<i>``, residual sum of squares
     ``<tag>ss``, its rounding floor ``<tag>floor`` and, if ``third``, the residual third sum."""
     names = [y, *xs]
@@ -75,8 +80,8 @@ def fit(df: DataFrame, y: str, xs: list[str], n: str, tag: str, third: bool) ->
     df = df.withColumns({key(*q): mom.c2(*[f"{tag}{v}" for v in q]) for q in pairs})
     order = {v: i for i, v in enumerate(names)}
     c2 = lambda u, v: F.col(key(*sorted((u, v), key=order.__getitem__)))
-    df = solve_symmetric(df, len(xs), lambda i, j: c2(xs[i], xs[j]), lambda i: c2(y, xs[i]), tag)
-    beta = {x: F.col(f"{tag}beta{i}") for i, x in enumerate(xs)}
+    df = solve_symmetric(df, len(xs), lambda i, j: c2(xs[i], xs[j]), lambda i: c2(y, xs[i]), tag, drop)
+    beta = {x: F.coalesce(F.col(f"{tag}beta{i}"), F.lit(0.0)) if drop else F.col(f"{tag}beta{i}") for i, x in enumerate(xs)}
     ss = c2(y, y) - _total([beta[x] * c2(y, x) for x in xs])
     df = df.withColumns({f"{tag}ss": ss, f"{tag}floor": c2(y, y) * 1e-12})
     if third:
@@ -99,17 +104,63 @@ def moment_sums(names: list[str], order: int, use: Column, tag: str) -> dict[str
     return out
 
 
-def grouped_ols(df: DataFrame, keys: list[str], y: str, xs: list[str], ddof: int | None = None) -> DataFrame:
-    """One regression with intercept per group: n, intercept, slopes ``b_<x>``, residual sd and skew."""
+def _third(v: Column, n: Column) -> Column:
+    """Sum of the third powers of deviations from the mean, as an aggregate that merges centred states."""
+    return F.coalesce(F.nanvl(F.skewness(v), F.lit(0.0)), F.lit(0.0)) * F.pow(F.var_pop(v) * n, F.lit(1.5)) / F.sqrt(n)
+
+
+def centred_sums(names: list[str], use: Column, tag: str, third: bool = True) -> tuple[dict[str, Column], list[tuple[str, Column]]]:
+    """Aggregates that hold a group's means, central second sums and what third sums need, and the columns made of
+    them after the aggregation, under the names that :class:`Moments` reads for data whose means are 0.
+
+    Central moments merge without cancellation, whatever the level of the series. Mixed third sums follow from
+    those of sums and differences of two or three columns.
+    """
+    v = {x: F.when(use, F.col(x)) for x in names}
+    n = F.count_if(use).cast("double")
+    aggs = {f"{tag}mean_{x}": F.avg(v[x]) for x in names}
+    after: list[tuple[str, Column]] = [(moment_name((f"{tag}{x}",)), F.lit(0.0)) for x in names]
+    for x, y in combinations_with_replacement(names, 2):
+        aggs[moment_name((f"{tag}{x}", f"{tag}{y}"))] = (F.var_pop(v[x]) if x == y else F.covar_pop(v[x], v[y])) * n
+    if third:
+        key = lambda *t: f"{tag}k3_" + "__".join(t)
+        for x in names:
+            aggs[key(x)] = _third(v[x], n)
+        for x, y in combinations(names, 2):
+            aggs[key(x, y, "sum")] = _third(v[x] + v[y], n)
+            aggs[key(x, y, "gap")] = _third(v[x] - v[y], n)
+        for t in combinations(names, 3):
+            aggs[key(*t, "sum")] = _third(v[t[0]] + v[t[1]] + v[t[2]], n)
+        name = lambda *t: moment_name(tuple(f"{tag}{x}" for x in sorted(t, key=names.index)))
+        once = {x: F.col(key(x)) for x in names}
+        twice = {}
+        for x, y in combinations(names, 2):
+            both, gap = F.col(key(x, y, "sum")), F.col(key(x, y, "gap"))
+            twice[x, y] = (both - gap - 2 * once[y]) / 6  # x, x, y
+            twice[y, x] = (both + gap - 2 * once[x]) / 6
+        after += [(name(x, x, x), once[x]) for x in names] + [(name(x, x, y), c) for (x, y), c in twice.items()]
+        for t in combinations(names, 3):
+            rest = reduce(lambda a, b: a + b, [once[x] for x in t]) + 3 * reduce(lambda a, b: a + b, [c for q, c in twice.items() if set(q) <= set(t)])
+            after.append((name(*t), (F.col(key(*t, "sum")) - rest) / 6))
+    return aggs, after
+
+
+def grouped_ols(df: DataFrame, keys: list[str], y: str, xs: list[str], ddof: int | None = None, drop: bool = False) -> DataFrame:
+    """One regression with intercept per group: n, intercept, slopes ``b_<x>``, residual sd and skew.
+
+    With ``drop``, a regressor that depends on those before it (a constant one depends on the intercept) has no slope
+    and is named in the array ``dropped``; the others are fitted without it. Else such a group has no coefficients.
+    """
     use = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (y, *xs)])
     tag = "r_"
-    sums = moment_sums([y, *xs], 3, use, tag)
-    g = df.groupBy(*keys).agg(F.count_if(use).alias("n"), *[c.alias(k) for k, c in sums.items()])
-    g = fit(g, y, xs, "n", tag, third=True)
-    mom = Moments([f"{tag}{v}" for v in (y, *xs)], "n")
+    aggs, after = centred_sums([y, *xs], use, tag)
+    g = df.groupBy(*keys).agg(F.count_if(use).alias("n"), *[c.alias(k) for k, c in aggs.items()]).withColumns(dict(after))
+    g = fit(g, y, xs, "n", tag, third=True, drop=drop)
     beta = [F.col(f"{tag}beta{i}") for i in range(len(xs))]
-    intercept = mom.mean(f"{tag}{y}") - _total([b * mom.mean(f"{tag}{x}") for b, x in zip(beta, xs)])
-    d = len(xs) + 1 if ddof is None else ddof
+    load = [F.coalesce(b, F.lit(0.0)) if drop else b for b in beta]
+    intercept = F.col(f"{tag}mean_{y}") - _total([b * F.col(f"{tag}mean_{x}") for b, x in zip(load, xs)])
+    lost = F.array_compact(F.array(*[F.when(b.isNull(), F.lit(x)) for b, x in zip(beta, xs)]))
+    d = F.lit(len(xs) + 1) - (F.size(lost) if drop else 0) if ddof is None else F.lit(ddof)
     ss, floor = F.col(f"{tag}ss"), F.col(f"{tag}floor")
     return g.select(
         *keys,
@@ -118,4 +169,5 @@ def grouped_ols(df: DataFrame, keys: list[str], y: str, xs: list[str], ddof: int
         *[b.alias(f"b_{x}") for b, x in zip(beta, xs)],
         sd_from_ss(ss, F.col("n").cast("double"), d, floor).alias("resid_sd"),
         skew_from_sums(ss, F.col(f"{tag}third"), F.col("n").cast("double"), floor).alias("resid_skew"),
+        *([lost.alias("dropped")] if drop else []),
     )

@@ -1,10 +1,10 @@
-"""Joins in time: as-of joins with a group that holds a third of all rows, and intervals of many years."""
+"""Joins in time (as-of joins with a group that holds a third of all rows, intervals of many years); regressions by group."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import asof, joins
+from ..operators import asof, joins, ols
 from .base_sql import with_
 from .registry import query
 
@@ -70,3 +70,25 @@ def _decades(t):
     shift = ((F.col("o_orderkey") % 5 - 2) * 7000).cast("int")
     points = t.orders.select("o_orderkey", F.col("o_custkey").alias("k"), F.date_add(F.to_date("o_orderdate"), shift).alias("day"))
     return joins.interval_join(points, hist, "k", "day", "a", "b", how="inner").drop("a", "b")
+
+
+OLS_ROWS = "ol AS (SELECT l_suppkey AS k, l_extendedprice AS y, l_quantity AS a, CASE WHEN l_suppkey % 2 = 1 THEN 2 * l_quantity ELSE 100 * l_discount END AS b FROM lineitem)"
+
+
+@query(
+    "grouped_ols_dependent",
+    with_(
+        OLS_ROWS,
+        "m AS (SELECT k, count(*) AS n, avg(y) AS my, avg(a) AS ma, avg(b) AS mb, var_pop(a) AS aa, var_pop(b) AS bb, var_pop(y) AS yy, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS yb FROM ol GROUP BY k)",
+        "s AS (SELECT *, CASE WHEN k % 2 = 1 THEN ay / aa ELSE (ay * bb - yb * ab) / (aa * bb - ab * ab) END AS b_a, CASE WHEN k % 2 = 0 THEN (yb * aa - ay * ab) / (aa * bb - ab * ab) END AS b_b FROM m)",
+    )
+    + """SELECT k, n, my - b_a * ma - coalesce(b_b, 0) * mb AS intercept, b_a, b_b, sqrt(n * (yy - b_a * ay - coalesce(b_b, 0) * yb) / (n - CASE WHEN k % 2 = 1 THEN 2 ELSE 3 END)) AS resid_sd,
+CASE WHEN k % 2 = 1 THEN 'b' ELSE '' END AS dropped FROM s""",
+    "intercept:4 b_a:5 b_b:5 resid_sd:4",
+)
+def _dependent(t):
+    odd = F.col("l_suppkey") % 2 == 1
+    df = t.lineitem.select(
+        F.col("l_suppkey").alias("k"), F.col("l_extendedprice").alias("y"), F.col("l_quantity").alias("a"), F.when(odd, 2 * F.col("l_quantity")).otherwise(100 * F.col("l_discount")).alias("b")
+    )
+    return ols.grouped_ols(df, ["k"], "y", ["a", "b"], drop=True).drop("resid_skew").withColumn("dropped", F.array_join("dropped", ","))
