@@ -15,7 +15,7 @@ from functools import reduce
 from itertools import combinations, combinations_with_replacement
 from math import factorial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.nulls import div
@@ -104,61 +104,73 @@ def moment_sums(names: list[str], order: int, use: Column, tag: str) -> dict[str
     return out
 
 
-def _third(v: Column, n: Column) -> Column:
-    """Sum of the third powers of deviations from the mean, as an aggregate that merges centred states."""
-    return F.coalesce(F.nanvl(F.skewness(v), F.lit(0.0)), F.lit(0.0)) * F.pow(F.var_pop(v) * n, F.lit(1.5)) / F.sqrt(n)
+def centred_sums(names: list[str], use: Column, tag: str, n: str, order: int = 3) -> tuple[dict[str, Column], dict[str, Column]]:
+    """Aggregates that hold a group's means ``<tag>mean_<x>``, central second sums and raw third sums, and the columns
+    made of them after the aggregation (``n`` is the column of counts there): central sums under the names that
+    :class:`Moments` reads for data whose means are 0.
 
-
-def centred_sums(names: list[str], use: Column, tag: str, third: bool = True) -> tuple[dict[str, Column], list[tuple[str, Column]]]:
-    """Aggregates that hold a group's means, central second sums and what third sums need, and the columns made of
-    them after the aggregation, under the names that :class:`Moments` reads for data whose means are 0.
-
-    Central moments merge without cancellation, whatever the level of the series. Mixed third sums follow from
-    those of sums and differences of two or three columns.
+    Second moments merge as centred states and lose no digits to the level of the series. Third sums do, if the
+    level is large against the deviations; :func:`grouped_ols` takes the level off first.
     """
     v = {x: F.when(use, F.col(x)) for x in names}
-    n = F.count_if(use).cast("double")
+    name = lambda *t: moment_name(tuple(f"{tag}{x}" for x in sorted(t, key=names.index)))
+    key = lambda *t: f"{tag}k_" + "__".join(t)
+    count = F.col(n).cast("double")
+    mean = {x: F.col(f"{tag}mean_{x}") for x in names}
     aggs = {f"{tag}mean_{x}": F.avg(v[x]) for x in names}
-    after: list[tuple[str, Column]] = [(moment_name((f"{tag}{x}",)), F.lit(0.0)) for x in names]
+    after = {name(x): F.lit(0.0) for x in names}
+    c2 = {}
     for x, y in combinations_with_replacement(names, 2):
-        aggs[moment_name((f"{tag}{x}", f"{tag}{y}"))] = (F.var_pop(v[x]) if x == y else F.covar_pop(v[x], v[y])) * n
-    if third:
-        key = lambda *t: f"{tag}k3_" + "__".join(t)
-        for x in names:
-            aggs[key(x)] = _third(v[x], n)
-        for x, y in combinations(names, 2):
-            aggs[key(x, y, "sum")] = _third(v[x] + v[y], n)
-            aggs[key(x, y, "gap")] = _third(v[x] - v[y], n)
-        for t in combinations(names, 3):
-            aggs[key(*t, "sum")] = _third(v[t[0]] + v[t[1]] + v[t[2]], n)
-        name = lambda *t: moment_name(tuple(f"{tag}{x}" for x in sorted(t, key=names.index)))
-        once = {x: F.col(key(x)) for x in names}
-        twice = {}
-        for x, y in combinations(names, 2):
-            both, gap = F.col(key(x, y, "sum")), F.col(key(x, y, "gap"))
-            twice[x, y] = (both - gap - 2 * once[y]) / 6  # x, x, y
-            twice[y, x] = (both + gap - 2 * once[x]) / 6
-        after += [(name(x, x, x), once[x]) for x in names] + [(name(x, x, y), c) for (x, y), c in twice.items()]
-        for t in combinations(names, 3):
-            rest = reduce(lambda a, b: a + b, [once[x] for x in t]) + 3 * reduce(lambda a, b: a + b, [c for q, c in twice.items() if set(q) <= set(t)])
-            after.append((name(*t), (F.col(key(*t, "sum")) - rest) / 6))
+        aggs[key(x, y)] = F.var_pop(v[x]) if x == y else F.covar_pop(v[x], v[y])
+        after[name(x, y)] = F.col(key(x, y)) * count
+        c2[x, y] = c2[y, x] = after[name(x, y)]
+    if order >= 3:
+        for x, y, z in combinations_with_replacement(names, 3):
+            aggs[key(x, y, z)] = F.sum(v[x] * v[y] * v[z])
+            after[name(x, y, z)] = F.col(key(x, y, z)) - mean[x] * c2[y, z] - mean[y] * c2[x, z] - mean[z] * c2[x, y] - count * mean[x] * mean[y] * mean[z]
     return aggs, after
 
 
+def about_anchor(df: DataFrame, names: list[str], tag: str, n: str, by: str, order: int) -> DataFrame:
+    """Turn states of :func:`centred_sums` (one row per part of a series) into sums of powers about one level for each
+    ``by``, the mean of its whole series: such sums add up over parts and lose no digits to the level."""
+    w = Window.partitionBy(by)
+    name = lambda *t: moment_name(tuple(f"{tag}{x}" for x in sorted(t, key=names.index)))
+    count = F.col(n).cast("double")
+    mean = {x: F.col(f"{tag}mean_{x}") for x in names}
+    level = lambda x: F.sum(mean[x] * count).over(w) / F.nullif(F.sum(F.when(mean[x].isNotNull(), count)).over(w), F.lit(0.0))
+    df = df.withColumns({f"{tag}off_{x}": mean[x] - level(x) for x in names})
+    d = {x: F.col(f"{tag}off_{x}") for x in names}
+    out = {name(x): count * d[x] for x in names}
+    for x, y in combinations_with_replacement(names, 2):
+        out[name(x, y)] = F.col(name(x, y)) + count * d[x] * d[y]
+    if order >= 3:
+        for x, y, z in combinations_with_replacement(names, 3):
+            out[name(x, y, z)] = F.col(name(x, y, z)) + d[x] * F.col(name(y, z)) + d[y] * F.col(name(x, z)) + d[z] * F.col(name(x, y)) + count * d[x] * d[y] * d[z]
+    return df.withColumns(out).drop(*[f"{tag}{k}_{x}" for k in ("off", "mean") for x in names])
+
+
 def grouped_ols(df: DataFrame, keys: list[str], y: str, xs: list[str], ddof: int | None = None, drop: bool = False) -> DataFrame:
     """One regression with intercept per group: n, intercept, slopes ``b_<x>``, residual sd and skew.
 
+    The means of a group are taken off first, so that no digits are lost to the level of its series.
     With ``drop``, a regressor that depends on those before it (a constant one depends on the intercept) has no slope
     and is named in the array ``dropped``; the others are fitted without it. Else such a group has no coefficients.
     """
     use = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (y, *xs)])
     tag = "r_"
-    aggs, after = centred_sums([y, *xs], use, tag)
-    g = df.groupBy(*keys).agg(F.count_if(use).alias("n"), *[c.alias(k) for k, c in aggs.items()]).withColumns(dict(after))
+    level = df.filter(use).groupBy(*[F.col(k).alias(f"{k}__g") for k in keys]).agg(*[F.avg(c).alias(f"level_{c}") for c in (y, *xs)])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{k}__g")) for k in keys])
+    off = [(F.col(c) - F.coalesce(f"level_{c}", F.lit(0.0))).alias(c) for c in (y, *xs)]
+    df = df.select(*keys, y, *xs).join(level, same, "left").select(*keys, *off, *level.columns[len(keys):])
+    aggs, after = centred_sums([y, *xs], use, tag, "n")
+    aggs |= {f"level_{c}": F.any_value(f"level_{c}") for c in (y, *xs)}
+    g = df.groupBy(*keys).agg(F.count_if(use).alias("n"), *[c.alias(k) for k, c in aggs.items()]).withColumns(after)
     g = fit(g, y, xs, "n", tag, third=True, drop=drop)
     beta = [F.col(f"{tag}beta{i}") for i in range(len(xs))]
     load = [F.coalesce(b, F.lit(0.0)) if drop else b for b in beta]
-    intercept = F.col(f"{tag}mean_{y}") - _total([b * F.col(f"{tag}mean_{x}") for b, x in zip(load, xs)])
+    centre = lambda c: F.col(f"{tag}mean_{c}") + F.col(f"level_{c}")
+    intercept = centre(y) - _total([b * centre(x) for b, x in zip(load, xs)])
     lost = F.array_compact(F.array(*[F.when(b.isNull(), F.lit(x)) for b, x in zip(beta, xs)]))
     d = F.lit(len(xs) + 1) - (F.size(lost) if drop else 0) if ddof is None else F.lit(ddof)
     ss, floor = F.col(f"{tag}ss"), F.col(f"{tag}floor")

@@ -11,14 +11,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import index_to_month_end, month_index
 from ..functions.nulls import div, safe_div
-from ..functions.stats import Moments, list_mean, moment_name, sd_from_ss, skew_from_sums
+from ..functions.stats import Moments, list_mean, moment_name, monomials, sd_from_ss, skew_from_sums
 from .crosssection import average_rank, rank_table
-from .ols import fit, moment_sums
+from .ols import about_anchor, centred_sums, fit, moment_sums
 
 # Window suffix -> months.
 WINDOWS = {"_21d": 1, "_126d": 6, "_252d": 12, "_1260d": 60}
@@ -64,10 +64,32 @@ class Metric:
     lasts: dict[str, Column] = field(default_factory=dict)
     tops: dict[str, Column] = field(default_factory=dict)
     gated: bool = True
+    central: Central | None = None
 
     def partials(self) -> dict[str, Column]:
         return self.sums | self.maxs | self.lasts | self.tops
 
+    def added(self) -> list[str]:
+        """Columns that add up over months."""
+        return [*self.sums, *(self.central.names() if self.central else [])]
+
+
+@dataclass
+class Central:
+    """Central moments of ``columns`` up to ``order`` over the rows of ``use``, counted in the column ``n``."""
+
+    columns: list[str]
+    order: int
+    use: Column
+    tag: str
+    n: str
+
+    def names(self) -> list[str]:
+        return [moment_name(t) for t in monomials([f"{self.tag}{c}" for c in self.columns], self.order)]
+
+    def state(self) -> tuple[dict[str, Column], dict[str, Column]]:
+        return centred_sums(self.columns, self.use, self.tag, self.n, self.order)
+
 
 def _have(*cols: str) -> Column:
     cond = F.lit(True)
@@ -103,7 +125,7 @@ def rvol() -> Metric:
     def finish(df, sfx, least):
         return _done(df, "rvol", F.col("rv_n") >= least, {f"rvol{sfx}": _sd(tag, "ret_exc", "rv_n")})
     use = _have("ret_exc")
-    return Metric("rvol", finish, ["rvol"], {"rv_n": _n(use)} | moment_sums(RET, 2, use, tag))
+    return Metric("rvol", finish, ["rvol"], {"rv_n": _n(use)}, central=Central(RET, 2, use, tag, "rv_n"))
 
 
 def mktvol() -> Metric:
@@ -111,7 +133,7 @@ def mktvol() -> Metric:
     use = _have("ret_exc")
     def finish(df, sfx, least):
         return _done(df, "mktvol", F.col("mv_n") >= least, {f"__mktvol{sfx}": _sd(tag, "mktrf", "mv_n")})
-    return Metric("mktvol", finish, ["__mktvol"], {"mv_n": _n(use)} | moment_sums(["mktrf"], 2, use, tag))
+    return Metric("mktvol", finish, ["__mktvol"], {"mv_n": _n(use)}, central=Central(["mktrf"], 2, use, tag, "mv_n"))
 
 
 def rmax() -> Metric:
@@ -134,7 +156,7 @@ def skew() -> Metric:
         ss = m.c2(v, v)
         out = skew_from_sums(ss, m.c3(v, v, v), m.n, F.col(moment_name((v, v))) * 1e-13)
         return _done(df, "skew", F.col("sk_n") >= least, {f"rskew{sfx}": out})
-    return Metric("skew", finish, ["rskew"], {"sk_n": _n(use)} | moment_sums(RET, 3, use, tag))
+    return Metric("skew", finish, ["rskew"], {"sk_n": _n(use)}, central=Central(RET, 3, use, tag, "sk_n"))
 
 
 def prc_to_high() -> Metric:
@@ -167,7 +189,7 @@ def capm() -> Metric:
         ss = m.c2(y, y) - F.col("cp_b") * m.c2(y, x)
         out = {f"beta{sfx}": F.col("cp_b"), f"ivol_capm{sfx}": sd_from_ss(ss, m.n, 1, m.c2(y, y) * 1e-12)}
         return _done(df, "capm", F.col("cp_n") >= least, out)
-    return Metric("capm", finish, ["beta", "ivol_capm"], {"cp_n": _n(use)} | moment_sums(["ret_exc", "mktrf"], 2, use, tag))
+    return Metric("capm", finish, ["beta", "ivol_capm"], {"cp_n": _n(use)}, central=Central(["ret_exc", "mktrf"], 2, use, tag, "cp_n"))
 
 
 def capm_ext() -> Metric:
@@ -191,7 +213,7 @@ def capm_ext() -> Metric:
             f"coskew{sfx}": cosk,
         }
         return _done(df, "capm_ext", F.col("ce_n") >= least, out)
-    return Metric("capm_ext", finish, ["beta", "ivol_capm", "iskew_capm", "coskew"], {"ce_n": _n(use)} | moment_sums(["ret_exc", "mktrf"], 3, use, tag))
+    return Metric("capm_ext", finish, ["beta", "ivol_capm", "iskew_capm", "coskew"], {"ce_n": _n(use)}, central=Central(["ret_exc", "mktrf"], 3, use, tag, "ce_n"))
 
 
 def ami() -> Metric:
@@ -210,8 +232,8 @@ def downbeta() -> Metric:
         beta, _, _ = _slope(tag, "ret_exc", "mktrf", "db_n")
         ok = (F.col("db_all") >= least) & (F.col("db_n") >= least / 2)
         return _done(df, "downbeta", ok, {f"betadown{sfx}": beta})
-    sums = {"db_n": _n(use), "db_all": _n(_have("ret_exc"))} | moment_sums(["ret_exc", "mktrf"], 2, use, tag)
-    return Metric("downbeta", finish, ["betadown"], sums)
+    sums = {"db_n": _n(use), "db_all": _n(_have("ret_exc"))}
+    return Metric("downbeta", finish, ["betadown"], sums, central=Central(["ret_exc", "mktrf"], 2, use, tag, "db_n"))
 
 
 def _residual_metric(name: str, tag: str, xs: list[str], ddof: int) -> Metric:
@@ -224,8 +246,8 @@ def _residual_metric(name: str, tag: str, xs: list[str], ddof: int) -> Metric:
             f"iskew_{name}{sfx}": skew_from_sums(ss, F.col(f"{tag}third"), n, floor),
         }
         return _done(df, name, (F.col(f"{tag}all") >= least) & (n > 0), out)
-    sums = {f"{tag}n": _n(use), f"{tag}all": _n(_have("ret_exc"))} | moment_sums(["ret_exc", *xs], 3, use, tag)
-    return Metric(name, finish, [f"ivol_{name}", f"iskew_{name}"], sums)
+    sums = {f"{tag}n": _n(use), f"{tag}all": _n(_have("ret_exc"))}
+    return Metric(name, finish, [f"ivol_{name}", f"iskew_{name}"], sums, central=Central(["ret_exc", *xs], 3, use, tag, f"{tag}n"))
 
 
 def ff3() -> Metric:
@@ -252,9 +274,8 @@ def dimsonbeta(min_month: int = 0) -> Metric:
         total = F.col(f"{tag}beta0") + F.col(f"{tag}beta1") + F.col(f"{tag}beta2")
         ok = (F.col(f"{tag}all") >= least) & (F.col(f"{tag}n") > 0)
         return _done(df, "dimsonbeta", ok, {f"beta_dimson{sfx}": total})
-    sums = {f"{tag}all": _n(base)}
-    sums |= {k: F.when(enough, v) for k, v in ({f"{tag}n": _n(use)} | moment_sums(["ret_exc", *xs], 2, use, tag)).items()}
-    return Metric("dimsonbeta", finish, ["beta_dimson"], sums)
+    sums = {f"{tag}all": _n(base), f"{tag}n": F.when(enough, _n(use))}
+    return Metric("dimsonbeta", finish, ["beta_dimson"], sums, central=Central(["ret_exc", *xs], 2, use, tag, f"{tag}n"))
 
 
 def _turn(use: Column) -> Column:
@@ -311,7 +332,7 @@ def mktcorr() -> Metric:
         m = Moments([y, x], "mc_n")
         keep = lambda v: F.when(m.c2(v, v) > F.col(moment_name((v, v))) * 1e-13, m.c2(v, v))
         return _done(df, "mktcorr", F.col("mc_n") >= least, {f"corr{sfx}": div(m.c2(y, x), F.sqrt(keep(y) * keep(x)))})
-    return Metric("mktcorr", finish, ["corr"], {"mc_n": _n(use)} | moment_sums(["ret_exc_3l", "mkt_exc_3l"], 2, use, tag))
+    return Metric("mktcorr", finish, ["corr"], {"mc_n": _n(use)}, central=Central(["ret_exc_3l", "mkt_exc_3l"], 2, use, tag, "mc_n"))
 
 
 METRICS: dict[str, Callable[[], Metric]] = {
@@ -323,13 +344,32 @@ METRICS: dict[str, Callable[[], Metric]] = {
 
 def month_partials(days: DataFrame, metrics: list[Metric], max_zero: int = 10) -> DataFrame:
     """All partials of all metrics per (id, month m) in one aggregation."""
+    g = fold(days.groupBy("id", "m"), metrics, F.sum("zero__").alias("zeros__"))
+    open_month = F.coalesce(F.col("zeros__"), F.lit(0)) < max_zero
+    gate = {k: F.when(open_month, F.col(k)) for mt in metrics if mt.gated for k in (*mt.partials(), *mt.added())}
+    g = g.withColumns(gate).drop("zeros__") if gate else g.drop("zeros__")
+    return level(g, metrics, "id")
+
+
+def fold(groups: GroupedData, metrics: list[Metric], *more: Column) -> DataFrame:
+    """The partials of metrics; central moments as means and central sums."""
     parts: dict[str, Column] = {}
+    after: dict[str, Column] = {}
     for mt in metrics:
         parts |= mt.partials()
-    g = days.groupBy("id", "m").agg(F.sum("zero__").alias("zeros__"), *[c.alias(k) for k, c in parts.items()])
-    open_month = F.coalesce(F.col("zeros__"), F.lit(0)) < max_zero
-    gate = {k: F.when(open_month, F.col(k)) for mt in metrics if mt.gated for k in mt.partials()}
-    return g.withColumns(gate).drop("zeros__") if gate else g.drop("zeros__")
+        if mt.central:
+            held, made = mt.central.state()
+            parts |= held
+            after |= made
+    g = groups.agg(*more, *[c.alias(k) for k, c in parts.items()])
+    return g.withColumns(after) if after else g
+
+
+def level(months: DataFrame, metrics: list[Metric], key: str) -> DataFrame:
+    """Central moments of months as sums about one level per series, which windows can add."""
+    for c in [mt.central for mt in metrics if mt.central]:
+        months = about_anchor(months, c.columns, c.tag, c.n, key, c.order)
+    return months
 
 
 def trailing(months: DataFrame, k: int, metrics: list[Metric], key: str = "id", last_month: int | None = None) -> DataFrame:
@@ -345,12 +385,12 @@ def trailing(months: DataFrame, k: int, metrics: list[Metric], key: str = "id",
     if last_month is not None:
         spread = spread.filter(F.col("m") + F.col("step__") <= last_month)
     own = F.col("step__") == 0
-    parts = [c for mt in metrics for c in mt.partials()]
+    parts = [c for mt in metrics for c in dict.fromkeys([*mt.partials(), *mt.added()])]
     spread = spread.select(key, (F.col("m") + F.col("step__")).alias("m"), own.alias("own__"), *[F.when(own, F.col(c)).alias(c) for c in parts])
     f = Window.partitionBy(key).orderBy("m").rangeBetween(-(k - 1), 0)
     out = {}
     for mt in metrics:
-        out |= {c: F.sum(c).over(f) for c in mt.sums}
+        out |= {c: F.sum(c).over(f) for c in mt.added()}
         out |= {c: F.max(c).over(f) for c in mt.maxs}
         out |= {c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("m"))).over(f) for c in mt.lasts}
         out |= {c: F.flatten(F.collect_list(c).over(f)) for c in mt.tops}
@@ -370,7 +410,7 @@ def roll(days: DataFrame, grid: list[tuple[str, str | int, int]], max_zero: int
     for k in sorted({months_of(s) for _, s, _ in grid}):
         mine = [(built[n], s, least) for n, s, least in grid if months_of(s) == k]
         used = list({mt.name: mt for mt, _, _ in mine}.values())
-        keep = [c for mt in used for c in mt.partials()]
+        keep = [c for mt in used for c in dict.fromkeys([*mt.partials(), *mt.added()])]
         df = trailing(months.select("id", "m", *keep), k, used, last_month=last_month)
         for mt, s, least in mine:
             label = s if isinstance(s, str) else f"_{s}m"
@@ -405,7 +445,7 @@ def regression_rows(panel: DataFrame, factors: DataFrame, bounds: tuple[float, f
 def market_beta(rows: DataFrame, n: int, least: int) -> DataFrame:
     """Trailing n-month market beta and idiosyncratic volatility."""
     mt = capm()
-    months = rows.groupBy("id", "m").agg(*[c.alias(k) for k, c in mt.partials().items()])
+    months = level(fold(rows.groupBy("id", "m"), [mt]), [mt], "id")
     df = mt.finish(trailing(months, n, [mt]), f"_{n}m", least)
     # end months are limited to months present in the data
     seen = rows.select(F.col("m").alias("end_month"), "eom").distinct()
@@ -419,9 +459,8 @@ def residual_momentum(rows: DataFrame, n: int, least: int, incl: int, skip: int)
     names = ["ret_exc", *xs]
     tag = "rm_"
     use = _have(*names)
-    sums = {"rm_n": _n(use)} | moment_sums(names, 2, use, tag)
-    mt = Metric("resmom", lambda df, s, m: df, [], sums)
-    months = rows.groupBy("id", "m").agg(*[c.alias(k) for k, c in sums.items()])
+    mt = Metric("resmom", lambda df, s, m: df, [], {"rm_n": _n(use)}, central=Central(names, 2, use, tag, "rm_n"))
+    months, sums = level(fold(rows.groupBy("id", "m"), [mt]), [mt], "id"), mt.added()
     w = Window.partitionBy("id").orderBy("m")
     ahead = F.least(F.coalesce(F.lead("m").over(w) - F.col("m"), F.lit(n)), F.lit(n))
     spread = months.withColumn("ahead__", ahead).withColumn("step__", F.explode(F.sequence(F.lit(0), F.col("ahead__") - 1)))

@@ -53,9 +53,12 @@ def test_against_least_squares(spark, shift):
         assert r.dropped == lost.get(g, []) and r.n == len(y)
         assert [r[f"b_{XS[i]}"] for i in keep] == pytest.approx(list(b[1:]), rel=1e-8)
         if g == "line":
-            assert r.resid_sd == 0 and r.resid_skew is None
+            if shift:  # means near a million have ten digits after the point
+                assert r.resid_sd < 1e-4
+            else:
+                assert r.resid_sd == 0 and r.resid_skew is None
         else:
             assert r.resid_sd == pytest.approx(sd, rel=1e-9) and r.resid_skew == pytest.approx(skew, rel=1e-8, abs=1e-9)
     assert got["empty"].n == 0 and got["empty"].resid_sd is None
     whole = {r.g: r for r in grouped_ols(df, ["g"], "y", XS).collect()}
-    assert whole["twin"].b_a is None and whole["plain"].b_a == got["plain"].b_a
+    assert whole["twin"].b_a is None and whole["plain"].b_a == pytest.approx(got["plain"].b_a, rel=1e-9)

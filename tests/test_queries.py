@@ -12,7 +12,8 @@ NAMES = [
     "market_returns", "return_cutoffs", "size_group", "rank_avg", "z_rank", "safe_div", "interval_join", "primary_flag_join", "fx_convert", "gap_fill",
     "write_partitioned", "publication_lag_expand", "market_chars_monthly", "quarterize", "ttm", "rvol", "ff3_resid", "mktcorr", "accounting_helpers",
     "f_score", "comp_daily", "world_panel", "char_portfolios", "hml", "panel_compare", "world_panel_daily", "winsorize_daily_return",
-    "standardize_accounting_quarterly",
+    "standardize_accounting_quarterly", "asof_join", "asof_join_forward", "asof_join_nearest", "interval_join_decades", "grouped_ols_dependent", "breakpoints_30_70",
+    "median_signal", "daily_portfolios", "char_portfolios_153",
 ]
 TABLES = "region nation customer supplier part orders lineitem".split()
 

@@ -109,3 +109,32 @@ def test_grouped_ols_singular_group_is_null(spark):
     df = spark.createDataFrame([("a", 1.0, 2.0, 4.0), ("a", 2.0, 3.0, 6.0), ("a", 4.0, 5.0, 10.0), ("a", 3.0, 1.0, 2.0)], "g string, y double, x double, z double")
     r = ols.grouped_ols(df, ["g"], "y", ["x", "z"]).first()
     assert r.n == 4 and r.b_x is None and r.b_z is None
+
+
+def test_level_of_a_series_does_not_matter(spark):
+    """Returns and factors shifted by a million, over 60 months: the same volatilities and slopes; by ten, the same skewness."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    grid = lambda x: np.round(x * 2**20) / 2**20  # a shift is exact
+    n = 60 * 12
+    x = grid(rng.normal(size=(n, 3)))
+    y = grid(x @ [0.5, 1.0, -1.0] + rng.normal(size=n) ** 3)
+
+    def run(shift):
+        rows = [(1, 2000 * 12 + i // 12, 0, float(y[i]) + shift, *(float(v) + shift for v in x[i])) for i in range(n)]
+        df = spark.createDataFrame(rows, "id int, m int, zero__ int, ret_exc double, mktrf double, smb_ff double, hml double")
+        out = rolling.roll(df, [("ff3", "_1260d", 100), ("skew", "_1260d", 100), ("rvol", "_1260d", 100), ("capm_ext", "_1260d", 100)])
+        return out.filter("eom = DATE'2004-12-31' OR eom = DATE'2005-11-30'").orderBy("eom").collect()
+
+    plain, near, shifted = run(0.0), run(10.0), run(1e6)
+    assert len(plain) == 2
+    for a, m, b in zip(plain, near, shifted):
+        for c in ("ivol_ff3_1260d", "rvol_1260d", "ivol_capm_1260d", "beta_1260d"):
+            assert b[c] == pytest.approx(a[c], rel=1e-9), c
+        for c in ("iskew_ff3_1260d", "rskew_1260d", "iskew_capm_1260d", "coskew_1260d"):
+            assert m[c] == pytest.approx(a[c], rel=1e-9, abs=1e-9), c
+    design = np.column_stack([np.ones(n), x])
+    e = y - design @ np.linalg.lstsq(design, y, rcond=None)[0]
+    assert shifted[0].ivol_ff3_1260d == pytest.approx(np.sqrt(e @ e / (n - 3)), rel=1e-9)
+    assert shifted[0].rvol_1260d == pytest.approx(y.std(ddof=1), rel=1e-9)
