@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..sources.adapters import ACCOUNT_ITEMS
+from ..sources.adapters import ACCOUNT_ITEMS, RAW_TABLES
 
 
 def with_(*ctes: str) -> str:
@@ -116,6 +116,12 @@ fct AS (
     round(r / g / 10 - 0.033, 10) AS roe, round(a / g / 10 - 0.033, 10) AS inv FROM fct0)"""
 
 
+def raw_tables() -> list[str]:
+    """CTEs of the raw tables, by their names."""
+    cols = lambda columns: ", ".join(f"{e} AS {c}" for c, e in columns.items())
+    return [f"{name} AS (SELECT {cols(columns)} FROM {source})" for name, (source, columns) in RAW_TABLES.items()]
+
+
 INTERVALS = """iv AS (
   SELECT custkey, from_date, code,
     lead(from_date) OVER (PARTITION BY custkey ORDER BY from_date) - 1 AS thru_date

@@ -39,18 +39,6 @@ def _distinct(t):
     return rows.distinct_lookup(t.lineitem, {"l_partkey": "part", "l_suppkey": "supp"}, F.col("l_returnflag") == "R")
 
 
-@query(
-    "build_raw_helpers",
-    """SELECT DISTINCT 'supplier' AS kind, s_suppkey AS key, s_nationkey AS nation FROM supplier WHERE s_acctbal > 0
-UNION ALL SELECT DISTINCT 'customer', c_custkey, c_nationkey FROM customer WHERE c_acctbal > 0""",
-)
-def _helpers(t):
-    a = rows.distinct_lookup(t.supplier, {"s_suppkey": "key", "s_nationkey": "nation"}, F.col("s_acctbal") > 0)
-    b = rows.distinct_lookup(t.customer, {"c_custkey": "key", "c_nationkey": "nation"}, F.col("c_acctbal") > 0)
-    pick = lambda df, k: df.select(F.lit(k).alias("kind"), "key", "nation")
-    return pick(a, "supplier").unionByName(pick(b, "customer"))
-
-
 @query(
     "key_value_history_split",
     """SELECT o_custkey, CAST(o_orderdate AS DATE) AS effdate,

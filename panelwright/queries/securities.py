@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import expand, joins, rows, security
+from ..plans import helpers
 from ..sources import adapters
-from .base_sql import FXQ, sd, sm, with_
+from .base_sql import FXQ, raw_tables, sd, sm, with_
 from .panels import PERF
 from .registry import query
 from .relational import CROSS, FXD
@@ -39,6 +40,56 @@ def _map(t):
     return security.crsp_fields(_feed(t), "m")
 
 
+# the helper tables, one statement each; values of type double enter a digest as millionths
+_STD = "indfmt = 'INDL' AND datafmt = 'STD' AND popsrc = 'D' AND consol = 'C'"
+HELPER_SQL = {
+    "sic_naics_na": ("SELECT DISTINCT gvkey, datadate, sich AS sic, naicsh AS naics FROM comp_funda", "gvkey datadate sic naics"),
+    "sic_naics_gl": ("SELECT DISTINCT gvkey, datadate, sich AS sic, naicsh AS naics FROM comp_g_funda", "gvkey datadate sic naics"),
+    "firm_shares": (f"SELECT gvkey, datadate, cshoq AS csho_fund, ajexq AS ajex_fund FROM comp_fundq WHERE {_STD} AND cshoq IS NOT NULL AND ajexq IS NOT NULL UNION ALL SELECT gvkey, datadate, csho, ajex FROM comp_funda WHERE {_STD} AND csho IS NOT NULL AND ajex IS NOT NULL", "gvkey datadate csho_fund* ajex_fund*"),
+    "permno0": ("SELECT DISTINCT permno, permco, secinfostartdt, secinfoenddt, siccd AS sic, naics FROM crsp_stksecurityinfohist", "permno permco secinfostartdt secinfoenddt sic naics"),
+    "comp_hgics_na": ("SELECT DISTINCT gvkey, indfrom, indthru, gsubind AS gics FROM comp_co_hgic WHERE gvkey IS NOT NULL", "gvkey indfrom indthru gics"),
+    "comp_hgics_gl": ("SELECT DISTINCT gvkey, indfrom, indthru, gsubind AS gics FROM comp_g_co_hgic WHERE gvkey IS NOT NULL", "gvkey indfrom indthru gics"),
+    "crsp_dsedelist": ("FROM crsp_stkdelists", "permno delistingdt delret* delactiontype delstatustype delreasontype delpaymenttype"),
+    "crsp_msedelist": ("FROM crsp_stkdelists", "permno delistingdt delret* delactiontype delstatustype delreasontype delpaymenttype"),
+    "sec_info": ("SELECT gvkey, iid, secstat, dlrsni FROM comp_security UNION ALL SELECT gvkey, iid, secstat, dlrsni FROM comp_g_security", "gvkey iid secstat dlrsni"),
+    "crsp_mcti_t30ret": ("FROM crsp_mcti", "caldt t30ret*"),
+    "ff_factors_monthly": ("FROM ff_factors_monthly", "date rf*"),
+    "comp_r_ex_codes": ("FROM comp_r_ex_codes", "exchgdesc exchgcd"),
+    "ex_country": ("SELECT DISTINCT exchg, excntry FROM comp_g_security UNION ALL (SELECT DISTINCT exchg, excntry FROM comp_security)", "exchg excntry"),
+    "header": ("SELECT gvkey, prirow, priusa, prican FROM comp_company UNION ALL SELECT gvkey, prirow, priusa, prican FROM comp_g_company WHERE gvkey NOT IN (SELECT gvkey FROM comp_company)", "gvkey prirow priusa prican"),
+    "prihistusa": ("SELECT gvkey, itemvalue AS prihistusa, effdate, thrudate FROM comp_sec_history WHERE item = 'PRIHISTUSA'", "gvkey prihistusa effdate thrudate"),
+    "prihistcan": ("SELECT gvkey, itemvalue AS prihistcan, effdate, thrudate FROM comp_sec_history WHERE item = 'PRIHISTCAN'", "gvkey prihistcan effdate thrudate"),
+    "prihistrow": ("SELECT gvkey, itemvalue AS prihistrow, effdate, thrudate FROM comp_g_sec_history WHERE item = 'PRIHISTROW'", "gvkey prihistrow effdate thrudate"),
+    "fx1": ("FROM fx1", "curcdd datadate fx*"),
+    "crsp_sf_m": ("""SELECT mp.*, gvkey, liid AS iid FROM mp LEFT JOIN crsp_stksecurityinfohist n ON mp.permno = n.permno AND date BETWEEN secinfostartdt AND secinfoenddt
+  LEFT JOIN crsp_ccmxpf_lnkhist k ON mp.permno = lpermno AND linktype IN ('LC', 'LU', 'LS') AND (linkdt IS NULL OR date >= linkdt) AND (linkenddt IS NULL OR date <= linkenddt)""", "permno permco date bidask prc* shrout* ret* retx* cfacshr* vol* prc_high* prc_low* exchcd gvkey iid exch_main shrcd me*"),
+}
+
+
+def _cells(columns: str) -> str:
+    """The text of a row, for a digest that both engines agree on."""
+    whole = lambda c: f"CAST(round({c[:-1]} * 1000000) AS BIGINT)" if c.endswith("*") else c
+    return " || '|' || ".join(f"coalesce(CAST({whole(c)} AS STRING), '~')" for c in columns.split())
+
+
+def _helper_rows() -> str:
+    row = "SELECT '{0}' AS helper, count(*) AS n_rows, coalesce(sum(CAST('0x' || substr(md5({1}), 1, 8) AS BIGINT)), 0)::BIGINT AS digest FROM ({2})"
+    return " UNION ALL ".join(row.format(name, _cells(cols), sql) for name, (sql, cols) in HELPER_SQL.items())
+
+
+@query("build_raw_helpers", with_(*raw_tables(), FXQ, CROSS, sm(), FEED, MAP) + _helper_rows())
+def _helpers(t):
+    """All helper tables from one scan of each raw table: name, rows and digest of each."""
+    raw = {name: adapters.raw_table(t, name) for name in adapters.RAW_TABLES} | {"comp_exrt_dly": adapters.fx_quotes(t)}
+    made = helpers.raw_helpers(t.spark, helpers.RawTables(raw, {"m": _feed(t)}))
+    out = None
+    for name, df in made.items():
+        cell = F.conv(F.substring(F.md5(F.expr(_cells(HELPER_SQL[name][1]))), 1, 8), 16, 10).cast("long")
+        one = df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(cell), F.lit(0)).alias("digest")).select(F.lit(name).alias("helper"), "n_rows", "digest")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 RATES = "rates AS (SELECT DISTINCT midx, CASE WHEN midx % 4 <> 0 THEN 0.001::DOUBLE + (midx % 10) / 10000.0::DOUBLE END AS t30ret, 0.002::DOUBLE AS rf FROM sm)"
 DEL = "de AS (SELECT id AS permno, max(eom) AS delistingdt, CASE WHEN id % 5 = 0 THEN -0.15::DOUBLE END AS delret, CASE id % 3 WHEN 0 THEN 'UNAV' WHEN 1 THEN 'BKPY' ELSE 'ACQ' END AS reason FROM sm WHERE id % 2 = 0 GROUP BY id)"
 

@@ -315,3 +315,44 @@ def industry_codes(t: Tables) -> DataFrame:
         F.col("p_partkey").alias("id"),
         ((F.col("p_size") * 97 + F.col("p_partkey") * 31) % 10000).cast("int").alias("sic"),
     )
+
+
+# Stand-ins for the vendors' raw tables: the driver table each comes from, and its columns as expressions that
+# Spark and DuckDB read alike (base_sql writes the same rows for the statements).
+def _day(c: str) -> str:
+    return f"CAST({c} AS DATE)"
+
+
+def _code(c: str, width: int = 6) -> str:
+    return f"lpad(CAST({c} AS STRING), {width}, '0')"
+
+
+def _format(flag: str, odd: str) -> dict[str, str]:
+    return {"indfmt": f"CASE WHEN {flag} = '{odd}' THEN 'FS' ELSE 'INDL' END", "datafmt": "'STD'", "popsrc": "'D'", "consol": "'C'"}
+
+
+RAW_TABLES: dict[str, tuple[str, dict[str, str]]] = {
+    "comp_funda": ("orders", {"gvkey": _code("o_custkey"), "datadate": _day("o_orderdate"), "sich": "CASE WHEN o_orderkey % 5 <> 0 THEN 100 + o_custkey % 9900 END", "naicsh": "110000 + o_custkey % 800", "csho": "o_totalprice", "ajex": "CASE WHEN o_orderstatus <> 'P' THEN 1.5 END", **_format("o_orderpriority", "5-LOW")}),
+    "comp_fundq": ("lineitem", {"gvkey": _code("l_suppkey"), "datadate": _day("l_shipdate"), "cshoq": "CASE WHEN l_linenumber < 6 THEN l_quantity END", "ajexq": "l_tax", **_format("l_returnflag", "A")}),
+    "comp_g_funda": ("lineitem", {"gvkey": _code("l_suppkey"), "datadate": f"last_day({_day('l_shipdate')})", "sich": "l_suppkey % 50", "naicsh": "CASE WHEN l_returnflag = 'R' THEN l_suppkey % 7 END"}),
+    "crsp_stksecurityinfohist": ("customer", {"permno": "c_custkey", "permco": "c_custkey % 500", "secinfostartdt": "CAST('1992-01-01' AS DATE)", "secinfoenddt": "CASE WHEN c_nationkey % 2 = 0 THEN CAST('1995-06-30' AS DATE) ELSE CAST('2100-12-31' AS DATE) END", "siccd": "100 + c_custkey % 9900", "naics": "c_nationkey"}),
+    "comp_co_hgic": ("orders", {"gvkey": f"CASE WHEN o_orderpriority <> '3-MEDIUM' THEN {_code('o_custkey')} END", "indfrom": f"last_day({_day('o_orderdate')})", "indthru": "CASE WHEN o_orderstatus = 'F' THEN CAST('2001-01-01' AS DATE) END", "gsubind": "10101010 + o_custkey % 70"}),
+    "comp_g_co_hgic": ("lineitem", {"gvkey": f"CASE WHEN l_suppkey > 1 THEN {_code('l_suppkey')} END", "indfrom": f"last_day({_day('l_shipdate')})", "indthru": "CAST(NULL AS DATE)", "gsubind": "l_linenumber"}),
+    "crsp_stkdelists": ("customer", {"permno": "c_custkey", "delistingdt": "CAST('1996-02-28' AS DATE)", "delret": "CASE WHEN c_acctbal > 0 THEN c_acctbal / 10000 END", "delactiontype": "'GDR'", "delstatustype": "c_mktsegment", "delreasontype": "CASE WHEN c_nationkey < 9 THEN 'UNAV' END", "delpaymenttype": "'PRCF'"}),
+    "comp_security": ("part", {"gvkey": _code("p_partkey"), "iid": "'01'", "secstat": "CASE WHEN p_size > 20 THEN 'A' ELSE 'I' END", "dlrsni": "CASE WHEN p_size < 10 THEN '02' END", "exchg": "p_size", "excntry": "p_brand"}),
+    "comp_g_security": ("customer", {"gvkey": _code("c_custkey"), "iid": "'01W'", "secstat": "'A'", "dlrsni": "CAST(NULL AS STRING)", "exchg": "c_nationkey", "excntry": "c_mktsegment"}),
+    "comp_company": ("supplier", {"gvkey": _code("s_suppkey"), "prirow": "'01W'", "priusa": _code("s_nationkey", 2), "prican": "CASE WHEN s_acctbal > 0 THEN '01C' END"}),
+    "comp_g_company": ("customer", {"gvkey": _code("c_custkey"), "prirow": _code("c_nationkey", 2), "priusa": "CAST(NULL AS STRING)", "prican": "CAST(NULL AS STRING)"}),
+    "comp_sec_history": ("orders", {"gvkey": _code("o_custkey"), "item": "CASE WHEN o_orderpriority = '1-URGENT' THEN 'PRIHISTUSA' WHEN o_orderpriority = '2-HIGH' THEN 'PRIHISTCAN' ELSE 'OTHER' END", "itemvalue": "o_orderstatus", "effdate": _day("o_orderdate"), "thrudate": "CAST(NULL AS DATE)"}),
+    "comp_g_sec_history": ("lineitem", {"gvkey": _code("l_suppkey"), "item": "CASE WHEN l_returnflag = 'R' THEN 'PRIHISTROW' ELSE 'OTHER' END", "itemvalue": "l_linestatus", "effdate": _day("l_shipdate"), "thrudate": _day("l_shipdate")}),
+    "crsp_mcti": ("orders", {"caldt": _day("o_orderdate"), "t30ret": "o_totalprice / 100000000"}),
+    "ff_factors_monthly": ("lineitem", {"date": _day("l_shipdate"), "rf": "l_discount / 100"}),
+    "comp_r_ex_codes": ("nation", {"exchgdesc": "n_name", "exchgcd": "n_nationkey"}),
+    "crsp_ccmxpf_lnkhist": ("customer", {"lpermno": "c_custkey", "linkdt": "CASE WHEN c_nationkey % 3 <> 0 THEN CAST('1993-05-01' AS DATE) END", "linkenddt": "CASE WHEN c_nationkey % 4 <> 0 THEN CAST('1997-05-01' AS DATE) END", "linktype": "CASE WHEN c_mktsegment = 'BUILDING' THEN 'LX' WHEN c_acctbal > 5000 THEN 'LU' ELSE 'LC' END", "gvkey": _code("c_custkey"), "liid": "'01'"}),
+}
+
+
+def raw_table(t: Tables, name: str) -> DataFrame:
+    """One stand-in of :data:`RAW_TABLES`."""
+    source, columns = RAW_TABLES[name]
+    return t.read(source).selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])

@@ -13,7 +13,7 @@ NAMES = [
     "write_partitioned", "publication_lag_expand", "market_chars_monthly", "quarterize", "ttm", "rvol", "ff3_resid", "mktcorr", "accounting_helpers",
     "f_score", "comp_daily", "world_panel", "char_portfolios", "hml", "panel_compare", "world_panel_daily", "winsorize_daily_return",
     "standardize_accounting_quarterly", "asof_join", "asof_join_forward", "asof_join_nearest", "interval_join_decades", "grouped_ols_dependent", "breakpoints_30_70",
-    "median_signal", "daily_portfolios", "char_portfolios_153",
+    "median_signal", "daily_portfolios", "char_portfolios_153", "build_raw_helpers",
 ]
 TABLES = "region nation customer supplier part orders lineitem".split()
 
