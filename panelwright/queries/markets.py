@@ -315,6 +315,16 @@ RANGES_SQL = """rg AS (SELECT (g * 7) % 49 + 1 AS grp, g AS priority, g * 130 %
   FROM (SELECT DISTINCT (p_partkey % 150) AS g FROM part))"""
 
 
+def _ranges(t):
+    g = F.col("p_partkey") % 150
+    return t.part.select(g.alias("priority")).distinct().select(
+        ((F.col("priority") * 7) % 49 + 1).alias("grp"),
+        "priority",
+        (F.col("priority") * 130 % 10000).alias("lo"),
+        (F.col("priority") * 130 % 10000 + 99 + (F.col("priority") % 5) * 40).alias("hi"),
+    )
+
+
 @query(
     "industry_class_49",
     with_(INDUSTRY, RANGES_SQL)
@@ -322,11 +332,24 @@ RANGES_SQL = """rg AS (SELECT (g * 7) % 49 + 1 AS grp, g AS priority, g * 130 %
 )
 def _ind49(t):
     """Classification from a range table handed in as data (first match by priority)."""
-    g = F.col("p_partkey") % 150
-    ranges = t.part.select(g.alias("priority")).distinct().select(
-        ((F.col("priority") * 7) % 49 + 1).alias("grp"),
-        "priority",
-        (F.col("priority") * 130 % 10000).alias("lo"),
-        (F.col("priority") * 130 % 10000 + 99 + (F.col("priority") % 5) * 40).alias("hi"),
-    )
-    return industry.classify_by_table(adapters.industry_codes(t), "sic", ranges, "ff49").select("id", "sic", "ff49")
+    return industry.classify_by_table(adapters.industry_codes(t), "sic", _ranges(t), "ff49").select("id", "sic", "ff49")
+
+
+CODES_SQL = """cd AS (SELECT code, arg_min(grp, priority) AS grp, count(DISTINCT grp) AS n FROM (SELECT unnest(range(0, 10000)) AS code) LEFT JOIN rg ON code BETWEEN lo AND hi GROUP BY 1)"""
+
+
+@query(
+    "industry_ranges",
+    with_(RANGES_SQL, CODES_SQL)
+    + """SELECT min(code) AS lo, max(code) AS hi, max(grp) AS grp FROM (SELECT *, code - row_number() OVER (PARTITION BY grp ORDER BY code) AS run FROM cd) GROUP BY coalesce(grp, -1), run""",
+)
+def _ranges_disjoint(t):
+    """Overlapping ranges as disjoint ones, and the gaps without a class."""
+    ranges = _ranges(t)
+    return industry.disjoint_ranges(ranges).unionByName(industry.gaps(ranges).withColumn("grp", F.lit(None).cast("long")))
+
+
+@query("industry_claims", with_(RANGES_SQL, CODES_SQL) + "SELECT CAST(n AS BIGINT) AS n_classes, count(*) AS n_codes FROM cd WHERE n > 0 GROUP BY 1")
+def _claims(t):
+    """How many codes are claimed by one, two, ... classes."""
+    return industry.sweep(_ranges(t)).groupBy("n_classes").agg(F.sum(F.col("hi") - F.col("lo") + 1).alias("n_codes"))
