@@ -494,9 +494,15 @@ def _fresher(t):
     return ac.fresher_of_two(ann, q, ["gp", "xrd", "capx"])
 
 
-@query("char_list", with_(*BASE) + "SELECT gvkey, count(*) AS rows_, count(at_x) AS with_assets, 315 AS n_chars FROM " + X + " GROUP BY 1")
+def list_sql() -> str:
+    counts = ", ".join(f"count({n}) AS {n}" for n in NAMES)
+    return f"SELECT name, n_known, n_rows FROM (UNPIVOT (SELECT {counts}, count(*) AS n_rows FROM (\n{build_sql()}\n) AS built) ON * EXCLUDE (n_rows) INTO NAME name VALUE n_known)"
+
+
+@query("char_list", list_sql())
 def _chars(t):
-    return _panel(t).groupBy("gvkey").agg(F.count(F.lit(1)).alias("rows_"), F.count("at_x").alias("with_assets"), F.lit(len(ac.characteristic_names())).alias("n_chars"))
+    """The kept characteristics by name: how many rows of the build know each, out of all rows."""
+    return ac.known_counts(_build(t), NAMES)
 
 
 STD = """wd AS (SELECT *, CASE WHEN CAST(gvkey AS BIGINT) % 3 = 0 THEN 'FS' ELSE 'INDL' END AS indfmt FROM acc WHERE CAST(gvkey AS BIGINT) % 4 <> 1
