@@ -43,6 +43,8 @@ MULTIPLIERS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 SKETCH = "doc_id long, text_hash long, n_shingles long, node binary, signature binary"
 SKETCH_T = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("signature", pa.binary())])
 LAST = (1 << 63) - 1
+#: A text with at least one word.
+WORDED = r"[^\x20\x09-\x0D]"
 
 
 def permutations(depth: int) -> np.ndarray:
@@ -314,10 +316,17 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, depth: in
 
 
 def keep_one(docs: DataFrame, percent: int = 80, size: int = 5, depth: int = 3) -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns; of equal rows (doc_id and text) with any words, one."""
-    found = near_duplicates(docs, percent, size, depth).where("kept")
-    id_, hash_, words, nth = (unused(docs, c) for c in ("id", "hash", "n", "nth"))
-    kept = found.select(F.coalesce("doc_id", F.lit(LAST)).alias(id_), F.col("text_hash").alias(hash_), F.col("n_shingles").alias(words)).distinct()
-    rows = docs.withColumns({id_: F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), hash_: F.xxhash64("text")}).join(kept, [id_, hash_])
-    first = F.row_number().over(Window.partitionBy(id_, hash_).orderBy(F.lit(1)))
-    return rows.withColumn(nth, first).where((F.col(nth) == 1) | (F.col(words) == 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that are kept, all columns; of rows with equal doc_id and text, the first by a hash of all
+    columns (maps aside). Rows without any word are all kept; they are neither joined nor ranked."""
+    found = near_duplicates(docs, percent, size, depth).where("kept AND n_shingles > 0")
+    id_, hash_, order, nth = (unused(docs, c) for c in ("id", "hash", "order", "nth"))
+    kept = found.select(F.coalesce("doc_id", F.lit(LAST)).alias(id_), F.col("text_hash").alias(hash_)).distinct()
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    worded = F.coalesce(F.col("text").rlike(WORDED), F.lit(False))
+    rows = docs.where(worded).withColumns({
+        id_: F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), hash_: F.xxhash64("text"),
+        order: F.xxhash64(*[c for c, (_, kind) in zip(names, docs.dtypes) if "map<" not in kind]),
+    }).join(kept, [id_, hash_])
+    # a filter on the first place lets each map task send one row of a group
+    first = F.row_number().over(Window.partitionBy(id_, hash_).orderBy(order))
+    return rows.withColumn(nth, first).where(F.col(nth) == 1).select(*names).union(docs.where(~worded))

@@ -3,11 +3,14 @@
 Each labelled pair (winner of label 1, loser of label 0) gives a difference of features; logistic loss on those
 differences gives a weight for each feature, and a document's strength is its weighted sum. Features are hashed
 byte pairs and triples of the whole text, as square roots of their shares, and the share of words that repeat one
-just before them. A few fictitious bytes without grams keep short texts near strength 0. The threshold is the quantile of strength that the share of label 0 among the labelled rows asks for; scores are
-strengths on the logistic scale, moved so that the threshold gets ``cut``.
+just before them. A few fictitious bytes without grams keep short texts near strength 0. The threshold is the quantile
+of strength that the share of label 0 asks for, over all documents with a usable label: the middle between the
+strengths at that place and the next one, selected exactly in Spark (equal strengths there are the threshold
+themselves). Scores are strengths on the logistic scale, moved so that the threshold gets ``cut``.
 
 The fit takes at most ``most`` labelled rows of each label, the first ones by a hash of doc_id; everything else
-covers all rows. Null and empty texts have no features and get the score of strength 0. Rows without doc_id are
+covers all rows, the threshold too. Texts are measured where they lie, 256 at a time; only doc_id and strength are
+shuffled. A text of any length is measured whole. Null and empty texts have no features and get the score of strength 0. Rows without doc_id are
 scored and count as held out. With no pair to learn from, every score is ``cut``. A doc_id labelled twice counts
 by its least label.
 """
@@ -22,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import Prefix, chunks, raw_texts, unused, word_spans
+from ..operators.selection import order_statistics
+from .shared import Prefix, chunks, raw_texts, stage, unused, word_spans
 
 SIZE = 1 << 12
 BACK = 3
@@ -127,15 +131,30 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", cut: float =
     good, bad = np.flatnonzero(won == 1), np.flatnonzero(won == 0)
     win, lose = pairs(len(good), len(bad), rounds)
     w = learn(x, good[win], bad[lose])
-    return Model(w, quantile(x @ w, np.where(won == 1, share / len(good), (1 - share) / len(bad)), 1 - share), cut)
+    return Model(w, threshold(labelled_strengths(docs, known, w)), cut)
 
 
-def quantile(values: np.ndarray, weights: np.ndarray, share: float) -> float:
-    """Middle of the gap above the given share of weight."""
-    order = np.argsort(values, kind="stable")
-    below = np.cumsum(weights[order]) / weights.sum()
-    i = min(int(np.searchsorted(below, share - 1e-9)), len(order) - 1)
-    return float((values[order[i]] + values[order[min(i + 1, len(order) - 1)]]) / 2)
+def labelled_strengths(docs: DataFrame, known: DataFrame, weights: np.ndarray) -> DataFrame:
+    """(won, strength) of every document that ``known`` (doc_id, won) has a label for, as a written table."""
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches):
+        for b in batches:
+            texts = raw_texts(b)
+            parts = [features(texts[lo : min(lo + 256, e)]) @ shared.value for a, e in chunks(texts) for lo in range(a, e, 256)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.concatenate([np.zeros(0), *parts]))], names=["doc_id", "strength"])
+
+    measured = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, strength double")
+    return stage(measured.join(known.select(F.col("doc_id").cast("long").alias("doc_id"), "won"), "doc_id").select("won", "strength"), "strengths")
+
+
+def threshold(strengths: DataFrame) -> float:
+    """With z rows of label 0: the middle between the z-th and the next strength from below."""
+    zeros = strengths.where("won = 0").count()
+    one = strengths.select(F.lit(0).alias("all"), "strength")
+    found = order_statistics(one, ["all"], ["strength"], lambda n: [F.greatest(F.lit(1), F.least(n, F.lit(zeros))), F.least(n, F.lit(zeros + 1))])
+    low, high = found.first()["values"]
+    return (low + high) / 2
 
 
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:

@@ -583,3 +583,32 @@ def test_pipeline(spark):
     final = corpus_pipeline.run(spark, SF).collect()
     assert {r.doc_id: list(r.ids) for r in final} == {d: own.encode_ordinary(t) for d, t in texts.items()}
     assert all(r.same_bytes and r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest() for r in final)
+
+
+def test_threshold_over_all_labelled_rows(spark):
+    rng = np.random.default_rng(3)
+    strength = np.round(rng.normal(size=4001), 2)
+    won = (strength + rng.normal(size=4001) > 0.4).astype(int)
+    rows = spark.createDataFrame(pd.DataFrame({"won": won, "strength": strength}))
+    ordered, z = np.sort(strength), int((won == 0).sum())
+    assert quality.threshold(rows) == (ordered[z - 1] + ordered[z]) / 2
+
+
+def test_threshold_uses_rows_beyond_the_fit(spark):
+    """Two rows of each label are fitted, the threshold parts all rows by the share of label 0."""
+    texts = [(i, ("good words here " if i % 3 else "zzz qqq xxx ") * (3 + i % 7)) for i in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(300)], "doc_id long, quality int")
+    model = quality.fit(docs, labels, most=2)
+    usable = [i for i in range(300) if zlib.crc32(str(i).encode()) % 5]
+    got = {r.doc_id: r.score >= model.cut for r in quality.score(docs, model).collect()}
+    assert sum(not got[i] for i in usable) == sum(i % 3 == 0 for i in usable)
+
+
+def test_kept_row_does_not_depend_on_partitions(spark):
+    rows = [(7, "the same few words again and again", f"x{i}") for i in range(40)] + [(None, None, f"n{i}") for i in range(9)] + [(8, " \t", "blank")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra string")
+    seen = {tuple(sorted((r.extra for r in lsh_forest.keep_one(docs.repartition(n)).collect()))) for n in (1, 3, 7)}
+    assert len(seen) == 1
+    (kept,) = seen
+    assert len(kept) == 13 and sum(e.startswith("x") for e in kept) == 1
