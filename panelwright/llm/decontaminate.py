@@ -104,6 +104,18 @@ def occurrences(docs: DataFrame, items: DataFrame, window: int = 10) -> tuple[Da
     return stage(find_phrases(docs, wanted, index, terms), "found"), listed.join(wanted, "phrase").select("phrase_id", "item")
 
 
+def near_occurrences(docs: DataFrame, items: DataFrame, within: int, window: int = 10) -> DataFrame:
+    """(doc_id, text_hash, item, start, stop): spans of at most ``within`` words of ``docs`` (doc_id, text) that hold
+    every distinct word of a phrase of an item (item_id, text), in any order; see :func:`near_matches`. Items without
+    words and texts without them give nothing; rows of equal doc_id and text count once."""
+    listed = stage(phrases(items, window), "listed")
+    wanted = stage(listed.select("phrase").distinct().withColumn("phrase_id", F.monotonically_increasing_id()), "wanted")
+    terms = stage(wanted.select(F.explode("phrase").alias("word")).distinct().withColumn("term", F.monotonically_increasing_id()), "terms")
+    index = stage(postings(docs, terms), "postings")
+    spans = near_matches(wanted, index, terms, within).join(small(listed.join(wanted, "phrase").select("phrase_id", "item")), "phrase_id")
+    return spans.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "text_hash", "item", "start", "stop").distinct()
+
+
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """The rows of ``docs`` in which no item window occurs, all columns."""
     found, _ = occurrences(docs.select("doc_id", "text"), items, window)

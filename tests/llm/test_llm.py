@@ -612,3 +612,14 @@ def test_kept_row_does_not_depend_on_partitions(spark):
     assert len(seen) == 1
     (kept,) = seen
     assert len(kept) == 13 and sum(e.startswith("x") for e in kept) == 1
+
+
+def test_near_occurrences(spark):
+    items = spark.createDataFrame([("a", "red green blue"), ("b", "one one two"), ("c", None), ("d", "")], "item_id string, text string")
+    docs = spark.createDataFrame(
+        [(1, "x BLUE y red green z"), (2, "red green and then a long way to blue"), (3, "two one"), (None, "green, red; blue"), (4, None), (5, ""), (3, "two one")],
+        "doc_id long, text string",
+    )
+    got = {(r.doc_id, r.item, r.start, r.stop) for r in decontaminate.near_occurrences(docs, items, 4).collect()}
+    assert got == {(1, "a", 1, 4), (3, "b", 0, 1), (None, "a", 0, 2)}
+    assert decontaminate.near_occurrences(docs, items.limit(0), 4).isEmpty() and decontaminate.near_occurrences(docs.limit(0), items, 4).isEmpty()
