@@ -78,7 +78,9 @@ def interval_matches(points: DataFrame, intervals: DataFrame, key: str, date: st
         .drop("span__")
     )
     p = points.withColumn("node__", F.explode(_ancestors(F.unix_date(date)))).alias("p")
-    s = cut.withColumnsRenamed({key: "k__", "node__": "at__"}).alias("s")
+    # Spark guesses the size of the nodes from the file of intervals, without the explode, and would broadcast tens of
+    # times its threshold through the driver: sort-merge only, whose skew AQE splits
+    s = cut.withColumnsRenamed({key: "k__", "node__": "at__"}).hint("merge").alias("s")
     cond = (F.col(f"p.{key}") == F.col("s.k__")) & (F.col("p.node__") == F.col("s.at__")) & F.col(f"p.{date}").between(F.col("s.a__"), F.col("s.b__"))
     return p.join(s, cond).drop("node__", "at__", "k__", "a__", "b__")
 
