@@ -19,14 +19,26 @@ def expand_interval(
     Month steps count from the start date and are snapped to the month end.
     Backward intervals yield nothing. Overlaps of one key are settled in favour of the interval
     that starts last, with the remaining columns as tie-break.
+
+    Intervals are shuffled, not their days: equal ones are folded first, and one that shares no day (month) with
+    another of its key is expanded in place. Only the steps of those that do overlap are grouped.
     """
     seq = days_or_empty if freq == "day" else month_steps_or_empty
     rest = [c for c in df.columns if c not in (*ids, start, end)]
-    out = df.withColumn(name, F.explode(seq(F.col(start), F.col(end))))
+    # of equal intervals the greatest remaining columns would win every day
+    best = F.max(F.struct(*rest) if rest else F.lit(True)).alias("row__")
+    held = df.where(F.col(start) <= F.col(end)).groupBy(*ids, start, end).agg(best)
+    edge = (lambda c: F.to_date(c)) if freq == "day" else F.last_day
+    w = Window.partitionBy(*ids).orderBy(start, end)
+    before = F.max(edge(F.col(end))).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    alone = F.coalesce(before < edge(F.col(start)), F.lit(True)) & F.coalesce(edge(F.lead(start).over(w)) > edge(F.col(end)), F.lit(True))
+    held = held.withColumn("alone__", alone).select(*ids, start, end, *[F.col(f"row__.{c}").alias(c) for c in rest], "alone__")
+    steps = held.withColumn(name, F.explode(seq(F.col(start), F.col(end))))
+    clear, out = steps.where("alone__").select(*ids, name, *rest), steps.where("NOT alone__")
     if not rest:
-        return out.select(*ids, name).distinct()
+        return clear.unionByName(out.select(*ids, name).distinct())
     rank = F.struct(F.col(start), *[F.col(c) for c in rest])
-    return (
+    return clear.unionByName(
         out.groupBy(*ids, name)
         .agg(F.max_by(F.struct(*rest), rank).alias("row"))
         .select(*ids, name, *[F.col(f"row.{c}").alias(c) for c in rest])
