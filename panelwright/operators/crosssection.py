@@ -14,26 +14,35 @@ The slot is a pure function of the value, so a recomputed task always lands in t
 after an executor loss (sampled range boundaries would not give that).
 
 The result is exact: ranks, percentiles and cumulative shares follow from the counts.
+
+Ranks of several columns (:func:`rank_pct`, :func:`z_ranks`) take this way only for groups of over ``ROWS`` rows. The
+others are ranked on the wide rows, which are shuffled once by group, instead of a long row per value several times.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.nulls import as_col, div
+from ..sources.scratch import stage
 from .selection import order_statistics
 
 SLOTS_PER_E = 16
 SLOT_SCALE = 1e6
 PARTS_PER_SLOT = 4096
+#: Rows of a group that one task ranks, on the wide rows; larger groups go through the rank table.
+ROWS = 1 << 18
 
 
 def _place(v: Column) -> Column:
-    """A monotone scale, logarithmic in |v| and symmetric around 0; a unit is a slot."""
+    """A monotone scale, logarithmic in |v| and symmetric around 0; a unit is a slot. NaN is with the greatest."""
     x = v.cast("double")
     size = F.least(F.abs(x), F.lit(1e300))  # beyond that the product below would overflow
-    return F.signum(x) * F.log1p(size * SLOT_SCALE) * SLOTS_PER_E
+    return F.when(F.isnan(x), 1.0).otherwise(F.signum(x)) * F.log1p(size * SLOT_SCALE) * SLOTS_PER_E
 
 
 def slot_of(v: Column) -> Column:
@@ -83,38 +92,36 @@ def rank_table(
     ref: Column | None = None,
     sums: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """``value_counts`` plus ``n_below``, ``n_all``, ``ref_below`` and ``ref_all``."""
+    """``value_counts`` plus ``n_below``, ``n_all``, ``ref_below`` and ``ref_all``.
+
+    The counts are shuffled once more, by part; the totals of parts are read off the last value of each, so they need
+    the same exchange. Without ``ref`` all rows are reference rows, and are counted once.
+    """
     counts = value_counts(df, keys, value, ref, sums).withColumns({"slot__": slot_of(F.col(value)), "part__": part_of(F.col(value))})
+    kinds = ["n"] if ref is None else ["n", "ref"]
+    if ref is None:
+        counts = counts.drop("ref_at")
     slot, part = [*keys, "slot__"], [*keys, "slot__", "part__"]
     before = lambda by, order: Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     running = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
-    by_part = counts.groupBy(*part).agg(F.sum("n_at").alias("n_part"), F.sum("ref_at").alias("ref_part"))
-    by_slot = by_part.groupBy(*slot).agg(F.sum("n_part").alias("n_slot"), F.sum("ref_part").alias("ref_slot"))
+    inside = before(part, value)
+    counts = counts.withColumns({f"{k}_in": running(f"{k}_at", inside) for k in kinds})
+    last = F.lead(value).over(Window.partitionBy(*part).orderBy(value)).isNull()
+    by_part = counts.withColumn("last__", last).where("last__").select(*part, *[(F.col(f"{k}_in") + F.col(f"{k}_at")).alias(f"{k}_part") for k in kinds])
+    by_slot = by_part.groupBy(*slot).agg(*[F.sum(f"{k}_part").alias(f"{k}_slot") for k in kinds])
     group, earlier = Window.partitionBy(*keys), before(keys, "slot__")
     slots = by_slot.select(
         *slot,
-        running("n_slot", earlier).alias("n_out"),
-        running("ref_slot", earlier).alias("ref_out"),
-        F.sum("n_slot").over(group).alias("n_all"),
-        F.sum("ref_slot").over(group).alias("ref_all"),
+        *[running(f"{k}_slot", earlier).alias(f"{k}_out") for k in kinds],
+        *[F.sum(f"{k}_slot").over(group).alias(f"{k}_all") for k in kinds],
     )
     in_slot = before(slot, "part__")
-    offsets = by_part.withColumns({"n_in_slot": running("n_part", in_slot), "ref_in_slot": running("ref_part", in_slot)}).join(slots, slot)
-    offsets = offsets.select(
-        *part, (F.col("n_out") + F.col("n_in_slot")).alias("n_off"), (F.col("ref_out") + F.col("ref_in_slot")).alias("ref_off"), "n_all", "ref_all"
-    )
-    inside = before(part, value)
-    return (
-        counts.withColumns({"n_in": running("n_at", inside), "ref_in": running("ref_at", inside)})
-        .join(offsets, part)
-        .withColumns(
-            {
-                "n_below": F.col("n_in") + F.col("n_off"),
-                "ref_below": F.col("ref_in") + F.col("ref_off"),
-            }
-        )
-        .drop("slot__", "part__", "n_in", "ref_in", "n_off", "ref_off")
-    )
+    offsets = by_part.withColumns({f"{k}_in_slot": running(f"{k}_part", in_slot) for k in kinds}).join(slots, slot)
+    offsets = offsets.select(*part, *[(F.col(f"{k}_out") + F.col(f"{k}_in_slot")).alias(f"{k}_off") for k in kinds], *[f"{k}_all" for k in kinds])
+    out = counts.join(offsets, part).withColumns({f"{k}_below": F.col(f"{k}_in") + F.col(f"{k}_off") for k in kinds})
+    if ref is None:
+        out = out.withColumns({"ref_at": F.col("n_at"), "ref_below": F.col("n_below"), "ref_all": F.col("n_all")})
+    return out.select(*keys, value, "n_at", "ref_at", *(sums or {}), "n_all", "ref_all", "n_below", "ref_below")
 
 
 def average_rank(descending: Column | bool = False) -> Column:
@@ -183,13 +190,58 @@ def ecdf(df: DataFrame, keys: list[str], value: str, ref: Column, out: str = "cd
     return attach_ranks(df, t, keys, value, [out])
 
 
+def by_size(df: DataFrame, keys: list[str], most: int) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of groups of at most ``most`` rows and those without a key, and the rows of larger groups, if any."""
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    counts = df.where(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("n__")).where(F.col("n__") > most)
+    hot = stage(counts.select(*keys), "hot")
+    if hot.isEmpty():
+        return df, None
+    return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi")
+
+
+def _wide_ranks(df: DataFrame, ids: list[str], keys: list[str], values: dict[str, bool], prefix: str, score: Callable[[Column, Column], Column]) -> DataFrame:
+    """``score(rank, n)`` of each column by windows over its group. Rows that repeat an id in a group all get the
+    greatest; rows without an id or key get NULL, as they do in a join by them."""
+    # plain numbers: -0.0 ties with 0.0
+    rows = df.select(*ids, *keys, *[(F.col(c).cast("double") + F.lit(0.0)).alias(c) for c in values])
+    # a fixed number of partitions: merged ones would be sorted by every column in one task
+    rows = rows.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    group = Window.partitionBy(*keys)
+    for c, down in values.items():
+        tied = group.orderBy(c)
+        n, blank = F.count(c).over(group), F.count_if(F.col(c).isNull()).over(group)
+        same = F.count(F.lit(1)).over(tied.rangeBetween(Window.currentRow, Window.currentRow))
+        up = F.rank().over(tied) - blank + (same - 1) / F.lit(2.0)
+        rows = rows.withColumns({"r__": up, "k__": n})
+        rank = F.when(F.col(c).isNotNull(), F.col("k__") + 1 - F.col("r__") if down else F.col("r__"))
+        rows = rows.withColumn("r__", rank).withColumn(c, score(F.col("r__"), F.col("k__"))).drop("r__", "k__")
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*ids, *keys]])
+    own = Window.partitionBy(*keys, *ids)
+    return rows.select(*ids, *keys, *[F.when(known, F.max(c).over(own)).alias(f"{prefix}{c}") for c in values])
+
+
+def _in_two(
+    df: DataFrame, keys: list[str], most: int | None, wide: Callable[[DataFrame], DataFrame], long: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    few, hot = by_size(df, keys, ROWS if most is None else most)
+    return wide(few) if hot is None else wide(few).unionByName(long(hot))
+
+
 def rank_pct(
-    df: DataFrame, ids: list[str], keys: list[str], values: dict[str, bool], min_n: int
+    df: DataFrame, ids: list[str], keys: list[str], values: dict[str, bool], min_n: int, most: int | None = None
 ) -> DataFrame:
     """Average rank / count per group for several columns ({column: descending}) in one pass.
 
-    Groups with fewer than ``min_n`` values give NULL. Result: ids, keys, ``rank_<column>``.
+    Groups with fewer than ``min_n`` values give NULL. Result: ids, keys, ``rank_<column>``. A group of at most
+    ``most`` rows (``ROWS``) is ranked in one task.
     """
+    share = lambda r, n: F.when(n >= min_n, r / n)
+    wide = lambda rows: _wide_ranks(rows, ids, keys, values, "rank_", share)
+    return _in_two(df, keys, most, wide, lambda rows: _long_pct(rows, ids, keys, values, min_n))
+
+
+def _long_pct(df: DataFrame, ids: list[str], keys: list[str], values: dict[str, bool], min_n: int) -> DataFrame:
     long = melt(df, [*ids, *keys], list(values), "var__", "val__")
     group = [*keys, "var__"]
     desc = [v for v, d in values.items() if d]
@@ -207,13 +259,26 @@ def rank_pct(
 
 
 def z_ranks(
-    df: DataFrame, ids: list[str], keys: list[str], values: dict[str, bool], min_n: int, prefix: str = "z_"
+    df: DataFrame, ids: list[str], keys: list[str], values: dict[str, bool], min_n: int, prefix: str = "z_", most: int | None = None
 ) -> DataFrame:
     """z-score of the average rank per group for several columns ({column: descending}).
 
-    The mean rank is (n + 1) / 2 whatever the ties; the variance comes from the rank table.
-    Groups below ``min_n`` values, or with a single distinct value, give NULL.
+    The mean rank is (n + 1) / 2 whatever the ties; the variance comes from the ranks.
+    Groups below ``min_n`` values, or with a single distinct value, give NULL. A group of at most ``most`` rows
+    (``ROWS``) is ranked in one task.
     """
+    group = Window.partitionBy(*keys)
+
+    def score(r: Column, n: Column) -> Column:
+        dev = r - (n.cast("double") + 1) / 2
+        sd = F.sqrt(div(F.sum(dev * dev).over(group), n.cast("double") - 1))
+        return F.when(n >= min_n, div(dev, sd))
+
+    wide = lambda rows: _wide_ranks(rows, ids, keys, values, prefix, score)
+    return _in_two(df, keys, most, wide, lambda rows: _long_z(rows, ids, keys, values, min_n, prefix))
+
+
+def _long_z(df: DataFrame, ids: list[str], keys: list[str], values: dict[str, bool], min_n: int, prefix: str) -> DataFrame:
     long = melt(df, [*ids, *keys], list(values), "var__", "val__")
     group = [*keys, "var__"]
     desc = [v for v, d in values.items() if d]
