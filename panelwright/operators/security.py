@@ -288,7 +288,8 @@ def comp_daily(na: DataFrame, world: DataFrame, shares: DataFrame, fx: DataFrame
         F.coalesce(F.col("cshoc") / 1e6, F.col("csho_fund") * div("ajex_fund", "ajexdi")).alias("cshoc"),
         (div("prccd", "ajexdi") * F.col("trfd")).alias("ri_local"),
     )
-    both = n.unionByName(g).distinct()
+    # dealt by security and month: equal rows meet, and monthly aggregations of the result move nothing more
+    both = n.unionByName(g).withColumn("eom", F.last_day("datadate")).repartition("gvkey", "iid", "eom").distinct()
     rates = fx.select("datadate", F.col("curcdd"), "fx")
     div_rates = fx.select("datadate", F.col("curcdd").alias("curcddv"), F.col("fx").alias("fx_div"))
     usd = both.join(rates, ["curcdd", "datadate"], "left").join(div_rates, ["curcddv", "datadate"], "left")
@@ -305,7 +306,7 @@ def comp_daily(na: DataFrame, world: DataFrame, shares: DataFrame, fx: DataFrame
         pay("div").alias("div_tot"),
         pay("divd").alias("div_cash"),
         pay("divsp").alias("div_spc"),
-        F.last_day("datadate").alias("eom"),
+        "eom",
     )
 
 
