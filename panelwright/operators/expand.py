@@ -5,6 +5,8 @@ Sequences are generated per row inside the executor; nothing is joined against a
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -122,18 +124,24 @@ def month_spine(df: DataFrame, ids: list[str], date: str) -> DataFrame:
 
 
 def densify_months(df: DataFrame, ids: list[str], date: str) -> DataFrame:
-    """Left join onto the month spine, with ``data_available`` and the running ``count``.
+    """The rows on the month spine, with ``data_available`` and the running ``count``.
 
-    ``df`` must be unique on (ids, date).
+    ``df`` must be unique on (ids, date). Each row adds the months up to the next one, so the wide rows are shuffled
+    once, by ids, and not joined to the spine; a row that is not at a month end, or lacks an id, only marks its month.
     """
     w = Window.partitionBy(*ids).orderBy(date)
-    return (
-        month_spine(df, ids, date)
-        .join(df.withColumn("hit__", F.lit(1)), [*ids, date], "left")
-        .withColumn("data_available", F.coalesce("hit__", F.lit(0)))
-        .withColumn("count", F.row_number().over(w))
-        .drop("hit__")
-    )
+    rest = [c for c in df.columns if c not in (*ids, date)]
+    hit = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ids], F.col(date) == F.last_day(date))
+    month, ahead = F.last_day(date), F.last_day(F.lead(date).over(w))
+    rows = df.where(F.col(date).isNotNull()).withColumns({"hit__": hit, "ahead__": ahead, "own__": month})
+    # the row's own month if it holds the data or no later row does, then the months before the next row's
+    own = F.col("hit__") | F.coalesce(F.col("ahead__") > F.col("own__"), F.lit(True))
+    until = F.coalesce(F.add_months("ahead__", -1), F.col("own__"))
+    months = F.concat(F.when(own, F.array("own__")).otherwise(F.array().cast("array<date>")), months_or_empty(F.add_months("own__", 1), until))
+    rows = rows.withColumn("month__", F.explode(months))
+    here = F.col("hit__") & (F.col("month__") == F.col("own__"))
+    out = rows.select(*ids, F.col("month__").alias(date), *[F.when(here, F.col(c)).alias(c) for c in rest], here.cast("int").alias("data_available"))
+    return out.withColumn("count", F.row_number().over(w))
 
 
 def publication_expand(df: DataFrame, key: str, date: str, lag: int, max_lag: int, name: str = "public_date") -> DataFrame:
