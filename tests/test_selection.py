@@ -108,3 +108,26 @@ def test_portfolios(spark, monkeypatch, k, min_n, rows_each):
         assert r.signal == pytest.approx(statistics.median(m[9 + CHARS.index(r.characteristic)] for m in members))
         assert r.ret_ew == pytest.approx(sum(m[4] for m in members) / len(members))
         assert r.ret_vw == pytest.approx(sum(m[4] * m[5] for m in members) / sum(m[5] for m in members))
+
+
+def test_groups_of_one_bucket_are_placed_in_one_pass(spark, monkeypatch):
+    """No counts by cell, no refinement, where every group fits a bucket; odd values as the refinement places them."""
+    rng = random.Random(11)
+    odd = [None, float("nan"), float("inf"), -float("inf"), -0.0, 0.0, 5e-324, 1.5, -1.5]
+    rows = [(*r[:4], rng.choice([None, r[4]]), *r[5:9], rng.choice(odd), rng.choice([None, rng.random()]), None, r[12]) for r in stocks(300)]
+    df = spark.createDataFrame(rows, "excntry string, eom string, id long, size_grp string, ret_exc_lead1m double, me double, me_cap double, crsp_exchcd int, comp_exchg int, " + ", ".join(f"{c} double" for c in CHARS))
+    df = df.withColumn("eom", F.last_day(F.to_date("eom")))
+    cut = lambda r: tuple(round(v, 9) if isinstance(v, float) else v for v in r)
+    rows_of = lambda: sorted(map(repr, map(cut, po.char_portfolios(df, CHARS).select("excntry", "characteristic", "pf", "eom", "n", "signal", "ret_ew", "ret_vw", "ret_vw_cap").collect())))
+    monkeypatch.setattr(se, "ROWS", 7)
+    dealt = rows_of()
+    monkeypatch.undo()
+    monkeypatch.setattr(po, "first_counts", lambda w: pytest.fail("counted by cell"))
+    assert dealt and rows_of() == dealt
+
+
+def test_images_by_bits_equal_images_by_arithmetic(spark):
+    values = [None, float("nan"), float("inf"), -float("inf"), -0.0, 0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, 0.1, -3.0, 1e300]
+    df = spark.createDataFrame([(v, [v, 1.0]) for v in values], "v double, x array<double>").repartition(2)
+    for r in se.images(df.select(se.image(F.col("v")).alias("want"), "x"), "x", 2).collect():
+        assert r.x == [r.want, 1023 << 52]
