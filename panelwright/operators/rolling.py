@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import index_to_month_end, month_index
 from ..functions.nulls import div, safe_div
 from ..functions.stats import Moments, list_mean, moment_name, monomials, sd_from_ss, skew_from_sums
+from ..sources.scratch import stage
 from .crosssection import average_rank, rank_table
 from .ols import about_anchor, centred_sums, fit, moment_sums
 
@@ -343,12 +344,13 @@ METRICS: dict[str, Callable[[], Metric]] = {
 
 
 def month_partials(days: DataFrame, metrics: list[Metric], max_zero: int = 10) -> DataFrame:
-    """All partials of all metrics per (id, month m) in one aggregation."""
+    """All partials of all metrics per (id, month m) in one aggregation over the days, written: every window length
+    reads the months, and no task holds days and windows at once."""
     g = fold(days.groupBy("id", "m"), metrics, F.sum("zero__").alias("zeros__"))
     open_month = F.coalesce(F.col("zeros__"), F.lit(0)) < max_zero
     gate = {k: F.when(open_month, F.col(k)) for mt in metrics if mt.gated for k in (*mt.partials(), *mt.added())}
     g = g.withColumns(gate).drop("zeros__") if gate else g.drop("zeros__")
-    return level(g, metrics, "id")
+    return level(stage(g, "months"), metrics, "id")
 
 
 def fold(groups: GroupedData, metrics: list[Metric], *more: Column) -> DataFrame:

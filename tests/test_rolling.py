@@ -138,3 +138,17 @@ def test_level_of_a_series_does_not_matter(spark):
     e = y - design @ np.linalg.lstsq(design, y, rcond=None)[0]
     assert shifted[0].ivol_ff3_1260d == pytest.approx(np.sqrt(e @ e / (n - 3)), rel=1e-9)
     assert shifted[0].rvol_1260d == pytest.approx(y.std(ddof=1), rel=1e-9)
+
+
+def test_every_window_reads_written_months(spark):
+    """The days are folded once: what rolls over three windows neither reads the days nor joins the factors again."""
+    days = spark.range(400).select(
+        (F.col("id") % 3).alias("id"), F.lit("a").alias("excntry"), F.expr("date_add(date '2020-01-01', CAST(id AS INT))").alias("date"), F.lit(1).alias("ret_lag_dif"),
+        F.expr("id % 7 - 2.5D").alias("ret"), F.expr("id % 5 - 1.5D").alias("ret_exc"), F.lit(1.0).alias("ret_local"), F.lit(2.0).alias("dolvol"), F.lit(3.0).alias("prc"), F.lit(1.0).alias("adjfct"),
+    ).withColumn("eom", F.last_day("date"))
+    factors = days.select("excntry", "date", F.expr("dayofyear(date) % 4 - 1.0D").alias("mktrf"))
+    prepared = rolling.prepare_days(days, factors)
+    out = rolling.roll(prepared, [("rvol", "_21d", 2), ("rmax", "_21d", 2), ("rvol", "_126d", 4), ("capm", "_252d", 10)])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range (" not in plan and "Join" not in plan
+    assert out.count() > 0
