@@ -30,10 +30,11 @@ def months_of(sfx: str | int) -> int:
 
 
 def prepare_days(days: DataFrame, factors: DataFrame, max_gap: int = 14) -> DataFrame:
-    """Join factors, drop days without a market return, void returns after long gaps."""
+    """Join factors, drop days without a market return, void returns after long gaps. Factors are written first: else
+    their size may be known too late, and the days are shuffled and sorted for the join."""
     near = F.col("ret_lag_dif") <= max_gap
     return (
-        days.join(factors, ["excntry", "date"])
+        days.join(stage(factors, "factors"), ["excntry", "date"])
         .filter(F.col("mktrf").isNotNull())
         .withColumns(
             {

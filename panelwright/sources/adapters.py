@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_index
 from ..functions.nulls import div
+from .scratch import stage
 from .tables import Tables
 
 
@@ -152,7 +153,8 @@ def factor_series(t: Tables, grain: str = "eom", country: str = "region") -> Dat
     day = F.to_date("l_shipdate")
     ext = F.col("l_extendedprice")
     flag_share = lambda f: F.sum(F.when(F.col("l_returnflag") == f, ext).otherwise(0.0))
-    dims = _security_dims(t, "supplier", country).select("id", "excntry")
+    # written, so that its size is known before the trade lines are shuffled for the join
+    dims = stage(_security_dims(t, "supplier", country).select("id", "excntry"), "dims")
     out = (
         _known(t.lineitem, "l_suppkey", "l_shipdate").withColumn("id", F.col("l_suppkey"))
         .withColumn(grain, F.last_day(day) if grain == "eom" else day)
