@@ -8,7 +8,7 @@ of strength that the share of label 0 asks for, over all documents with a usable
 strengths at that place and the next one, selected exactly in Spark (equal strengths there are the threshold
 themselves). Scores are strengths on the logistic scale, moved so that the threshold gets ``cut``.
 
-The fit takes at most ``most`` labelled rows of each label, the first ones by a hash of doc_id; everything else
+The fit takes at most ``most`` labelled rows of each label, the first ones by a hash of doc_id, in one task; everything else
 covers all rows, the threshold too. Texts are measured where they lie, 256 at a time; only doc_id and strength are
 shuffled. A text of any length is measured whole. Null and empty texts have no features and get the score of strength 0. Rows without doc_id are
 scored and count as held out. With no pair to learn from, every score is ``cut``. A doc_id labelled twice counts
@@ -122,15 +122,22 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", cut: float =
             x = features(raw_texts(b)).astype(np.float16)
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("won").cast(pa.int32()), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "won", "x"])
 
-    got = rows.select("doc_id", "won", "text").mapInArrow(run, "doc_id long, won int, x binary").toArrow().sort_by("doc_id")
-    won = got.column("won").to_numpy()
-    if len(set(won.tolist())) < 2:
+    def weigh(table):
+        got = table.sort_by("doc_id")
+        won = got.column("won").to_numpy()
+        if len(set(won.tolist())) < 2:
+            return pa.table({"weights": pa.array([], pa.binary())})
+        x = np.stack([np.frombuffer(v, np.float16) for c in got.column("x").chunks for v in c.to_pylist()]).astype(np.float32)
+        good, bad = np.flatnonzero(won == 1), np.flatnonzero(won == 0)
+        win, lose = pairs(len(good), len(bad), rounds)
+        return pa.table({"weights": pa.array([learn(x, good[win], bad[lose]).tobytes()], pa.binary())})
+
+    # the chosen rows meet in one task; the driver gets the weights only
+    measured = rows.select("doc_id", "won", "text").mapInArrow(run, "doc_id long, won int, x binary")
+    learned = measured.groupBy().applyInArrow(weigh, "weights binary").first()
+    if learned is None:
         return Model(np.zeros(2 * SIZE + BACK, np.float32), 0.0, cut)
-    x = np.stack([np.frombuffer(v.as_py(), np.float16) for v in got.column("x")]).astype(np.float32)
-    del got
-    good, bad = np.flatnonzero(won == 1), np.flatnonzero(won == 0)
-    win, lose = pairs(len(good), len(bad), rounds)
-    w = learn(x, good[win], bad[lose])
+    w = np.frombuffer(learned[0], np.float32)
     return Model(w, threshold(labelled_strengths(docs, known, w)), cut)
 
 

@@ -605,6 +605,15 @@ def test_threshold_uses_rows_beyond_the_fit(spark):
     assert sum(not got[i] for i in usable) == sum(i % 3 == 0 for i in usable)
 
 
+def test_fitted_rows_stay_off_the_driver(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, ("good words here " if i % 3 else "zzz qqq xxx ") * (3 + i % 7)) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)], "doc_id long, quality int")
+    for name in ("toArrow", "toPandas", "toLocalIterator"):
+        monkeypatch.setattr(type(docs), name, lambda *_: pytest.fail("rows on the driver"))
+    model = quality.fit(docs, labels)
+    assert np.any(model.weights)
+
+
 def test_kept_row_does_not_depend_on_partitions(spark):
     rows = [(7, "the same few words again and again", f"x{i}") for i in range(40)] + [(None, None, f"n{i}") for i in range(9)] + [(8, " \t", "blank")] * 3
     docs = spark.createDataFrame(rows, "doc_id long, text string, extra string")
