@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .shared import block_count, bucket_rows, chunks, pack_strings, raw_texts, squeeze, unpack_strings, unsqueeze, worker_cache
+from .shared import block_count, bucket_rows, pack_strings, parts, raw_texts, squeeze, unpack_strings, unsqueeze, worker_cache
 
 BLOCK_BYTES = 8 << 20
 BLOCKS = "block long, doc_id array<long>, n_bytes binary, counts binary, codes binary, lengths binary, words binary"
@@ -74,18 +74,17 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, blocks: int |
 
     def explode(batches):
         find = regex.compile(pattern).findall
-        for b in batches:
+        for b in parts(batches, block_bytes):
             texts = raw_texts(b)
-            for lo, hi in chunks(texts, block_bytes):
-                number: dict[str, int] = {}
-                at = [np.fromiter((number.setdefault(w, len(number)) for w in find(t.decode())), np.uint32) for t in texts[lo:hi]]
-                ids = b.column("doc_id")[lo:hi].cast(pa.int64())
-                name = xxhash.xxh3_64(repr(ids.to_pylist()).encode())
-                for t in texts[lo:hi]:
-                    name.update(t)
-                lengths, words = pack_strings([w.encode() for w in number])
-                cells = (name.intdigest() - (1 << 63), ids.to_pylist(), squeeze(np.array([len(t) for t in texts[lo:hi]], np.int64).tobytes()), narrow(np.array([len(x) for x in at])), narrow(np.concatenate(at)), lengths, words)
-                yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cells, BLOCKS_T.types)], schema=BLOCKS_T)
+            number: dict[str, int] = {}
+            at = [np.fromiter((number.setdefault(w, len(number)) for w in find(t.decode())), np.uint32) for t in texts]
+            ids = b.column("doc_id").cast(pa.int64())
+            name = xxhash.xxh3_64(repr(ids.to_pylist()).encode())
+            for t in texts:
+                name.update(t)
+            lengths, words = pack_strings([w.encode() for w in number])
+            cells = (name.intdigest() - (1 << 63), ids.to_pylist(), squeeze(np.array([len(t) for t in texts], np.int64).tobytes()), narrow(np.array([len(x) for x in at])), narrow(np.concatenate(at)), lengths, words)
+            yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cells, BLOCKS_T.types)], schema=BLOCKS_T)
 
     def in_buckets(words: list[bytes]):
         return bucket_rows(np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words)), n)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import LOWER, Prefix, chunks, mix, raw_texts, stage, unused, word_spans
+from .shared import LOWER, SMALL, Prefix, chunks, mix, parts, raw_texts, stage, unused, word_spans
 
 TREES = 16
 HASHES = 64
@@ -66,7 +66,7 @@ def least_equal(percent: int) -> int:
 def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
     """For each text the sorted distinct hashes of its shingles; fewer words make one, no words none."""
     out: list[np.ndarray] = []
-    for a, b in chunks(texts):
+    for a, b in chunks(texts, SMALL):
         data = b" ".join(texts[a:b])
         raw = LOWER[np.frombuffer(data, np.uint8)]
         start, stop = word_spans(raw)
@@ -98,15 +98,13 @@ def sketch(docs: DataFrame, size: int) -> DataFrame:
     """Set size, class and signature of each row (doc_id, text)."""
 
     def run(batches):
-        for b in batches:
-            texts = raw_texts(b)
-            for lo, hi in chunks(texts):
-                sets = shingle_sets(texts[lo:hi], size)
-                full = [s for s in sets if len(s)]
-                sign = iter(signatures(full)) if full else iter(())
-                node = [xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets]
-                sign = [next(sign).tobytes() if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id")[lo:hi], b.column("text_hash")[lo:hi], pa.array([len(s) for s in sets], pa.int64()), pa.array(node, pa.binary()), pa.array(sign, pa.binary())], schema=SKETCH_T)
+        for b in parts(batches):
+            sets = shingle_sets(raw_texts(b), size)
+            full = [s for s in sets if len(s)]
+            sign = iter(signatures(full)) if full else iter(())
+            node = [xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets]
+            sign = [next(sign).tobytes() if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()), pa.array(node, pa.binary()), pa.array(sign, pa.binary())], schema=SKETCH_T)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, SKETCH)
 

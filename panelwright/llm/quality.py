@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.selection import order_statistics
-from .shared import Prefix, chunks, raw_texts, stage, unused, word_spans
+from .shared import SMALL, Prefix, chunks, parts, raw_texts, stage, unused, word_spans
 
 SIZE = 1 << 12
 BACK = 3
@@ -43,7 +43,7 @@ def held_out(doc_id: Column) -> Column:
 def features(texts: list[bytes]) -> np.ndarray:
     """One row per text: 2 * SIZE gram values, then how often a word equals one of the BACK words before it."""
     out = np.zeros((len(texts), 2 * SIZE + BACK), np.float32)
-    for a, b in chunks(texts):
+    for a, b in chunks(texts, SMALL):
         data = b" ".join(texts[a:b])
         whole = np.frombuffer(data, np.uint8)
         raw = whole.astype(np.uint32)
@@ -118,16 +118,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", cut: float =
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def run(batches):
-        for b in batches:
+        for b in parts(batches):
             x = features(raw_texts(b)).astype(np.float16)
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("won").cast(pa.int32()), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "won", "x"])
 
     def weigh(table):
-        got = table.sort_by("doc_id")
-        won = got.column("won").to_numpy()
+        order = pa.compute.sort_indices(table.select(["doc_id"]), sort_keys=[("doc_id", "ascending")]).to_numpy()
+        won = table.column("won").to_numpy()[order]
         if len(set(won.tolist())) < 2:
             return pa.table({"weights": pa.array([], pa.binary())})
-        x = np.stack([np.frombuffer(v, np.float16) for c in got.column("x").chunks for v in c.to_pylist()]).astype(np.float32)
+        x, place = np.empty((len(won), 2 * SIZE + BACK), np.float32), np.argsort(order)
+        for i, row in zip(place, (v for c in table.column("x").chunks for v in c)):
+            x[i] = np.frombuffer(row.as_buffer(), np.float16)
         good, bad = np.flatnonzero(won == 1), np.flatnonzero(won == 0)
         win, lose = pairs(len(good), len(bad), rounds)
         return pa.table({"weights": pa.array([learn(x, good[win], bad[lose]).tobytes()], pa.binary())})
@@ -146,10 +148,10 @@ def labelled_strengths(docs: DataFrame, known: DataFrame, weights: np.ndarray) -
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):
-        for b in batches:
+        for b in parts(batches):
             texts = raw_texts(b)
-            parts = [features(texts[lo : min(lo + 256, e)]) @ shared.value for a, e in chunks(texts) for lo in range(a, e, 256)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.concatenate([np.zeros(0), *parts]))], names=["doc_id", "strength"])
+            each = [features(texts[lo : lo + 256]) @ shared.value for lo in range(0, len(texts), 256)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.concatenate([np.zeros(0), *each]))], names=["doc_id", "strength"])
 
     measured = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, strength double")
     return stage(measured.join(known.select(F.col("doc_id").cast("long").alias("doc_id"), "won"), "doc_id").select("won", "strength"), "strengths")
@@ -171,7 +173,7 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())])
 
     def run(batches):
-        for b in batches:
+        for b in parts(batches):
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(shared.value.scores(raw_texts(b)))], names=[*b.schema.names, column])
 
     return docs.mapInArrow(run, schema)

@@ -21,7 +21,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT = "spark.checkpoint.dir"
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 BLOCK_BYTES = 4 << 20
+#: Bytes of text that are hashed at once: their arrays of 64-bit words take some 20 times as much.
+SMALL = 1 << 18
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,6 +45,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, most: str = "8m") -> None:
+    """Rows go to Python in batches of at most ``most`` bytes, unless the session has a setting of its own. Spark's
+    64 MB are held several times by each task, outside the heap, and such large pieces are not all given back."""
+    if spark.conf.get(ARROW_BYTES, None) is None:
+        spark.conf.set(ARROW_BYTES, most)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have in any case of letters."""
     taken = {c.lower() for c in df.columns}
@@ -138,16 +148,29 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
 
 
-def chunks(texts: list[bytes], most: int = 1 << 20):
-    """Runs (first, last) of documents of about ``most`` bytes, a longer document alone."""
+def runs(sizes: list[int], most: int):
+    """Runs (first, last) of items of about ``most`` in all, a larger item alone."""
     first = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > most:
+    for i, n in enumerate(sizes):
+        if size and size + n > most:
             yield first, i
             first, size = i, 0
-        size += len(t)
-    if first < len(texts):
-        yield first, len(texts)
+        size += n
+    if first < len(sizes):
+        yield first, len(sizes)
+
+
+def chunks(texts: list[bytes], most: int = 1 << 20):
+    """Runs (first, last) of documents of about ``most`` bytes, a longer document alone."""
+    return runs([len(t) for t in texts], most)
+
+
+def parts(batches, most: int = 1 << 20):
+    """The batches in slices of about ``most`` bytes of text: of a large batch, only a part is ever in Python objects."""
+    for b in batches:
+        sizes = pa.compute.fill_null(pa.compute.binary_length(b.column("text")), 0).to_pylist()
+        for lo, hi in runs(sizes, most):
+            yield b.slice(lo, hi - lo)
 
 
 def bucket_rows(keys: np.ndarray, n: int):

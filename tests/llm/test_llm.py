@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -13,6 +14,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -288,6 +290,48 @@ def test_rest_of_a_cut_region_shares_it(spark, monkeypatch):
     assert got == set(range(12))
 
 
+class Mapped:
+    """A frame that only notes what would run in a task."""
+
+    def __getattr__(self, name):
+        return lambda *args, **how: self
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+
+def test_a_large_batch_is_held_in_parts(spark):
+    one = pa.record_batch({"doc_id": pa.array(range(8000)), "text_hash": pa.array(range(8000)), "text": ["some words of a text " * 100] * 7999 + [None]})
+    task = lsh_forest.sketch(Mapped(), 5).run
+    list(task([one.slice(0, 10)]))
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in task([one]))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 8000
+    assert most < 24 << 20
+
+
+def test_pipeline_bounds_its_batches(spark):
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(size, None)
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    try:
+        spark.conf.unset(size)
+        corpus_pipeline.fresh_lines(spark, docs, SF)
+        assert spark.conf.get(size) == "8m"
+        spark.conf.set(size, "3m")
+        corpus_pipeline.fresh_lines(spark, docs, SF)
+        assert spark.conf.get(size) == "3m"
+    finally:
+        spark.conf.unset(size)
+        if before is not None:
+            spark.conf.set(size, before)
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(30)] + [(50, 40), (41, 50), (60, 60), (None, 3), (50, 40)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
