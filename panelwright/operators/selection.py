@@ -48,6 +48,13 @@ def image(v: Column) -> Column:
     return (bits + beyond) * (F.lit(1) - (v < 0).cast("long") * 2)
 
 
+def images_of(values: pa.Array) -> np.ndarray:
+    """:func:`image` of an array of doubles, read off their bits; of a missing one that of 0."""
+    v = values.fill_null(0.0).to_numpy() + 0.0  # -0.0 is 0.0
+    bits = v.view(np.int64)
+    return np.where(np.isnan(v), (2047 << 52) + 1, np.where(bits < 0, -(bits & LAST), bits))
+
+
 def images(df: DataFrame, column: str, width: int) -> DataFrame:
     """``df`` with :func:`image` of each entry of ``column``, arrays of ``width`` doubles: read off their bits, which
     costs a small part of the arithmetic of ``image`` where there are many columns."""
@@ -56,10 +63,7 @@ def images(df: DataFrame, column: str, width: int) -> DataFrame:
     def run(batches):
         for b in batches:
             flat = b.column(column).flatten()
-            v = flat.fill_null(0.0).to_numpy() + 0.0  # -0.0 is 0.0
-            bits = v.view(np.int64)
-            bits = np.where(np.isnan(v), (2047 << 52) + 1, np.where(bits < 0, -(bits & LAST), bits))
-            lists = pa.ListArray.from_arrays(np.arange(len(b) + 1, dtype=np.int32) * width, pa.array(bits, mask=flat.is_null().to_numpy(zero_copy_only=False)))
+            lists = pa.ListArray.from_arrays(np.arange(len(b) + 1, dtype=np.int32) * width, pa.array(images_of(flat), mask=flat.is_null().to_numpy(zero_copy_only=False)))
             yield pa.RecordBatch.from_arrays([lists if n == column else c for n, c in zip(b.schema.names, b.columns)], names=b.schema.names)
 
     return df.mapInArrow(run, schema)

@@ -198,7 +198,8 @@ def pc_ctes(country="region"):
 
 
 def _pc(t, country="region"):
-    df = stage(adapters.security_month(t, "part", country), "panel")
+    unused = ("gvkey", "iid", "permco", "curcd", "shares", "adjfct", "div_tot", "div_spc", "ret_lag_dif")
+    df = stage(adapters.security_month(t, "part", country).drop(*unused), "panel")
     cuts = market.size_cutoffs(df)
     i, m = F.col("id"), F.col("midx")
     df = market.size_groups(df, cuts).withColumns(
@@ -257,7 +258,8 @@ PLACE_MANY = [
 
 @query("char_portfolios_153", with_(*pc_ctes(), MANY_SQL, *PLACE_MANY) + PFS, "signal:9 " + RDBL)
 def _pfs_153(t):
-    stocks = _pc(t)
+    # dealt and sorted by country and month before they get their 153 columns, so that wide rows do not move
+    stocks = _pc(t).repartition(*po.GROUP).sortWithinPartitions(*po.GROUP)
     return po.char_portfolios(stocks.selectExpr("*", *_many_sql()), MANY)
 
 

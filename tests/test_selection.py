@@ -131,3 +131,20 @@ def test_images_by_bits_equal_images_by_arithmetic(spark):
     df = spark.createDataFrame([(v, [v, 1.0]) for v in values], "v double, x array<double>").repartition(2)
     for r in se.images(df.select(se.image(F.col("v")).alias("want"), "x"), "x", 2).collect():
         assert r.x == [r.want, 1023 << 52]
+
+
+def test_char_portfolios_moves_no_wide_rows(spark, monkeypatch):
+    """Groups of several buckets' rows are placed where they lie: nothing wide is written, and rows that come by country
+    and month are neither shuffled nor sorted again."""
+    df = spark.createDataFrame(stocks(400), "excntry string, eom string, id long, size_grp string, ret_exc_lead1m double, me double, me_cap double, crsp_exchcd int, comp_exchg int, " + ", ".join(f"{c} double" for c in CHARS))
+    df = df.withColumn("eom", F.last_day(F.to_date("eom")))
+    cut = lambda out: sorted(repr(tuple(round(v, 9) if isinstance(v, float) else v for v in r)) for r in out.collect())
+    want = cut(po.char_portfolios(df, CHARS))
+    biggest = df.groupBy(*po.GROUP).count().agg(F.max("count")).first()[0]
+    monkeypatch.setattr(se, "ROWS", biggest // 2)
+    monkeypatch.setattr(po, "wide", lambda *a, **k: pytest.fail("wide rows written"))
+    dealt = df.repartition(*po.GROUP).sortWithinPartitions(*po.GROUP).selectExpr("*", "tied * 2 AS more")
+    out = po.char_portfolios(dealt, CHARS)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.count("Sort ") == 1
+    assert cut(out) == want
