@@ -16,16 +16,21 @@ after an executor loss (sampled range boundaries would not give that).
 The result is exact: ranks, percentiles and cumulative shares follow from the counts.
 
 Ranks of several columns (:func:`rank_pct`, :func:`z_ranks`) take this way only for groups of over ``ROWS`` rows. The
-others are ranked on the wide rows, which are shuffled once by group, instead of a long row per value several times.
+others are ranked on the wide rows, which are shuffled once by group, one column at a time in a task's memory, instead
+of a long row per value several times.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.nulls import as_col, div
 from ..sources.scratch import stage
@@ -35,7 +40,7 @@ SLOTS_PER_E = 16
 SLOT_SCALE = 1e6
 PARTS_PER_SLOT = 4096
 #: Rows of a group that one task ranks, on the wide rows; larger groups go through the rank table.
-ROWS = 1 << 18
+ROWS = 1 << 20
 
 
 def _place(v: Column) -> Column:
@@ -200,25 +205,107 @@ def by_size(df: DataFrame, keys: list[str], most: int) -> tuple[DataFrame, DataF
     return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi")
 
 
-def _wide_ranks(df: DataFrame, ids: list[str], keys: list[str], values: dict[str, bool], prefix: str, score: Callable[[Column, Column], Column]) -> DataFrame:
-    """``score(rank, n)`` of each column by windows over its group. Rows that repeat an id in a group all get the
-    greatest; rows without an id or key get NULL, as they do in a join by them."""
-    # plain numbers: -0.0 ties with 0.0
-    rows = df.select(*ids, *keys, *[(F.col(c).cast("double") + F.lit(0.0)).alias(c) for c in values])
-    # a fixed number of partitions: merged ones would be sorted by every column in one task
-    rows = rows.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
-    group = Window.partitionBy(*keys)
-    for c, down in values.items():
-        tied = group.orderBy(c)
-        n, blank = F.count(c).over(group), F.count_if(F.col(c).isNull()).over(group)
-        same = F.count(F.lit(1)).over(tied.rangeBetween(Window.currentRow, Window.currentRow))
-        up = F.rank().over(tied) - blank + (same - 1) / F.lit(2.0)
-        rows = rows.withColumns({"r__": up, "k__": n})
-        rank = F.when(F.col(c).isNotNull(), F.col("k__") + 1 - F.col("r__") if down else F.col("r__"))
-        rows = rows.withColumn("r__", rank).withColumn(c, score(F.col("r__"), F.col("k__"))).drop("r__", "k__")
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*ids, *keys]])
-    own = Window.partitionBy(*keys, *ids)
-    return rows.select(*ids, *keys, *[F.when(known, F.max(c).over(own)).alias(f"{prefix}{c}") for c in values])
+Values = dict[str, np.ndarray]
+
+
+def numbers(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Doubles (-0.0 as 0.0) and which of them are present."""
+    column = column.cast(pa.float64())
+    return column.fill_null(0.0).to_numpy() + 0.0, ~column.is_null().to_numpy()
+
+
+def ranked(x: np.ndarray, known: np.ndarray, down: bool) -> tuple[np.ndarray, int]:
+    """Average ranks of the known values (NaN above all, equal to itself), NaN for the others, and their number."""
+    v = x[known]
+    order = np.argsort(v, kind="stable")
+    v = v[order]
+    same = (v[1:] == v[:-1]) | (np.isnan(v[1:]) & np.isnan(v[:-1]))
+    start = np.flatnonzero(np.append(len(v) > 0, ~same)) if len(v) else np.zeros(0, np.int64)
+    size = np.diff(np.append(start, len(v)))
+    up = np.repeat(start + (size + 1) / 2, size)
+    own, out = np.empty(len(v)), np.full(len(x), np.nan)
+    own[order] = len(v) + 1 - up if down else up
+    out[known] = own
+    return out, len(v)
+
+
+def owners(table: pa.Table, ids: list[str]) -> np.ndarray:
+    """A number for each row, equal for rows with equal ids; -1 where an id is missing."""
+    code = np.zeros(len(table), np.int64)
+    for c in ids:
+        own = table.column(c).combine_chunks().dictionary_encode()
+        own = own.combine_chunks() if isinstance(own, pa.ChunkedArray) else own
+        index = own.indices.fill_null(-1).to_numpy().astype(np.int64)
+        both = np.unique(code * (len(own.dictionary) + 1) + index, return_inverse=True)[1] if len(ids) > 1 else index
+        code = np.where((code < 0) | (index < 0), -1, both)
+    return code
+
+
+@dataclass
+class Step:
+    """Ranks of columns ({column: descending}) become ``score(rank, n)`` (NaN: NULL), named with ``prefix``; ``then`` may
+    make the columns of the next step from all scores so far."""
+
+    values: dict[str, bool]
+    prefix: str
+    score: Callable[[np.ndarray, int], np.ndarray]
+    then: Callable[[Values], Values] = lambda scores: {}
+
+
+def _rank_group(ids: list[str], keys: list[str], steps: list[Step], out: list[str], schema: pa.Schema, joined: bool) -> Callable[[pa.Table], pa.Table]:
+    def run(table: pa.Table) -> pa.Table:
+        own = owners(table, ids)
+        if any(table.column(k).null_count for k in keys):
+            own[:] = -1
+        held, count = own >= 0, np.bincount(own[own >= 0], minlength=1)
+        found: Values = {}
+        made: Values = {}
+        for step in steps:
+            for c, down in step.values.items():
+                x, known = (made[c], ~np.isnan(made[c])) if c in made else numbers(table.column(c))
+                score = step.score(*ranked(x, known, down))
+                if count.max() > 1:  # rows that repeat an id all get the greatest
+                    best = np.full(len(count), np.nan)
+                    np.fmax.at(best, own[held], score[held])
+                    score = best[own]
+                found[step.prefix + c] = np.where(held, score, np.nan)
+            made = step.then(found)
+        columns = [*[table.column(c) for c in (*ids, *keys)], *[pa.array(found[c], mask=np.isnan(found[c])) for c in out]]
+        done = pa.Table.from_arrays(columns, schema=schema)
+        return done.take(np.repeat(np.arange(len(table)), np.where(held, count[own], 1))) if joined and count.max() > 1 else done
+
+    return run
+
+
+def _wide_ranks(df: DataFrame, ids: list[str], keys: list[str], steps: list[Step], out: list[str], joined: bool = False) -> DataFrame:
+    """Columns ``out`` of the scores of each group, ranked in one task. Rows that repeat an id in a group all get the
+    greatest (with ``joined`` each of them comes as often as they are, as in a join by ids and keys); rows without an id
+    or key get NULL."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    first = list(steps[0].values)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    # rows without a key are no group: they are dealt by what they hold
+    salt = F.when(known, 0).otherwise(F.pmod(F.xxhash64(*ids, *first), F.lit(1 << 16)).cast("int"))
+    rows = df.select(*ids, *keys, *[F.col(c).cast("double").alias(c) for c in first], salt.alias("salt__"))
+    # a fixed number of partitions: merged ones would be sorted in one task
+    rows = rows.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "salt__")
+    schema = T.StructType([*[df.schema[c] for c in (*ids, *keys)], *[T.StructField(c, T.DoubleType()) for c in out]])
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+    return rows.groupBy(*keys, "salt__").applyInArrow(_rank_group(ids, keys, steps, out, to_arrow_schema(nullable), joined), nullable)
+
+
+def share_score(min_n: int) -> Callable[[np.ndarray, int], np.ndarray]:
+    return lambda r, n: r / n if n >= max(min_n, 1) else np.full(len(r), np.nan)
+
+
+def z_score(min_n: int) -> Callable[[np.ndarray, int], np.ndarray]:
+    def score(r: np.ndarray, n: int) -> np.ndarray:
+        dev = r - (n + 1) / 2
+        square = np.nansum(dev * dev)
+        return dev / np.sqrt(square / (n - 1)) if n >= min_n and square > 0 else np.full(len(r), np.nan)
+
+    return score
 
 
 def _in_two(
@@ -236,11 +323,18 @@ def rank_pct(
     Groups with fewer than ``min_n`` values give NULL. Result: ids, keys, ``rank_<column>``. A group of at most
     ``most`` rows (``ROWS``) is ranked in one task.
     """
-    share = lambda r, n: F.when(n >= min_n, r / n)
-    wide = lambda rows: _wide_ranks(rows, ids, keys, values, "rank_", share)
+    step = Step(values, "rank_", share_score(min_n))
+    wide = lambda rows: _wide_ranks(rows, ids, keys, [step], [f"rank_{c}" for c in values])
     return _in_two(df, keys, most, wide, lambda rows: _long_pct(rows, ids, keys, values, min_n))
 
 
+def z_chain(
+    df: DataFrame, ids: list[str], keys: list[str], steps: list[Step], out: list[str], long: Callable[[DataFrame], DataFrame], most: int | None = None
+) -> DataFrame:
+    """Ranks of scores of ranks: ``steps`` in a row, for which a group is shuffled once. Larger groups go through ``long``."""
+    return _in_two(df, keys, most, lambda rows: _wide_ranks(rows, ids, keys, steps, out, joined=True), long)
+
+
 def _long_pct(df: DataFrame, ids: list[str], keys: list[str], values: dict[str, bool], min_n: int) -> DataFrame:
     long = melt(df, [*ids, *keys], list(values), "var__", "val__")
     group = [*keys, "var__"]
@@ -267,14 +361,8 @@ def z_ranks(
     Groups below ``min_n`` values, or with a single distinct value, give NULL. A group of at most ``most`` rows
     (``ROWS``) is ranked in one task.
     """
-    group = Window.partitionBy(*keys)
-
-    def score(r: Column, n: Column) -> Column:
-        dev = r - (n.cast("double") + 1) / 2
-        sd = F.sqrt(div(F.sum(dev * dev).over(group), n.cast("double") - 1))
-        return F.when(n >= min_n, div(dev, sd))
-
-    wide = lambda rows: _wide_ranks(rows, ids, keys, values, prefix, score)
+    step = Step(values, prefix, z_score(min_n))
+    wide = lambda rows: _wide_ranks(rows, ids, keys, [step], [f"{prefix}{c}" for c in values])
     return _in_two(df, keys, most, wide, lambda rows: _long_z(rows, ids, keys, values, min_n, prefix))
 
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_index
 from ..functions.nulls import count_nulls, div, mean_across
 from ..sources.scratch import stage
-from .crosssection import melt, quantile_disc, rank_pct, winsorize, z_ranks
+from .crosssection import Step, Values, melt, quantile_disc, rank_pct, winsorize, z_chain, z_ranks, z_score
 from .market import contiguous_lag, quality_filter
 
 LEGS = ["small_low", "small_mid", "small_high", "big_low", "big_mid", "big_high"]
@@ -109,7 +110,8 @@ GEO = ["excntry", "eom"]
 def mispricing(panel: DataFrame, min_stocks: int, max_missing: int = 3) -> DataFrame:
     """Mean percentile ranks of the management and performance inputs; NULL if more than
     ``max_missing`` inputs are missing. All ten ranks come from one rank table."""
-    use = quality_filter(panel, "ret_exc", "me")
+    # read for the sizes of groups and for the ranks
+    use = stage(quality_filter(panel, "ret_exc", "me").select("id", *GEO, *MGMT, *PERF), "ranked")
     r = rank_pct(use, ["id"], GEO, MGMT | PERF, min_stocks)
     def score(names) -> Column:
         cols = [f"rank_{c}" for c in names]
@@ -122,14 +124,41 @@ def quality_minus_junk(panel: DataFrame, min_stocks: int) -> DataFrame:
     """Profitability, growth and safety composites of rank z-scores and their combination."""
     use = quality_filter(panel, "ret_exc", "me").withColumn("evol__", F.coalesce(2 * F.col("roeq_be_std"), "roe_be_std"))
     inputs = reduce(lambda a, b: a | b, QUALITY.values())
-    z = z_ranks(use, ["id"], GEO, inputs, min_stocks)
+    use = stage(use.select("id", *GEO, *inputs), "ranked")
+    parts, total = {name: False for name in QUALITY}, {"all__": False}
+
     # composites are cut at 12 decimals, so that equal scores tie whatever the order of summation
+    def cut(x: np.ndarray) -> np.ndarray:
+        return np.copysign(np.floor(np.abs(x) * 1e12 + 0.5) / 1e12, x) + 0.0
+
+    def composites(z: Values) -> Values:
+        out = {}
+        for name, cols in QUALITY.items():
+            own = [z[f"z_{c}"] for c in cols]
+            n = sum(~np.isnan(x) for x in own)
+            out[name] = cut(np.where(n > 0, sum(np.nan_to_num(x) for x in own) / np.maximum(n, 1), np.nan))
+        return out
+
+    score = z_score(min_stocks)
+    steps = [
+        Step(inputs, "z_", score, composites),
+        Step(parts, "qmj_", score, lambda z: {"all__": cut((z["qmj_prof"] + z["qmj_growth"] + z["qmj_safety"]) / 3)}),
+        Step(total, "z_", score),
+    ]
+    out = ["qmj_prof", "qmj_growth", "qmj_safety", "z_all__"]
+    ranked = z_chain(use, ["id"], GEO, steps, out, lambda rows: _quality_of_large(rows, inputs, min_stocks))
+    return ranked.select("excntry", "id", "eom", *out[:3], F.col("z_all__").alias("qmj"))
+
+
+def _quality_of_large(use: DataFrame, inputs: dict[str, bool], min_stocks: int) -> DataFrame:
+    """The steps of :func:`quality_minus_junk` on groups too large for one task: each through its rank table."""
+    z = z_ranks(use, ["id"], GEO, inputs, min_stocks, most=0)
     tidy = lambda c: F.round(c, 12)
     raw = z.select("id", *GEO, *[tidy(mean_across([f"z_{c}" for c in cols])).alias(name) for name, cols in QUALITY.items()])
     # each step is read several times by the next one, so it is written once
     raw = stage(raw, "qmj")
-    parts = z_ranks(raw, ["id"], GEO, {name: False for name in QUALITY}, min_stocks, prefix="qmj_")
+    parts = z_ranks(raw, ["id"], GEO, {name: False for name in QUALITY}, min_stocks, prefix="qmj_", most=0)
     total = (F.col("qmj_prof") + F.col("qmj_growth") + F.col("qmj_safety")) / 3
     parts = stage(parts.withColumn("all__", tidy(total)), "qmj")
-    final = z_ranks(parts, ["id"], GEO, {"all__": False}, min_stocks).withColumnRenamed("z_all__", "qmj")
-    return parts.drop("all__").join(final, ["id", *GEO], "left").select("excntry", "id", "eom", "qmj_prof", "qmj_growth", "qmj_safety", "qmj")
+    final = z_ranks(parts, ["id"], GEO, {"all__": False}, min_stocks, most=0)
+    return parts.drop("all__").join(final, ["id", *GEO], "left").select("id", *GEO, "qmj_prof", "qmj_growth", "qmj_safety", "z_all__")
