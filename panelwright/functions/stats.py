@@ -6,6 +6,7 @@ partitions, across months and across overlapping windows without a second look a
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column
@@ -78,12 +79,21 @@ def skew_from_sums(ss: Column, third: Column, n: Column, floor: Column) -> Colum
     return F.when((n >= 3) & (ss > floor), g1 * F.sqrt(n * (n - 1)) / (n - 2))
 
 
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once: inside a lambda an expression would be computed for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def list_sd(arr: Column) -> Column:
     """Sample sd of a non-null double array (two passes); NULL below two elements."""
-    n = F.size(arr).cast("double")
-    mean = div(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x), n)
-    ss = F.aggregate(arr, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
-    return F.when(n > 1, F.sqrt(div(ss, n - 1)))
+
+    def sd(a: Column) -> Column:
+        n = F.size(a).cast("double")
+        mean = div(F.aggregate(a, F.lit(0.0), lambda s, x: s + x), n)
+        ss = _with(mean, lambda m: F.aggregate(a, F.lit(0.0), lambda s, x: s + (x - m) * (x - m)))
+        return F.when(n > 1, F.sqrt(div(ss, n - 1)))
+
+    return _with(arr, sd)
 
 
 def list_mean(arr: Column) -> Column:

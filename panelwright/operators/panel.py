@@ -29,13 +29,17 @@ class History:
         self.keys = keys
         self.window = Window.partitionBy(*keys).orderBy(order)
         self._need: dict[str, Column] = {}
+        self._held: list[str] | None = None
 
         self._over = f"(PARTITION BY {', '.join(keys)} ORDER BY {order})"
 
     def lag_name(self, col: str, k: int) -> str:
         """Request a lag and return the name its column will have."""
         name = f"lag{k}__{col}"
-        if name not in self._need:
+        if self._held is not None:
+            if name not in self._held:
+                raise ValueError(f"{name} was not asked for before rows were dropped")
+        elif name not in self._need:
             self._need[name] = F.expr(f"lag(`{col}`, {k}) OVER {self._over}")
         return name
 
@@ -53,6 +57,16 @@ class History:
         self.df = df.withColumns(exprs).drop(*need)
         return self
 
+    def keep(self, cond: Column) -> History:
+        """Compute all recorded lags, then keep only the rows where ``cond`` holds: formulas added later are evaluated on
+        these alone. They may use the lags recorded so far; ``done`` gives the rows without them."""
+        self._held, self._need, need = list(self._need), {}, self._need
+        self.df = self.df.withColumns(need).filter(cond)
+        return self
+
+    def done(self) -> DataFrame:
+        return self.df.drop(*(self._held or []))
+
 
 def running_product(df: DataFrame, key: str, order: str, ret: str, out: str) -> DataFrame:
     """Return index: running product of 1 + return, a missing return counting as 0."""

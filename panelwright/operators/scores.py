@@ -103,14 +103,27 @@ def equity_duration(
     both are powers in t; book equity is a column per year. A missing input makes the sums missing.
     """
     h = History(df, ["gvkey", "curcd"], "datadate")
+    h.add(duration_start(h))
+    return duration(h, horizon, r, roe_mean, roe_ar, g_mean, g_ar).df.drop(*DURATION_START)
+
+
+DURATION_START = ["ed_roe0", "ed_g0"]
+
+
+def duration_start(h: History) -> dict[str, Column]:
+    """Profitability and growth that :func:`duration` starts from."""
     seen = _c("count") > 12
     be1, s1 = h.lag("be_x", 12), h.lag("sale_x", 12)
-    h.add(
-        {
-            "ed_roe0": F.when(seen & (be1 > 1), div("ni_x", be1)),
-            "ed_g0": F.when(seen & (s1 > 1), div("sale_x", s1) - 1),
-        }
-    )
+    return {
+        "ed_roe0": F.when(seen & (be1 > 1), div("ni_x", be1)),
+        "ed_g0": F.when(seen & (s1 > 1), div("sale_x", s1) - 1),
+    }
+
+
+def duration(
+    h: History, horizon: int = 10, r: float = 0.12, roe_mean: float = 0.12, roe_ar: float = 0.57, g_mean: float = 0.06, g_ar: float = 0.24
+) -> History:
+    """Adds the columns of :func:`equity_duration`, from those of :func:`duration_start`."""
     for t in range(1, horizon + 1):
         held = _c(f"ed_be{t - 1}") if t > 1 else _c("be_x")
         grow = g_mean + g_ar**t * (_c("ed_g0") - g_mean)
@@ -126,4 +139,5 @@ def equity_duration(
             "ed_err": negative.cast("double"),
         }
     )
-    return h.df.drop("ed_roe0", "ed_g0", *[f"ed_{x}{t}" for x in ("be", "flow") for t in range(1, horizon + 1)])
+    h.df = h.df.drop(*[f"ed_{x}{t}" for x in ("be", "flow") for t in range(1, horizon + 1)])
+    return h
